@@ -159,15 +159,17 @@ def _round(expression: str) -> str:
     return _ROUND.format(expression)
 
 
-def _last_bill(meters: str, registers: bool) -> str:
+def _last_bill(meters: str, registers: bool, bills: str = "t_bills") -> str:
     same = "AND m.installation = b.installation AND m.register = b.register" if registers else ""
     return f"""
     SELECT m.meter_id, m.bp, m.ccn, max(b.meter_reading_time) AS last_read_time
-    FROM t_bills b JOIN {meters} m ON m.meter_id = b.meter_id {same} WHERE b.reason = '01'
+    FROM {bills} b JOIN {meters} m ON m.meter_id = b.meter_id {same} WHERE b.reason = '01'
     GROUP BY ALL"""
 
 
-def _stats(meters: str, registers: bool, after: str, schedule_day: str | None) -> str:
+def _stats(
+    meters: str, registers: bool, after: str, schedule_day: str | None, bills: str = "t_bills"
+) -> str:
     same = "AND m.installation = b.installation AND m.register = b.register" if registers else ""
     schedule = next_date = ""
     if schedule_day:
@@ -185,7 +187,7 @@ def _stats(meters: str, registers: bool, after: str, schedule_day: str | None) -
             min(meter_reading_time) AS start_date, max(meter_reading_time) AS end_date,
             CAST(extract('day' FROM max(meter_reading_time) - min(meter_reading_time)) AS INTEGER)
                 AS total_days
-        FROM t_bills b JOIN {meters} m ON m.meter_id = b.meter_id {same} {schedule}
+        FROM {bills} b JOIN {meters} m ON m.meter_id = b.meter_id {same} {schedule}
         WHERE b.reason = '01' AND b.meter_reading_time > {after} GROUP BY ALL)"""
 
 
@@ -236,9 +238,12 @@ _HIGH_STEPS = {
     "bill": _last_bill("one_meters", True),
     "stats": _stats("one_meters", True, _ALL_TIME, "2001-08-02"),
 }
+_TWO_BILLS = """SELECT * FROM t_bills
+    UNION ALL SELECT * REPLACE ('002' AS register) FROM t_bills WHERE CAST(meter_id AS BIGINT) % 10 = 0"""
 _HIGH_PARITY_STEPS = {
-    "bill": _last_bill("t_meters", True),
-    "stats": _stats("t_meters", True, _ALL_TIME, "2001-08-02"),
+    "two_bills": _TWO_BILLS,
+    "bill": _last_bill("t_meters", True, "two_bills"),
+    "stats": _stats("t_meters", True, _ALL_TIME, "2001-08-02", "two_bills"),
 }
 _PROJECTED_STEPS = {
     "one_meters": _ONE_METERS,

@@ -220,7 +220,7 @@ def usage_since_bill(v: Views) -> DataFrame:
 def _high_usage(v: Views, registers: bool = False, **changes) -> DataFrame:
     params = _params(v, BILLS, **changes)
     coming = schedule.next_read(v.segment_schedule(), BILLS_DAY)
-    return use.high_usage(v.usage(), v.bills(), v.meters(registers), coming, params)
+    return use.high_usage(v.usage(), v.bills(registers), v.meters(registers), coming, params)
 
 
 def high_usage(v: Views) -> DataFrame:

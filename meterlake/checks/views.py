@@ -22,9 +22,12 @@ class Views:
         self.spark = spark
         self.folder = folder
         self.limits = limits
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def readings(self) -> DataFrame:
         """Customer feed: events as readings of a register that adds up the event values."""
@@ -130,20 +133,25 @@ class Views:
             sewer.alias("division"),
         )
 
-    def bills(self) -> DataFrame:
-        """Orders as billing readings: finished orders carry the billing reason."""
+    def bills(self, registers: bool = False) -> DataFrame:
+        """Orders as billing readings: finished orders carry the billing reason.
+
+        With ``registers`` every tenth customer's bills are on two registers.
+        """
         key = F.col("o_custkey")
         reason = F.when(F.col("o_orderstatus") == "F", F.lit("01")).otherwise(F.lit("02"))
         unit = self.table("customer").select(
             F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("meter_reading_unit")
         )
+        two = F.when(key % 10 == 0, F.array(F.lit("001"), F.lit("002")))
+        each = F.coalesce(two, F.array(F.lit("001"))) if registers else F.array(F.lit("001"))
         return (
             self.table("orders")
             .join(unit, "o_custkey")
             .select(
                 key.cast("string").alias("meter_id"),
                 (key + 100000).cast("string").alias("installation"),
-                F.lit("001").alias("register"),
+                F.explode(each).alias("register"),
                 F.col("o_orderdate").alias("meter_reading_time"),
                 reason.alias("meter_reading_reason"),
                 F.col("o_totalprice").alias("consumption_gl"),

@@ -2,8 +2,8 @@
 
 A plain window sorts all rows of a key in one task. Here a key with more than ``limits.hot_rows``
 rows is cut into time slots; the window runs per (key, slot), and what crosses a slot border is
-carried over from a table with one row per slot. When no key is that large, the table of hot keys is
-empty, and adaptive execution drops the slot branch: one shuffle by key remains.
+carried over from a table with one row per slot. The other keys, and all of them when none is that
+large, take the plain window: one shuffle by key.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from meterlake.functions import epoch
 from meterlake.params import Limits
 
 SLOT = "_slot"
+Parts = tuple[DataFrame, DataFrame | None]
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, limits: Limits) -> DataFrame:
@@ -36,11 +37,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, limits: Limits) -> Dat
     )
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], ts: str, limits: Limits
-) -> tuple[DataFrame, DataFrame]:
-    """``df`` in two parts: rows of ordinary keys, and rows of hot keys with their time slot."""
+def split_hot(df: DataFrame, keys: Sequence[str], ts: str, limits: Limits) -> Parts:
+    """``df`` in two parts: rows of ordinary keys, and rows of hot keys with their time slot.
+
+    Runs the count of ``hot_keys``; without a hot key the second part is None. The result does not
+    depend on which keys count as hot, only its plan does.
+    """
     hot = hot_keys(df, keys, ts, limits)
+    if hot.isEmpty():
+        return df, None
     small = F.broadcast(_renamed(hot, keys, "_hot_"))  # bounded: see hot_keys
     match = _match(keys, "_hot_")
     ordinary = df.join(small, match, "left_anti")
@@ -82,7 +87,7 @@ def _carry(rows: DataFrame, borders: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def previous(
-    parts: tuple[DataFrame, DataFrame],
+    parts: Parts,
     keys: Sequence[str],
     order: Sequence[str],
     values: dict[str, str],
@@ -91,6 +96,8 @@ def previous(
     ordinary, slotted = parts
     w = Window.partitionBy(*keys).orderBy(*order)
     done = ordinary.withColumns({new: F.lag(old, 1).over(w) for new, old in values.items()})
+    if slotted is None:
+        return done
 
     in_slot = Window.partitionBy(*keys, SLOT).orderBy(*order)
     rows = slotted.withColumns(
@@ -116,7 +123,7 @@ def previous(
 
 
 def running_total(
-    parts: tuple[DataFrame, DataFrame],
+    parts: Parts,
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
@@ -126,6 +133,8 @@ def running_total(
     ordinary, slotted = parts
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     done = ordinary.withColumn(out, F.sum(value).over(w))
+    if slotted is None:
+        return done
 
     in_slot = (
         Window.partitionBy(*keys, SLOT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions import amount, day_key, epoch, round2
-from meterlake.operators.hotkeys import newest_first, previous, split_hot
+from meterlake.operators.hotkeys import SLOT, newest_first, previous, split_hot
 from meterlake.params import Limits
 
 COPIES = "_copies"
@@ -96,18 +96,17 @@ def interval_delta(
     keys = list(keys)
     ordinary, slotted = split_hot(df, keys, ts, limits)
     ordinary = ordinary.repartition(*keys)
-    slot_keys = [c for c in slotted.columns if c not in df.columns]
     if parity:
-        parts = with_copies(ordinary), with_copies(slotted)
         rest = [c for c in df.columns if c not in (*keys, ts, value)]
         order = [ts, value, *rest]
+        parts = with_copies(ordinary), slotted and with_copies(slotted)
     else:
+        order = [ts]
         chosen = [*prefer, value]
         parts = (
             dedupe(ordinary, [*keys, ts], chosen),
-            dedupe(slotted, [*keys, *slot_keys, ts], chosen),
+            slotted and dedupe(slotted, [*keys, SLOT, ts], chosen),
         )
-        order = [ts]
     rows = previous(parts, keys, order, {"_prev_ts": ts, "_prev_value": value})
     rows = rows.withColumns(delta_columns(value, ts)).drop("_prev_ts", "_prev_value")
     return repeated_as_zero(rows) if parity else rows

@@ -30,9 +30,10 @@ CONTRACT_COLUMNS = (
 def valid_at(df: DataFrame, as_of: dt.date, *pairs: tuple[str, str]) -> DataFrame:
     """Rows whose every (start, end) pair includes ``as_of``. An open (NULL) end does not hold."""
     day = F.lit(as_of)
+    holds = F.lit(True)
     for start, end in pairs:
-        df = df.where((F.col(start) <= day) & (F.col(end) >= day))
-    return df
+        holds = holds & (F.col(start) <= day) & (F.col(end) >= day)
+    return df.where(holds)
 
 
 def known_locations(location: DataFrame) -> DataFrame:

@@ -63,8 +63,14 @@ def overwrite_if_any(df: DataFrame, target: Target) -> bool:
 def export_csv(df: DataFrame, new_dir: str) -> None:
     """Rows as CSV files with a header, every value quoted, in a folder that must not exist yet."""
     names = [c.rsplit(".", 1)[-1] for c in df.columns]
-    writer = df.toDF(*names).write.mode("errorifexists")
-    writer.option("header", True).option("quoteAll", True).csv(new_dir)
+    micros = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    options = {
+        "header": True,
+        "quoteAll": True,
+        "timestampFormat": micros,
+        "timestampNTZFormat": micros,
+    }
+    df.toDF(*names).write.mode("errorifexists").options(**options).csv(new_dir)
 
 
 def jdbc_write_options(
