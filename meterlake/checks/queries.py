@@ -197,24 +197,24 @@ def presorted_reads(v: Views) -> DataFrame:
 # Billing, usage, alerts
 
 
-def _billing_base(v: Views) -> DataFrame:
-    totals = billing.bill_totals(v.bills(), ["meter_id"], BILLS.as_of_ts, BILLS.months)
-    active = billing.with_endpoint(billing.active_meters(v.meters()), v.endpoint_types(), "AMI")
-    return billing.bills_with_meters(totals, active, ["meter_id"])
+def _ami_meters(v: Views) -> DataFrame:
+    return billing.with_endpoint(billing.active_meters(v.meters()), v.endpoint_types(), "AMI")
 
 
 def last_bill(v: Views) -> DataFrame:
-    return billing.last_bill(_billing_base(v))
+    return billing.last_bill(v.bills(), _ami_meters(v), ["meter_id"])
 
 
 def billing_stats(v: Views) -> DataFrame:
-    stats = billing.billing_stats(_billing_base(v), [*billing.ACCOUNT, "register"], BILLS.sigma)
+    totals = billing.bill_totals(v.bills(), ["meter_id"], BILLS.as_of_ts, BILLS.months)
+    base = billing.bills_with_meters(totals, _ami_meters(v), ["meter_id"])
+    stats = billing.billing_stats(base, [*billing.ACCOUNT, "register"], BILLS.sigma)
     return stats.withColumn("per_day_consumption", round2(F.col("per_day_consumption")))
 
 
 def usage_since_bill(v: Views) -> DataFrame:
     recent = use.reads_after_bill(use.daily_usage(v.usage()), last_bill(v), v.limits, v.meters())
-    return use.usage_since(recent, [*billing.ACCOUNT, "last_read_time"])
+    return use.usage_since(recent, billing.ACCOUNT)
 
 
 def _high_usage(v: Views, registers: bool = False, **changes) -> DataFrame:

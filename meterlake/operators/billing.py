@@ -1,9 +1,9 @@
 """Billing history per account: last reading, usage statistics, daily rate.
 
-One pass reduces the billing readings to exact sums per meter, register and reading unit; the last
-reading and the statistics are both taken from those few rows, and the joins with meters, endpoint
-types and schedules run on them. The sums merge without loss, so the order of aggregation and joins
-is free.
+The billing readings are reduced to exact sums per meter, register and reading unit before anything
+is joined; meters, endpoint types and schedules meet those few rows. The sums merge without loss, so
+the order of aggregation and joins is free. The last reading looks at all history but three columns;
+the statistics read the recent months only, a filter that reaches the scan.
 """
 
 from __future__ import annotations
@@ -15,31 +15,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import amount, days_span, limit, per_day, round2, stddev
-from meterlake.operators.horizon import cutoff, where_code
+from meterlake.operators.horizon import after, where_code
 
 ACCOUNT = ("meter_id", "business_partner_number", "connection_contract_number")
 BILLING_REASON = "01"
 ACTIVE = "Yes"
 
 
+def billed(bills: DataFrame) -> DataFrame:
+    return where_code(bills, "meter_reading_reason", BILLING_REASON)
+
+
 def bill_totals(
     bills: DataFrame, keys: Sequence[str], as_of_ts: dt.datetime, months: int
 ) -> DataFrame:
-    """Billing readings summed per ``keys`` and reading unit.
-
-    ``_last`` is the last reading of all time; the other parts cover the last ``months`` months.
-    """
-    recent = F.col("meter_reading_time") > cutoff(as_of_ts, months=months)
-    usage = F.when(recent, amount(F.col("consumption_gl")))
-    time = F.when(recent, F.col("meter_reading_time"))
-    billed = where_code(bills, "meter_reading_reason", BILLING_REASON)
-    return billed.groupBy(*keys, "meter_reading_unit").agg(
+    """Billing readings of the last ``months`` months, summed per ``keys`` and reading unit."""
+    usage = amount(F.col("consumption_gl"))
+    recent = after(billed(bills), "meter_reading_time", as_of_ts, months=months)
+    return recent.groupBy(*keys, "meter_reading_unit").agg(
         F.count(usage).alias("_n"),
         F.sum(usage).alias("_total"),
         F.sum(usage * usage).alias("_squares"),
-        F.min(time).alias("_start"),
-        F.max(time).alias("_end"),
-        F.max("meter_reading_time").alias("_last"),
+        F.min("meter_reading_time").alias("_start"),
+        F.max("meter_reading_time").alias("_end"),
     )
 
 
@@ -54,7 +52,7 @@ def active_meters(meters: DataFrame) -> DataFrame:
 
 
 def bills_with_meters(totals: DataFrame, meters: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Summed bills joined with the meters, which carry the account and the register."""
+    """Reduced bills joined with the meters, which carry the account and the register."""
     wanted = [*keys, *[c for c in (*ACCOUNT, "register") if c not in keys]]
     return totals.join(meters.select(*wanted), list(keys))
 
@@ -64,23 +62,21 @@ def with_next_read(df: DataFrame, next_read: DataFrame) -> DataFrame:
     return df.join(next_read, "meter_reading_unit")
 
 
-def last_bill(base: DataFrame, keys: Sequence[str] = ACCOUNT) -> DataFrame:
-    """Time of the last billing reading per account meter."""
-    return base.groupBy(*keys).agg(F.max("_last").alias("last_read_time"))
+def last_bill(bills: DataFrame, meters: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Time of the last billing reading per account meter, over all history."""
+    latest = billed(bills).groupBy(*keys).agg(F.max("meter_reading_time").alias("_last"))
+    rows = bills_with_meters(latest, meters, keys)
+    return rows.groupBy(*ACCOUNT).agg(F.max("_last").alias("last_read_time"))
 
 
 def billing_stats(base: DataFrame, keys: Sequence[str], sigma: float) -> DataFrame:
     """Totals, mean, deviation, usage limit, day span and daily rate of the billing window."""
-    merged = (
-        base.where(F.col("_start").isNotNull())
-        .groupBy(*keys)
-        .agg(
-            F.sum("_n").alias("_n"),
-            F.sum("_total").alias("total_consumption"),
-            F.sum("_squares").alias("_squares"),
-            F.min("_start").alias("start_date"),
-            F.max("_end").alias("end_date"),
-        )
+    merged = base.groupBy(*keys).agg(
+        F.sum("_n").alias("_n"),
+        F.sum("_total").alias("total_consumption"),
+        F.sum("_squares").alias("_squares"),
+        F.min("_start").alias("start_date"),
+        F.max("_end").alias("end_date"),
     )
     total = F.col("total_consumption")
     n = F.nullif(F.col("_n"), F.lit(0))

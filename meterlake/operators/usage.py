@@ -13,7 +13,6 @@ from meterlake.operators.horizon import after_event, having, where_code
 from meterlake.operators.hotkeys import sized_join
 from meterlake.params import Limits, Params
 
-READ_ACCOUNT = ("businesspartnernumber", "contractaccount")
 AMI_GROUP = "AMI"
 AMI_ENDPOINT = "20"
 
@@ -55,7 +54,9 @@ def reads_after_bill(
 
 
 def usage_since(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Usage per ``keys``, which include the account meter and so fix its last billing reading."""
     return df.groupBy(*keys).agg(
+        F.max("last_read_time").alias("last_read_time"),
         F.sum("consumption").alias("current_usage"),
         F.max("reading_datetime").alias("last_reading"),
     )
@@ -76,14 +77,13 @@ def with_premise(df: DataFrame, contracts: DataFrame) -> DataFrame:
 
 
 def _account_usage(
-    reads: DataFrame, base: DataFrame, meters: DataFrame, params: Params
+    reads: DataFrame, last_bill: DataFrame, meters: DataFrame, params: Params
 ) -> DataFrame:
     """Usage since the last bill. By register, or with parity by raw equipment number."""
-    own = ("equipmentnumber",) if params.parity else ("register",)
-    recent = reads_after_bill(
-        daily_usage(reads, params.interval_suffix), billing.last_bill(base), params.limits, meters
-    )
-    return usage_since(recent, [*billing.ACCOUNT, *own, "last_read_time"])
+    own = "equipmentnumber" if params.parity else "register"
+    daily = daily_usage(reads, params.interval_suffix)
+    recent = reads_after_bill(daily, last_bill, params.limits, meters)
+    return usage_since(recent, [*billing.ACCOUNT, own])
 
 
 def _repeats(stats: DataFrame, keys: Sequence[str], parity: bool) -> DataFrame:
@@ -115,7 +115,8 @@ def high_usage(
     match = [*billing.ACCOUNT] if params.parity else [*billing.ACCOUNT, "register"]
     limits = _repeats(stats, [*match, "high_usage_limit"], params.parity)
 
-    usage = with_stats(_account_usage(reads, base, active, params), limits, match)
+    last = billing.last_bill(bills, active, keys)
+    usage = with_stats(_account_usage(reads, last, active, params), limits, match)
     summed = F.col("current_usage") * F.col("_repeats")
     alerts = having(
         usage.withColumn("current_usage", summed),
@@ -160,7 +161,8 @@ def project_consumption(
     premises = contracts if params.parity else contracts.dropDuplicates(
         ["business_partner_number", "connection_contract_number", "premise_id"]
     )
-    usage = with_stats(_account_usage(reads, base, meters, params), rates, match)
+    last = billing.last_bill(bills, active, ["meter_id"])
+    usage = with_stats(_account_usage(reads, last, meters, params), rates, match)
     rows = with_premise(usage, premises)
     group = [
         *billing.ACCOUNT,

@@ -1,0 +1,129 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from meterlake.operators import horizon, intervals
+from meterlake.params import Limits
+from tests.frames import day, frame, out, ts
+
+READING = "meter_id string, reading_datetime timestamp_ntz, reading_value decimal(18,2)"
+KEYS, TS, VALUE = ["meter_id"], "reading_datetime", "reading_value"
+LIMITS = [Limits(), Limits(hot_rows=1), Limits(hot_rows=2)]
+
+
+def delta(df, **kw):
+    rows = intervals.interval_delta(df, KEYS, TS, VALUE, **kw)
+    return [tuple(r) for r in rows.orderBy(TS, F.desc("read_interval")).select(
+        "consumption", "read_interval").collect()]
+
+
+@pytest.mark.parametrize("limits", LIMITS)
+def test_delta_basic(spark, limits):
+    df = frame(
+        spark, READING,
+        ("M", "2024-03-10 00:00:00", "10.0"),
+        ("M", "2024-03-10 01:00:00", "12.5"),
+        ("M", "2024-03-10 03:00:00", "13.0"),
+    )
+    want = [(None, None), (Decimal("2.50"), 3600), (Decimal("0.50"), 7200)]
+    assert delta(df, limits=limits) == want
+
+
+@pytest.mark.parametrize("limits", LIMITS)
+def test_repeated_ingest(spark, limits):
+    df = frame(
+        spark, READING,
+        ("M", "2024-03-10 00:00:00", "10"),
+        ("M", "2024-03-10 01:00:00", "12"),
+        ("M", "2024-03-10 01:00:00", "12"),
+    )
+    assert delta(df, limits=limits) == [(None, None), (Decimal("2.00"), 3600)]
+    assert delta(df, limits=limits, parity=True) == [
+        (None, None), (Decimal("2.00"), 3600), (Decimal("0.00"), 0),
+    ]
+
+
+def test_repeated_first_reading_in_parity(spark):
+    first = ("M", "2024-03-10 00:00:00", "10")
+    df = frame(spark, READING, first, first, first)
+    assert delta(df) == [(None, None)]
+    assert delta(df, parity=True) == [(Decimal("0.00"), 0), (None, None)]
+
+
+def test_newest_ingest_wins(spark):
+    df = frame(
+        spark, READING + ", ingest_watermark timestamp_ntz",
+        ("M", "2024-03-10 00:00:00", "10", "2024-03-10 05:00:00"),
+        ("M", "2024-03-10 00:00:00", "11", None),
+        ("M", "2024-03-10 01:00:00", "12", "2024-03-10 05:00:00"),
+        ("M", "2024-03-10 01:00:00", "15", "2024-03-10 04:00:00"),
+    )
+    assert delta(df, prefer=["ingest_watermark"]) == [(None, None), (Decimal("2.00"), 3600)]
+
+
+def test_missing_meter_id_is_one_meter(spark):
+    df = frame(
+        spark, READING,
+        (None, "2024-03-10 00:00:00", "10"),
+        (None, "2024-03-10 01:00:00", "12"),
+        (None, "2024-03-10 02:00:00", "15"),
+    )
+    want = [(None, None), (Decimal("2.00"), 3600), (Decimal("3.00"), 3600)]
+    assert delta(df) == want
+    assert delta(df, limits=Limits(hot_rows=1)) == want
+
+
+def test_daily_last(spark):
+    df = frame(
+        spark, READING,
+        ("M", "2024-03-09 01:00:00", "5"),
+        ("M", "2024-03-09 23:00:00", "9"),
+        ("M", "2024-03-10 00:00:00", "9.5"),
+    )
+    last = intervals.last_per_day(df, KEYS, TS)
+    rows = out(intervals.day_delta(last, KEYS, TS, VALUE).select(VALUE, "consumption"), VALUE)
+    assert rows == [(Decimal("9.00"), None), (Decimal("9.50"), Decimal("0.50"))]
+
+
+def test_ties_at_the_last_moment(spark):
+    df = frame(
+        spark, READING,
+        ("M", "2024-03-09 23:00:00", "9"),
+        ("M", "2024-03-09 23:00:00", "8"),
+    )
+    assert out(intervals.last_per_day(df, KEYS, TS, prefer=[VALUE]).select(VALUE)) == [(Decimal("9.00"),)]
+    assert intervals.last_per_day(df, KEYS, TS, keep_ties=True).count() == 2
+
+
+def test_day_key_holds_the_year(spark):
+    df = frame(spark, READING, ("M", "2023-03-09 01:00:00", "1"), ("M", "2024-03-09 01:00:00", "2"))
+    assert intervals.max_ts_per_day(df, KEYS, TS).count() == 2
+    assert intervals.last_per_day(df, KEYS, TS).count() == 2
+
+
+def test_horizon_edges(spark):
+    df = frame(
+        spark, READING,
+        ("M", "2024-03-08 00:00:00", "1"),
+        ("M", "2024-03-11 00:00:00", "2"),
+        ("M", "2024-03-11 00:00:01", "3"),
+        ("M", "2024-03-07 23:59:59", "4"),
+    )
+    kept = out(horizon.in_horizon(df, TS, day("2024-03-10"), -2, 1).select(VALUE), VALUE)
+    assert kept == [(Decimal("1.00"),), (Decimal("2.00"),)]
+
+
+def test_since_and_after_are_open(spark):
+    df = frame(spark, READING, ("M", "2024-03-10 00:00:00", "1"), ("M", "2024-03-10 00:00:01", "2"))
+    assert out(horizon.since(df, TS, ts("2024-03-10")).select(VALUE)) == [(Decimal("2.00"),)]
+    assert out(horizon.after(df, TS, ts("2024-03-11"), hours=24).select(VALUE)) == [(Decimal("2.00"),)]
+    assert out(horizon.after(df, TS, ts("2024-04-10"), months=1).select(VALUE)) == [(Decimal("2.00"),)]
+
+
+def test_codes(spark):
+    df = frame(spark, "division string", ("SW",), ("W",), (None,))
+    assert out(horizon.where_code(df, "division", "SW", negate=True)) == [("W",)]
+    assert out(horizon.where_code(df, "division", "SW")) == [("SW",)]
+    assert horizon.in_districts(df, (), "division").count() == 3
+    assert out(horizon.in_districts(df, ("W", "X"), "division")) == [("W",)]
