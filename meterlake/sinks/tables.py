@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Folders of the reads mart. A slice is one feed and one interval type.
 SLICE = ("feed", "read_interval_type")
@@ -60,17 +61,33 @@ def overwrite_if_any(df: DataFrame, target: Target) -> bool:
     return True
 
 
+def csv_names(columns: Sequence[str]) -> list[str]:
+    """Column names without their table prefix; a repeated name gets a number."""
+    names: list[str] = []
+    for column in columns:
+        name = column.split(".", 1)[1] if column.find(".") > 0 else column
+        repeats = sum(n.lower() == name.lower() or n.lower().startswith(f"{name}_#".lower()) for n in names)
+        names.append(f"{name}_#{repeats + 1}" if repeats else name)
+    return names
+
+
 def export_csv(df: DataFrame, new_dir: str) -> None:
-    """Rows as CSV files with a header, every value quoted, in a folder that must not exist yet."""
-    names = [c.rsplit(".", 1)[-1] for c in df.columns]
+    """Rows as CSV files with a header, every value quoted, in a folder that must not exist yet.
+
+    A missing value is written as ``null``, and timestamps with all their digits.
+    """
+    names = csv_names(df.columns)
+    untyped = [n for n, f in zip(names, df.schema.fields) if f.dataType.typeName() == "void"]
     micros = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     options = {
         "header": True,
         "quoteAll": True,
+        "nullValue": "null",
         "timestampFormat": micros,
         "timestampNTZFormat": micros,
     }
-    df.toDF(*names).write.mode("errorifexists").options(**options).csv(new_dir)
+    rows = df.toDF(*names).withColumns({n: F.col(f"`{n}`").cast("string") for n in untyped})
+    rows.write.mode("errorifexists").options(**options).csv(new_dir)
 
 
 def jdbc_write_options(

@@ -1,0 +1,45 @@
+import pytest
+
+from meterlake.sources import Tables, drop, read_sql, register, run_sql
+from meterlake.sources.tables import jdbc_read_options
+from tests.frames import out
+
+
+def test_resolve(spark):
+    lake = Tables(spark, "/lake/", {"": "raw", "contracts": "master"}, {"contracts": "mv"})
+    assert lake.resolve("readings") == "/lake/raw/readings"
+    assert lake.resolve("contracts") == "/lake/master/mv"
+    catalog = Tables(spark, schemas={"readings": "external"})
+    assert catalog.resolve("readings") == "external.readings"
+    assert catalog.resolve("other") == "other"
+
+
+def test_load(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "numbers"))
+    assert Tables(spark, str(tmp_path)).load("numbers").count() == 3
+    register(spark.range(2), "numbers_view")
+    assert Tables(spark, names={"numbers": "numbers_view"}).load("numbers").count() == 2
+    assert drop(spark, "numbers_view")
+    assert not drop(spark, "numbers_view")
+
+
+def test_sql_file_with_parameters(spark, tmp_path):
+    path = tmp_path / "query.sql"
+    path.write_text("SELECT id\nFROM ids\nWHERE id > :low;\n")
+    register(spark.range(4), "ids")
+    text = read_sql(spark, str(path))
+    assert out(run_sql(spark, text, {"low": 1}), "id") == [(2,), (3,)]
+    assert run_sql(spark, "SELECT 1 AS one").first()["one"] == 1
+    drop(spark, "ids")
+    (tmp_path / "empty.sql").write_text(" ")
+    with pytest.raises(ValueError):
+        read_sql(spark, str(tmp_path / "empty.sql"))
+
+
+def test_jdbc_read_options():
+    got = jdbc_read_options("jdbc:x", " select a from t; ", {"user": "u"}, ("a", 1, 9, 4))
+    assert got == {
+        "fetchsize": "10000", "user": "u", "url": "jdbc:x", "dbtable": "(select a from t) source_rows",
+        "partitionColumn": "a", "lowerBound": "1", "upperBound": "9", "numPartitions": "4",
+    }
+    assert jdbc_read_options("jdbc:x", "app.t")["dbtable"] == "app.t"
