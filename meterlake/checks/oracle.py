@@ -47,7 +47,7 @@ VIEWS = {
     "t_meters": """
         SELECT CAST(c_custkey AS VARCHAR) AS meter_id, CAST(c_custkey + 100000 AS VARCHAR) AS installation,
                register, CAST(c_custkey AS VARCHAR) AS bp, CAST(c_custkey + 500000 AS VARCHAR) AS ccn
-        FROM t_register""",
+        FROM t_register WHERE c_nationkey % 5 <> 0""",
     "t_usage": """
         SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS equipmentnumber,
                CAST(o_custkey AS VARCHAR) AS bp, CAST(o_custkey + 500000 AS VARCHAR) AS ccn,

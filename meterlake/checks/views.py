@@ -160,8 +160,12 @@ class Views:
         )
 
     def meters(self, registers: bool = False) -> DataFrame:
-        """Meters of the customers; with ``registers`` every tenth has a second register."""
+        """Meters of the customers; with ``registers`` every tenth has a second register.
+
+        One nation in five has endpoint type 18, which is not in the AMI group, and the others 20.
+        """
         key = F.col("c_custkey")
+        kind = F.when(F.col("c_nationkey") % 5 == 0, F.lit("18")).otherwise(F.lit("20"))
         source = self._registers() if registers else self.table("customer").withColumn(
             "register", F.lit("001")
         )
@@ -170,15 +174,15 @@ class Views:
             (key + 100000).cast("string").alias("installation"),
             "register",
             F.lit("Yes").alias("isactive"),
-            F.lit("20").alias("end_point_type_1"),
+            kind.alias("end_point_type_1"),
             key.cast("string").alias("business_partner_number"),
             (key + 500000).cast("string").alias("connection_contract_number"),
         )
 
     def endpoint_types(self) -> DataFrame:
-        """Endpoint types 18 to 22 from the regions; type 20 is in the AMI group."""
+        """Endpoint types 18 to 22 from the regions; all but type 18 are in the AMI group."""
         kind = (F.col("r_regionkey") + 18).cast("string")
-        group = F.when(kind == "20", F.lit("AMI")).otherwise(F.lit("AMR"))
+        group = F.when(kind == "18", F.lit("AMR")).otherwise(F.lit("AMI"))
         return self.table("region").select(kind.alias("id"), group.alias("endpoint_group"))
 
     def connection_contracts(self) -> DataFrame:

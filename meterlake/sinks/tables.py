@@ -65,9 +65,12 @@ def csv_names(columns: Sequence[str]) -> list[str]:
     """Column names without their table prefix; a repeated name gets a number."""
     names: list[str] = []
     for column in columns:
-        name = column.split(".", 1)[1] if column.find(".") > 0 else column
-        repeats = sum(n.lower() == name.lower() or n.lower().startswith(f"{name}_#".lower()) for n in names)
-        names.append(f"{name}_#{repeats + 1}" if repeats else name)
+        base = name = column.split(".", 1)[1] if column.find(".") > 0 else column
+        number = 1
+        while name.lower() in (n.lower() for n in names):
+            number += 1
+            name = f"{base}_{number}"
+        names.append(name)
     return names
 
 

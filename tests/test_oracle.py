@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from tests import compare
 
-FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
+FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="module")

@@ -1,0 +1,109 @@
+"""Physical plans: what reaches the scan, how often the readings are shuffled, what is broadcast."""
+
+import datetime as dt
+import re
+from dataclasses import replace
+
+import pytest
+
+import __spark_entry__ as entry
+from meterlake import Limits, Params
+from meterlake.checks.views import Views
+from meterlake.operators import leaks, schedule, usage
+from meterlake.plans import reads
+
+FOLDER = "/root/testdata/sf0.001"
+PARAMS = Params(as_of=dt.date(2024, 1, 20), slot_begin=dt.datetime(2024, 1, 10))
+
+
+@pytest.fixture(scope="module")
+def source(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("plans")
+    v = Views(spark, FOLDER)
+    names = ("readings", "location", "device", "contract", "bills", "meters", "usage", "segment_schedule")
+    for name in names:
+        getattr(v, name)().write.parquet(str(root / name))
+    return {name: spark.read.parquet(str(root / name)) for name in names}
+
+
+def explain(df, capsys, mode="formatted"):
+    capsys.readouterr()
+    df.explain(mode)
+    return capsys.readouterr().out
+
+
+def scan(plan, table):
+    """The text of the scan of one table in a formatted plan."""
+    return next(part for part in plan.split("\n\n") if f"/{table}]" in part and "Scan parquet" in part)
+
+
+def branch(plan, table):
+    """Operators above the scan of a table, up to the first join."""
+    lines = plan.splitlines()
+    number = re.search(r"\((\d+)\) Scan parquet", scan(plan, table)).group(1)
+    row = next(i for i, line in enumerate(lines) if re.search(rf"Scan parquet\s+\({number}\)", line))
+    above = []
+    for line in reversed(lines[:row]):
+        if "Join" in line:
+            break
+        above.append(line)
+    return above
+
+
+def test_hourly_shuffles_the_readings_once(source, capsys):
+    master = (source["location"], source["device"], source["contract"])
+    plan = explain(reads.hourly_reads(source["readings"], *master, PARAMS), capsys)
+    above = branch(plan, "readings")
+    assert sum("Exchange" in line for line in above) == 1
+    assert sum("Sort" in line for line in above) == 1
+    found = scan(plan, "readings")
+    assert "GreaterThanOrEqual(reading_datetime,2024-01-18T00:00)" in found
+    assert "LessThanOrEqual(reading_datetime,2024-01-21T00:00)" in found
+    assert "battery_voltage" not in found and "transponder" not in found
+    assert "LessThanOrEqual(devicevaliditystartdate,2024-01-20)" in scan(plan, "device")
+
+
+def test_daily_reduces_before_the_first_shuffle(source, capsys):
+    master = (source["location"], source["device"], source["contract"])
+    plan = explain(reads.daily_reads(source["readings"], *master, PARAMS), capsys)
+    above = branch(plan, "readings")
+    first = next(i for i, line in enumerate(above) if "Exchange" in line)
+    assert any("WindowGroupLimit" in line for line in above[:first])
+
+
+def test_districts_filter_the_master_scan(source, capsys):
+    renamed = source["contract"].withColumnsRenamed({v: k for k, v in reads.BACKFILL_CONTRACT.items()})
+    params = replace(PARAMS, districts=("A", "B"))
+    df = reads.backfill_hourly(source["readings"], source["location"], source["device"], renamed, params)
+    plan = explain(df, capsys)
+    assert "In(regionalstructuregrouping, [A,B])" in scan(plan, "contract")
+    assert "GreaterThan(reading_datetime,2024-01-10T00:00)" in scan(plan, "readings")
+
+
+def test_usage_is_combined_before_its_shuffle(source, capsys):
+    coming = schedule.next_read(source["segment_schedule"], dt.date(2001, 8, 2))
+    params = Params(as_of=dt.date(2001, 8, 2))
+    tables = (source["usage"], source["bills"], source["meters"], coming)
+    plan = explain(usage.high_usage(*tables, params), capsys)
+    assert "EqualTo(read_interval_type,DAILY)" in scan(plan, "usage")
+    assert "GreaterThan(meter_reading_time,2000-05-02T00:00)" in plan
+    small = replace(params, limits=Limits(broadcast_rows=0, salts=8))
+    plan = explain(usage.high_usage(*tables, small), capsys)
+    assert "_salt" in plan
+
+
+def test_leaks_combine_before_the_shuffle(spark, capsys):
+    events = Views(spark, FOLDER).event_reads()
+    plan = explain(leaks.leak_alerts(events, dt.datetime(2024, 1, 30), 24, 5), capsys)
+    assert "partial_min" in plan
+    assert "GreaterThan(ts,2024-01-29T00:00)" in plan
+
+
+WRITERS = {"append_reads", "replace_slice", "replace_all", "overwrite_if_any", "export_csv"}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITERS))
+def test_no_python_rows_and_no_cross_join(spark, name, capsys):
+    plan = explain(entry.queries()[name](spark, FOLDER), capsys, "simple")
+    for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "CollectLimit", "GlobalLimit"):
+        assert word not in plan

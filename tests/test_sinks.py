@@ -71,7 +71,7 @@ def test_export_csv(spark, tmp_path):
 
 
 def test_csv_names():
-    assert tables.csv_names(["r.id", "s.id", "a.b.c", ".x", "n"]) == ["id", "id_#2", "b.c", ".x", "n"]
+    assert tables.csv_names(["r.id", "s.id", "id_2", "a.b.c", ".x"]) == ["id", "id_2", "id_2_2", "b.c", ".x"]
 
 
 def test_jdbc_write_options():
