@@ -46,7 +46,7 @@ class Views:
             F.concat(F.lit("T"), F.col("customer_id")).alias("transponder_id"),
             F.lit("1").alias("transponder_port"),
             "customer_id",
-            "reading_value",
+            F.col("reading_value").cast(MONEY).alias("reading_value"),
             F.lit("GAL").alias("unit_of_measure"),
             "reading_datetime",
             F.lit("UTC").alias("timezone"),

@@ -20,38 +20,57 @@ SLOT = "_slot"
 Parts = tuple[DataFrame, DataFrame | None]
 
 
+def _large(df: DataFrame, keys: Sequence[str], limits: Limits, *more: Column) -> DataFrame:
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *more)
+    return counted.where(F.col("_rows") > limits.hot_rows)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, limits: Limits) -> DataFrame:
-    """Keys above ``limits.hot_rows`` rows, with the start and width (seconds) of their slots.
+    """Keys above ``limits.hot_rows`` rows, with their time span in seconds and a slot width.
 
     At most (rows of ``df`` / ``hot_rows``) keys can qualify, which bounds the table: 5e5 keys for
-    5e11 rows at the default. Counting reads two columns and combines before its shuffle.
+    5e11 rows at the default. Counting reads two columns and combines before its shuffle. The width
+    follows the different moments, not the copies of one, and fills slots by half if these are even.
     """
     second = epoch(F.col(ts))
-    counted = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(second).alias("_lo"), F.max(second).alias("_hi")
+    large = _large(
+        df,
+        keys,
+        limits,
+        F.approx_count_distinct(ts).alias("_moments"),
+        F.min(second).alias("_lo"),
+        F.max(second).alias("_hi"),
     )
-    slots = F.ceil(F.col("_rows") / F.lit(limits.hot_rows))
+    slots = F.greatest(F.lit(1), F.ceil(2 * F.col("_moments") / F.lit(limits.hot_rows)))
     width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / slots))
-    return counted.where(F.col("_rows") > limits.hot_rows).select(
-        *keys, F.col("_lo"), width.cast("bigint").alias("_width")
-    )
+    return large.select(*keys, "_moments", "_lo", "_hi", width.cast("bigint").alias("_width"))
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], ts: str, limits: Limits) -> Parts:
     """``df`` in two parts: rows of ordinary keys, and rows of hot keys with their time slot.
 
-    Runs the count of ``hot_keys``; without a hot key the second part is None. The result does not
-    depend on which keys count as hot, only its plan does.
+    A slot is named by its first second. Slots that are still too full, as in a burst, are cut again
+    until they hold about ``limits.hot_rows`` moments or last one second. Counts rows per key first,
+    reading the keys alone; without a hot key the second part is None. The result does not depend on
+    which keys count as hot, only its plan does.
     """
-    hot = hot_keys(df, keys, ts, limits)
-    if hot.isEmpty():
+    if _large(df, keys, limits).isEmpty():
         return df, None
-    small = F.broadcast(_renamed(hot, keys, "_hot_"))  # bounded: see hot_keys
+    small = F.broadcast(_renamed(hot_keys(df, keys, ts, limits), keys, "_hot_"))  # see hot_keys
     match = _match(keys, "_hot_")
     ordinary = df.join(small, match, "left_anti")
-    slot = F.floor((epoch(F.col(ts)) - F.col("_lo")) / F.col("_width")).cast("bigint")
-    slotted = df.join(small, match).withColumn(SLOT, slot)
-    return ordinary, slotted.select(*df.columns, SLOT)
+    steps = F.floor((epoch(F.col(ts)) - F.col("_lo")) / F.col("_width"))
+    start = (F.col("_lo") + steps * F.col("_width")).cast("bigint")
+    slotted = df.join(small, match).select(*df.columns, start.alias(SLOT))
+    on = [*keys, SLOT]
+    crowded = (F.col("_moments") > limits.hot_rows) & (F.col("_hi") > F.col("_lo"))
+    while True:
+        full = hot_keys(slotted, on, ts, limits).where(crowded)
+        if full.isEmpty():
+            return ordinary, slotted
+        small = F.broadcast(_renamed(full, on, "_full_"))
+        cut = slotted.join(small, _match(on, "_full_"), "left")
+        slotted = cut.select(*df.columns, F.coalesce(start, F.col(SLOT)).alias(SLOT))
 
 
 def newest_first(

@@ -9,7 +9,7 @@ from tests.frames import day, frame, out, ts
 
 READING = "meter_id string, reading_datetime timestamp_ntz, reading_value decimal(18,2)"
 KEYS, TS, VALUE = ["meter_id"], "reading_datetime", "reading_value"
-LIMITS = [Limits(), Limits(hot_rows=1), Limits(hot_rows=2)]
+LIMITS = [Limits(), Limits(hot_rows=1)]
 
 
 def delta(df, **kw):
