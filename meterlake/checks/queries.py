@@ -313,11 +313,11 @@ def replace_all(v: Views) -> DataFrame:
 
 
 def overwrite_if_any(v: Views) -> DataFrame:
-    """The backfill marts: the schedule stays when the new one is empty."""
+    """The backfill marts; then a schedule without rows, which leaves the stored one in place."""
     out = jobs.Marts(sinks.scratch(v.spark, "backfill"))
     jobs.publish_backfill(backfill_hourly(v), backfill_daily(v), next_read(v), out)
     empty = schedule.next_read(v.order_schedule(), dt.date(2100, 1, 1))
-    jobs.publish_backfill(backfill_hourly(v), backfill_daily(v), empty, out)
+    sinks.overwrite_if_any(empty, out.next_read)
     return _back(v, out.next_read)
 
 

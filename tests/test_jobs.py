@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake import Params
+from meterlake.__main__ import main
 from meterlake.checks.views import Views
 from meterlake.plans import jobs
 from meterlake.sources import Tables
@@ -106,6 +107,13 @@ def test_empty_account_result_keeps_the_slice(spark, tables, tmp_path):
     assert spark.read.parquet(marts.reads.path).count() == before
 
 
+def test_command_line(spark, tables, tmp_path, capsys):
+    main(["--steps", "hourly, next_read", "--marts", str(tmp_path), "--tables", tables.root,
+          "--params", '{"as_of": "2024-01-20"}'])
+    printed = capsys.readouterr().out
+    assert "hourly: " in printed and "next_read: done" in printed
+
+
 def test_export_query(spark, tables, tmp_path):
     tables.load("locations").createOrReplaceTempView("places")
     sql = tmp_path / "q.sql"
