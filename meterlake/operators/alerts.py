@@ -18,6 +18,7 @@ OUTBOX_KEY = (
     "register",
     "run_date",
 )
+# The audit columns that hold a reply.
 RESULTS = ("event_result", "event_result_info1", "event_extra_info1")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from meterlake.functions import amount, days_span, limit, per_day, round2, stddev
 from meterlake.operators.horizon import after, where_code
 
+# Account key, reason code of a billing reading, flag of an active meter.
 ACCOUNT = ("meter_id", "business_partner_number", "connection_contract_number")
 BILLING_REASON = "01"
 ACTIVE = "Yes"

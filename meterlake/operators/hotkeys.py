@@ -173,6 +173,17 @@ def fits(df: DataFrame, rows: int) -> bool:
     return rows > 0 and df.count() <= rows
 
 
+def keep_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str], limits: Limits) -> DataFrame:
+    """Rows whose keys are in ``wanted``, if that is small enough to filter before a shuffle.
+
+    A larger ``wanted`` leaves ``df`` as it is, so the caller must not rely on the filter.
+    """
+    if not fits(wanted, limits.broadcast_rows):
+        return df
+    small = F.broadcast(_renamed(wanted, keys, "_wanted_"))
+    return df.join(small, _match(keys, "_wanted_"), "left_semi")
+
+
 def sized_join(
     big: DataFrame,
     small: DataFrame,

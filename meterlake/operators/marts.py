@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import to_id
 
-#: Mart name of each result column that is stored under another name.
+# The columns of the reads mart, and the result columns stored under another name.
 READS_MAPPING = {
     "meter_id": "headend_meter_id",
     "utilitiescontract": "contract",

@@ -13,6 +13,7 @@ from meterlake.operators.horizon import after_event, having, where_code
 from meterlake.operators.hotkeys import sized_join
 from meterlake.params import Limits, Params
 
+# Endpoint group and endpoint type of the meters in question.
 AMI_GROUP = "AMI"
 AMI_ENDPOINT = "20"
 

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from meterlake.functions import to_id
 from meterlake.operators.horizon import where_code
 
+# Column names of the master data and the code of the sewer division.
 DEVICE = ("devicevaliditystartdate", "devicevalidityenddate")
 REGISTER = ("registervaliditystartdate", "registervalidityenddate")
 OCCUPANCY = ("utilitiesmoveindate", "utilitiesmoveoutdate")
 
+SEWER = "SW"
 DEVICE_COLUMNS = ("equipmentnumber", "installation", "register", "logicalregisternumber")
 CONTRACT_COLUMNS = (
     "businesspartnernumber",
@@ -55,7 +57,7 @@ def enrich_device(df: DataFrame, device: DataFrame, as_of: dt.date) -> DataFrame
 
 def premise_registers(premise: DataFrame, device: DataFrame, as_of: dt.date) -> DataFrame:
     """Registers installed at each premise, sewer division aside."""
-    served = where_code(premise, "division", "SW", negate=True).select(
+    served = where_code(premise, "division", SEWER, negate=True).select(
         to_id(F.col("utilitiespremise")).alias("utilities_premise"),
         F.col("utilitiesinstallation").alias("installation"),
     )

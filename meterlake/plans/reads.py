@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import horizon, intervals, marts, validity
 from meterlake.operators.feeds import METER, TS, VALUE, normalise_account_feed, normalise_customer_feed
-from meterlake.operators.hotkeys import sized_join
+from meterlake.operators.hotkeys import keep_keys, sized_join
 from meterlake.params import Params
 
 NEWEST = "ingest_watermark"
-#: Window of the account feed where its own settings are ignored (parity only).
+# Days of the account feed, whose own settings are ignored under parity.
 PARITY_HOURLY, PARITY_DAILY = -2, -62
 
 
@@ -141,7 +141,7 @@ def daily_reads_account(
     return _account_mart(_typed(rows, "DAILY", params))
 
 
-#: Column names of the contract table that the backfills read.
+# Column names of the contract table that the backfills read.
 BACKFILL_CONTRACT = {
     "moveindate": "utilitiesmoveindate",
     "moveoutdate": "utilitiesmoveoutdate",
@@ -159,6 +159,21 @@ def _backfill_points(
     return validity.points_by_location(location, device, wanted, params.as_of)
 
 
+def meters_seen_at(feed: DataFrame, points: DataFrame, place: str, params: Params) -> DataFrame:
+    """Readings of the meters that have a reading at one of the service points.
+
+    A few districts need few of all meters. The filter keeps whole meters, as the reading before may
+    have been taken at another place.
+    """
+    if not params.districts:
+        return feed
+    seen = feed.select(METER, place)
+    here = keep_keys(seen, points.select(place).distinct(), [place], params.limits)
+    if here is seen:
+        return feed
+    return keep_keys(feed, here.select(METER).distinct(), [METER], params.limits)
+
+
 def _slot_begin(params: Params) -> dt.datetime:
     if params.slot_begin is None:
         raise ValueError("a backfill needs slot_begin")
@@ -175,6 +190,7 @@ def backfill_hourly(
     """All readings after ``slot_begin`` in the districts, with consumption; 16 columns."""
     feed = horizon.since(normalise_customer_feed(readings), TS, _slot_begin(params))
     points = _backfill_points(location, device, contract, params)
+    feed = meters_seen_at(feed, points, "functionallocation", params)
     deltas = hourly_deltas(feed, "functionallocation", params)
     rows = sized_join(deltas, points, ["functionallocation"], params.limits)
     return marts.select_mart(rows, marts.READS_MAPPING, *BACKFILL_COLUMNS)
@@ -190,6 +206,7 @@ def backfill_daily(
     """Last reading of each day after ``slot_begin`` in the districts; 16 columns."""
     feed = horizon.since(normalise_customer_feed(readings), TS, _slot_begin(params))
     points = _backfill_points(location, device, contract, params)
+    feed = meters_seen_at(feed, points, "functionallocation", params)
     last = daily_last(feed, "functionallocation", params)
     rows = daily_enriched(last, points, "functionallocation", params)
     return marts.select_mart(rows, marts.READS_MAPPING, *BACKFILL_COLUMNS)

@@ -108,8 +108,8 @@ def write_jdbc(
     mode: str = "append",
     connections: int = 16,
 ) -> None:
-    """Write to a JDBC table over at most ``connections`` connections at a time."""
-    rows = df.coalesce(connections)
+    """Write to a JDBC table over ``connections`` connections; the plan before keeps its own tasks."""
+    rows = df.repartition(connections)
     rows.write.format("jdbc").mode(mode).options(**jdbc_write_options(url, table, props)).save()
 
 

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from meterlake import Params
+from meterlake import Limits, Params
 from meterlake.operators import marts
 from meterlake.plans import reads
 from tests.frames import day, frame, out, ts
@@ -154,6 +154,25 @@ def test_backfill(spark, master):
         reads.backfill_hourly(readings, location, devices, renamed, replace(params, slot_begin=None))
 
 
+@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0)])
+def test_backfill_of_a_meter_that_moved(spark, master, limits):
+    """The reading before may belong to another district."""
+    location, devices, contracts = master
+    renamed = contracts.withColumnsRenamed({v: k for k, v in reads.BACKFILL_CONTRACT.items()})
+    readings = customer(
+        spark,
+        ("m", 7, 1.0, "2024-03-09 12:00:00"),
+        ("m", 8, 4.0, "2024-03-10 12:00:00"),
+        ("other", 7, 4.0, "2024-03-10 12:00:00"),
+        (None, 8, 1.0, "2024-03-10 12:00:00"),
+    )
+    params = replace(PARAMS, districts=("D2",), limits=limits)
+    for build in (reads.backfill_hourly, reads.backfill_daily):
+        df = build(readings, location, devices, renamed, params)
+        got = out(df.select("headend_meter_id", "consumption"), "headend_meter_id")
+        assert got == [(None, None), ("m", Decimal("3.00"))]
+
+
 def test_mart_row(spark):
     df = frame(
         spark, "consumption decimal(18,2), read_interval int, installation string, contract bigint, name string",
