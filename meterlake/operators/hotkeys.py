@@ -191,20 +191,25 @@ def sized_join(
     limits: Limits,
     *,
     bound: DataFrame | None = None,
-    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Inner equi-join that broadcasts ``small`` only when a count shows that it fits.
 
-    ``bound`` is a table with at least as many rows as ``small`` that is cheaper to count. Above
-    the limit both sides are shuffled. With ``spread`` each key is shared by ``limits.salts`` tasks,
-    chosen by the hash of those columns of ``big``, and ``small`` is repeated that often: needed
-    when the result is grouped by ``on`` again, where adaptive execution will not split a hot key.
+    ``bound`` is a table with at least as many rows as ``small`` that is cheaper to count. Above the
+    limit both sides are shuffled, and adaptive execution splits a hot key.
     """
-    on = list(on)
     if fits(small if bound is None else bound, limits.broadcast_rows):
-        return big.join(F.broadcast(small), on)
-    if not spread or limits.salts == 1:
-        return big.join(small, on)
+        small = F.broadcast(small)
+    return big.join(small, list(on))
+
+
+def salted_join(
+    big: DataFrame, small: DataFrame, on: Sequence[str], spread: Sequence[str], limits: Limits
+) -> DataFrame:
+    """Inner equi-join in which ``limits.salts`` tasks share a key, by the hash of ``spread``.
+
+    ``small`` is repeated that often. For a result that is grouped by ``on`` again: adaptive
+    execution does not split a hot key there, as the grouping would need one more shuffle.
+    """
     salt = F.pmod(F.xxhash64(*spread), F.lit(limits.salts)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1)))
     salted = big.withColumn("_salt", salt).join(small.withColumn("_salt", copies), [*on, "_salt"])

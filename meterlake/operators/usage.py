@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meterlake.functions import EXACT, amount, day_part, ltrim0, round2, to_id
 from meterlake.operators import billing
 from meterlake.operators.horizon import after_event, having, where_code
-from meterlake.operators.hotkeys import sized_join
+from meterlake.operators.hotkeys import fits, salted_join
 from meterlake.params import Limits, Params
 
 # Endpoint group and endpoint type of the meters in question.
@@ -33,24 +33,20 @@ def daily_usage(reads: DataFrame, suffix: str = "") -> DataFrame:
 
 
 def reads_after_bill(
-    reads: DataFrame,
-    last_bill: DataFrame,
-    limits: Limits,
-    bound: DataFrame | None = None,
+    reads: DataFrame, last_bill: DataFrame, limits: Limits, bound: DataFrame
 ) -> DataFrame:
     """Reads later than the account meter's last billing reading.
 
-    ``last_bill`` has one row per account meter, so the meters table bounds its size. The reads of
-    a hot account are shared by several tasks, as the result is summed by account again.
+    ``last_bill`` has one row per account meter, so the meters table ``bound`` limits its size. If it
+    is too large to broadcast, the reads of one moment are added up before the shuffle, and several
+    tasks share the moments of an account, as the result is summed by account again.
     """
-    joined = sized_join(
-        reads,
-        last_bill,
-        billing.ACCOUNT,
-        limits,
-        bound=bound,
-        spread=["reading_datetime", "register"],
-    )
+    if fits(bound, limits.broadcast_rows):
+        joined = reads.join(F.broadcast(last_bill), list(billing.ACCOUNT))
+    else:
+        moment = [c for c in reads.columns if c != "consumption"]
+        summed = reads.groupBy(*moment).agg(F.sum("consumption").alias("consumption"))
+        joined = salted_join(summed, last_bill, billing.ACCOUNT, ["reading_datetime"], limits)
     return after_event(joined, "reading_datetime", "last_read_time")
 
 

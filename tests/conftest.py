@@ -13,9 +13,9 @@ def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     spark = session(
         "tests",
-        "local[4]",
+        "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.checkpoint.dir": str(shared),
             "spark.sql.warehouse.dir": str(shared / "warehouse"),
         },

@@ -75,17 +75,17 @@ def test_running_total(readings):
     assert totals(Limits(hot_rows=40)) == totals(Limits())
 
 
-@pytest.mark.parametrize("spread", [(), (TS,)])
-def test_sized_join(spark, readings, spread):
+def test_joins_give_the_same_rows(spark, readings):
     names = readings.select("meter_id").distinct().withColumn("name", F.concat(F.lit("n"), "meter_id"))
 
-    def rows(limits):
-        df = hotkeys.sized_join(readings, names, KEYS, limits, spread=spread)
+    def rows(df):
         return sorted(map(str, df.select("meter_id", TS, VALUE, "name").collect()))
 
-    small = rows(Limits())
+    small = rows(hotkeys.sized_join(readings, names, KEYS, Limits()))
     assert len(small) == readings.count()
-    assert rows(Limits(broadcast_rows=3, salts=5)) == small
+    assert rows(hotkeys.sized_join(readings, names, KEYS, Limits(broadcast_rows=3))) == small
+    assert rows(hotkeys.salted_join(readings, names, KEYS, [TS], Limits(salts=5))) == small
+    assert rows(hotkeys.salted_join(readings, names, KEYS, [TS], Limits(salts=1))) == small
 
 
 def test_broadcast_only_within_the_limit(spark, readings, capsys):
