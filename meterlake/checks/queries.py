@@ -18,6 +18,7 @@ from meterlake.operators import usage as use
 from meterlake.operators import validity
 from meterlake.operators.feeds import METER, TS, VALUE
 from meterlake.plans import jobs, reads
+from meterlake.session import scratch
 from meterlake.sources import Tables, drop, register, run_sql
 
 READS_DAY = dt.date(2024, 1, 20)
@@ -288,7 +289,7 @@ def _back(v: Views, target: sinks.Target) -> DataFrame:
 
 
 def append_reads(v: Views) -> DataFrame:
-    target = sinks.Target.reads(sinks.scratch(v.spark, "append"))
+    target = sinks.Target.reads(scratch(v.spark, "append"))
     rows = _mart(hourly_enriched(v))
     sinks.append(rows, target)
     sinks.append(rows, target)
@@ -298,7 +299,7 @@ def append_reads(v: Views) -> DataFrame:
 def replace_slice(v: Views) -> DataFrame:
     """The hourly slice is written twice and stays once; the daily slice and an empty frame
     leave it alone."""
-    target = sinks.Target.reads(sinks.scratch(v.spark, "slice"))
+    target = sinks.Target.reads(scratch(v.spark, "slice"))
     hourly, daily = _mart(hourly_enriched(v)), _mart(daily_enriched(v))
     for rows in (hourly, daily, hourly, daily.where(F.lit(False))):
         sinks.replace_slice(rows, target)
@@ -306,7 +307,7 @@ def replace_slice(v: Views) -> DataFrame:
 
 
 def replace_all(v: Views) -> DataFrame:
-    target = sinks.Target(sinks.scratch(v.spark, "all"))
+    target = sinks.Target(scratch(v.spark, "all"))
     sinks.replace_all(last_bill(v), target)
     sinks.replace_all(next_read(v), target)
     return _back(v, target)
@@ -314,7 +315,7 @@ def replace_all(v: Views) -> DataFrame:
 
 def overwrite_if_any(v: Views) -> DataFrame:
     """The backfill marts; then a schedule without rows, which leaves the stored one in place."""
-    out = jobs.Marts(sinks.scratch(v.spark, "backfill"))
+    out = jobs.Marts(scratch(v.spark, "backfill"))
     jobs.publish_backfill(backfill_hourly(v), backfill_daily(v), next_read(v), out)
     empty = schedule.next_read(v.order_schedule(), dt.date(2100, 1, 1))
     sinks.overwrite_if_any(empty, out.next_read)
@@ -323,7 +324,7 @@ def overwrite_if_any(v: Views) -> DataFrame:
 
 def export_csv(v: Views) -> DataFrame:
     """SQL text in a file, run over a view, written as CSV and read back."""
-    folder = sinks.scratch(v.spark, "export")
+    folder = scratch(v.spark, "export")
     text = "SELECT r.meter_id, r.reading_datetime, r.reading_value FROM readings_to_export r"
     v.spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/sql")
     register(v.readings(), "readings_to_export")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions import epoch
 from meterlake.params import Limits
+from meterlake.session import written_once
 
 SLOT = "_slot"
 Parts = tuple[DataFrame, DataFrame | None]
@@ -56,7 +57,8 @@ def split_hot(df: DataFrame, keys: Sequence[str], ts: str, limits: Limits) -> Pa
     """
     if _large(df, keys, limits).isEmpty():
         return df, None
-    small = F.broadcast(_renamed(hot_keys(df, keys, ts, limits), keys, "_hot_"))  # see hot_keys
+    hot = written_once(hot_keys(df, keys, ts, limits), "hot-keys")
+    small = F.broadcast(_renamed(hot, keys, "_hot_"))  # bounded: see hot_keys
     match = _match(keys, "_hot_")
     ordinary = df.join(small, match, "left_anti")
     steps = F.floor((epoch(F.col(ts)) - F.col("_lo")) / F.col("_width"))
@@ -65,7 +67,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], ts: str, limits: Limits) -> Pa
     on = [*keys, SLOT]
     crowded = (F.col("_moments") > limits.hot_rows) & (F.col("_hi") > F.col("_lo"))
     while True:
-        full = hot_keys(slotted, on, ts, limits).where(crowded)
+        full = written_once(hot_keys(slotted, on, ts, limits).where(crowded), "full-slots")
         if full.isEmpty():
             return ordinary, slotted
         small = F.broadcast(_renamed(full, on, "_full_"))

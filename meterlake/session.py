@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: AQE removes the slot branch when no meter is hot, splits skewed joins and sizes shuffles.
 SETTINGS = {
@@ -22,3 +25,37 @@ def session(app: str = "meterlake", master: str | None = None, **extra: str) ->
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder of ``spark.checkpoint.dir``; a local session without it gets one of its machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and spark.sparkContext.master.startswith("local"):
+        base = tempfile.mkdtemp(prefix="meterlake-")
+    return base or None
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared one."""
+    base = shared_folder(spark)
+    if base is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _inside(base, name)
+
+
+def _inside(base: str, name: str) -> str:
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` through a table in the shared folder, so that several uses compute it once.
+
+    For small results of large inputs. Survives lost executors. On a cluster without a shared folder
+    ``df`` is returned as it is, and each use computes it.
+    """
+    base = shared_folder(df.sparkSession)
+    if base is None:
+        return df
+    path = _inside(base, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,6 @@ from meterlake.sinks.tables import (
     overwrite_if_any,
     replace_all,
     replace_slice,
-    scratch,
     write_jdbc,
 )
 
@@ -20,6 +19,5 @@ __all__ = [
     "overwrite_if_any",
     "replace_all",
     "replace_slice",
-    "scratch",
     "write_jdbc",
 ]

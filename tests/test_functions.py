@@ -69,3 +69,12 @@ def test_limit_of_exact_sums(spark):
 def test_day_offset_and_epoch(spark):
     assert one(spark, fn.day_offset(dt.date(2024, 3, 1), -1)) == dt.datetime(2024, 2, 29)
     assert one(spark, fn.epoch(fn.ntz(dt.date(1970, 1, 2)))) == 86400
+
+
+def test_epoch_does_not_depend_on_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        gap = fn.epoch(fn.ntz(dt.datetime(2024, 3, 10, 4))) - fn.epoch(fn.ntz(dt.datetime(2024, 3, 10, 1)))
+        assert one(spark, gap) == 3 * 3600
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

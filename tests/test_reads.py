@@ -5,6 +5,8 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from meterlake import Limits, Params
 from meterlake.operators import marts
 from meterlake.plans import reads
@@ -62,6 +64,19 @@ def test_hourly(spark, master):
     ]
 
 
+def test_zoned_sources(spark, master):
+    """Catalog tables may hold timestamps with a zone, and validity dates as timestamps."""
+    location, devices, contracts = master
+    readings = customer(
+        spark, ("m8", 8, 1.0, "2024-03-08 00:00:00"), ("m8", 8, 2.5, "2024-03-11 00:00:00"),
+        ("m8", 8, 3.5, "2024-03-11 00:00:01"),
+    )
+    zoned = readings.withColumn("reading_datetime", F.col("reading_datetime").cast("timestamp"))
+    dated = devices.withColumn("devicevalidityenddate", F.lit("2024-03-10 00:00:00").cast("timestamp"))
+    df = reads.hourly_reads(zoned, location, dated, contracts, PARAMS)
+    assert out(df.select("consumption", "read_interval"), "read_interval") == [(None, None), (Decimal("1.50"), 259200)]
+
+
 def test_interval_suffix(spark, master):
     readings = customer(spark, ("m8", 8, 1.0, "2024-03-08 00:00:00"))
     df = reads.hourly_reads(readings, *master, replace(PARAMS, interval_suffix="_X"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from meterlake import sinks
 from meterlake.operators import marts
+from meterlake.session import scratch, written_once
 from meterlake.sinks import tables
 from tests.frames import frame, out
 
@@ -81,10 +82,18 @@ def test_jdbc_write_options():
 
 def test_scratch_is_under_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
-    first, second = sinks.scratch(spark, "x"), sinks.scratch(spark, "x")
+    first, second = scratch(spark, "x"), scratch(spark, "x")
     assert first.startswith(f"{shared}/x-") and first != second
 
 
+def test_written_once(spark):
+    df = spark.range(5).where("id > 2")
+    kept = written_once(df, "kept")
+    assert out(kept, "id") == [(3,), (4,)]
+    assert "parquet" in kept.inputFiles()[0]
+    assert written_once(df.where("id > 9"), "none").isEmpty()
+
+
 def test_dates_are_not_shifted(spark, tmp_path):
     target = sinks.Target(str(tmp_path / "t"))
     sinks.replace_all(frame(spark, "d date", ("2024-03-10",)), target)

@@ -23,8 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from meterlake import Limits, Params  # noqa: E402
 from meterlake.checks.views import Views  # noqa: E402
 from meterlake.plans import reads  # noqa: E402
-from meterlake.session import session  # noqa: E402
-from meterlake.sinks import scratch  # noqa: E402
+from meterlake.session import scratch, session  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
