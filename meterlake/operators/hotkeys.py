@@ -9,6 +9,7 @@ large, take the plain window: one shuffle by key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -175,33 +176,35 @@ def fits(df: DataFrame, rows: int) -> bool:
     return rows > 0 and df.count() <= rows
 
 
-def keep_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str], limits: Limits) -> DataFrame:
+class Measured(NamedTuple):
+    """A table with the answer to whether it may be broadcast."""
+
+    df: DataFrame
+    fits: bool
+
+
+def measured(df: DataFrame, limits: Limits) -> Measured:
+    """Counts ``df`` once, for all joins with it."""
+    return Measured(df, fits(df, limits.broadcast_rows))
+
+
+def keep_keys(df: DataFrame, wanted: Measured, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys are in ``wanted``, if that is small enough to filter before a shuffle.
 
     A larger ``wanted`` leaves ``df`` as it is, so the caller must not rely on the filter.
     """
-    if not fits(wanted, limits.broadcast_rows):
+    if not wanted.fits:
         return df
-    small = F.broadcast(_renamed(wanted, keys, "_wanted_"))
+    small = F.broadcast(_renamed(wanted.df.select(*keys).distinct(), keys, "_wanted_"))
     return df.join(small, _match(keys, "_wanted_"), "left_semi")
 
 
-def sized_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    limits: Limits,
-    *,
-    bound: DataFrame | None = None,
-) -> DataFrame:
-    """Inner equi-join that broadcasts ``small`` only when a count shows that it fits.
+def sized_join(big: DataFrame, small: Measured, on: Sequence[str]) -> DataFrame:
+    """Inner equi-join that broadcasts ``small`` only when its count shows that it fits.
 
-    ``bound`` is a table with at least as many rows as ``small`` that is cheaper to count. Above the
-    limit both sides are shuffled, and adaptive execution splits a hot key.
+    Above the limit both sides are shuffled, and adaptive execution splits a hot key.
     """
-    if fits(small if bound is None else bound, limits.broadcast_rows):
-        small = F.broadcast(small)
-    return big.join(small, list(on))
+    return big.join(F.broadcast(small.df) if small.fits else small.df, list(on))
 
 
 def salted_join(

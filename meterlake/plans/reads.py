@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import horizon, intervals, marts, validity
 from meterlake.operators.feeds import METER, TS, VALUE, normalise_account_feed, normalise_customer_feed
-from meterlake.operators.hotkeys import keep_keys, sized_join
+from meterlake.operators.hotkeys import Measured, keep_keys, measured, sized_join
 from meterlake.params import Params
 
 NEWEST = "ingest_watermark"
@@ -49,15 +49,15 @@ def daily_last(readings: DataFrame, place: str, params: Params) -> DataFrame:
     return intervals.with_copies(_reading(last, place))
 
 
-def daily_enriched(last: DataFrame, points: DataFrame, place: str, params: Params) -> DataFrame:
+def daily_enriched(last: DataFrame, points: Measured, place: str, params: Params) -> DataFrame:
     """Daily rows with consumption and service point.
 
     The change from day to day is taken per meter and then joined; with parity it is taken after the
     join, so that registers of one meter follow each other with delta 0.
     """
     if not params.parity:
-        return sized_join(intervals.day_delta(last, [METER], TS, VALUE), points, [place], params.limits)
-    rows = sized_join(last, points, [place], params.limits)
+        return sized_join(intervals.day_delta(last, [METER], TS, VALUE), points, [place])
+    rows = sized_join(last, points, [place])
     rest = [c for c in rows.columns if c not in (METER, TS, VALUE, intervals.COPIES)]
     w = Window.partitionBy(METER).orderBy(TS, VALUE, "register", *[c for c in rest if c != "register"])
     rows = rows.withColumns({"_prev_ts": F.lag(TS, 1).over(w), "_prev_value": F.lag(VALUE, 1).over(w)})
@@ -87,9 +87,11 @@ def hourly_reads(
     """Readings of the recent days up to tomorrow's midnight, customer feed; 17 columns."""
     feed = normalise_customer_feed(readings)
     recent = horizon.in_horizon(feed, TS, params.as_of, params.days_minus_hourly, 1)
-    points = validity.points_by_location(location, device, contract, params.as_of)
+    points = measured(
+        validity.points_by_location(location, device, contract, params.as_of), params.limits
+    )
     deltas = hourly_deltas(recent, "functionallocation", params)
-    rows = sized_join(deltas, points, ["functionallocation"], params.limits)
+    rows = sized_join(deltas, points, ["functionallocation"])
     return _customer_mart(_typed(rows, "HOURLY", params))
 
 
@@ -103,7 +105,9 @@ def daily_reads(
     """Last reading of each day up to today's midnight, customer feed; 17 columns."""
     feed = normalise_customer_feed(readings)
     recent = horizon.in_horizon(feed, TS, params.as_of, params.days_minus_daily, 0)
-    points = validity.points_by_location(location, device, contract, params.as_of)
+    points = measured(
+        validity.points_by_location(location, device, contract, params.as_of), params.limits
+    )
     last = daily_last(recent, "functionallocation", params)
     rows = daily_enriched(last, points, "functionallocation", params)
     return _customer_mart(_typed(rows, "DAILY", params))
@@ -119,9 +123,11 @@ def hourly_reads_account(
     """As ``hourly_reads`` for the account feed, located by premise; 18 columns."""
     days = PARITY_HOURLY if params.parity else params.days_minus_hourly
     recent = horizon.in_horizon(normalise_account_feed(readings), TS, params.as_of, days, 1)
-    points = validity.points_by_premise(premise, device, contract, params.as_of)
+    points = measured(
+        validity.points_by_premise(premise, device, contract, params.as_of), params.limits
+    )
     deltas = hourly_deltas(recent, "utilities_premise", params)
-    rows = sized_join(deltas, points, ["utilities_premise"], params.limits)
+    rows = sized_join(deltas, points, ["utilities_premise"])
     return _account_mart(_typed(rows, "HOURLY", params))
 
 
@@ -135,7 +141,9 @@ def daily_reads_account(
     """As ``daily_reads`` for the account feed, located by premise; 18 columns."""
     days = PARITY_DAILY if params.parity else params.days_minus_daily
     recent = horizon.in_horizon(normalise_account_feed(readings), TS, params.as_of, days, 0)
-    points = validity.points_by_premise(premise, device, contract, params.as_of)
+    points = measured(
+        validity.points_by_premise(premise, device, contract, params.as_of), params.limits
+    )
     last = daily_last(recent, "utilities_premise", params)
     rows = daily_enriched(last, points, "utilities_premise", params)
     return _account_mart(_typed(rows, "DAILY", params))
@@ -153,25 +161,23 @@ BACKFILL_COLUMNS = tuple(c for c in marts.READ_COLUMNS if c != "read_interval_ty
 
 def _backfill_points(
     location: DataFrame, device: DataFrame, contract: DataFrame, params: Params
-) -> DataFrame:
+) -> Measured:
     current = marts.select_mart(contract, BACKFILL_CONTRACT)
     wanted = horizon.in_districts(current, params.districts, "regionalstructuregrouping")
-    return validity.points_by_location(location, device, wanted, params.as_of)
+    points = validity.points_by_location(location, device, wanted, params.as_of)
+    return measured(points, params.limits)
 
 
-def meters_seen_at(feed: DataFrame, points: DataFrame, place: str, params: Params) -> DataFrame:
+def meters_seen_at(feed: DataFrame, points: Measured, place: str, params: Params) -> DataFrame:
     """Readings of the meters that have a reading at one of the service points.
 
     A few districts need few of all meters. The filter keeps whole meters, as the reading before may
     have been taken at another place.
     """
-    if not params.districts:
-        return feed
-    seen = feed.select(METER, place)
-    here = keep_keys(seen, points.select(place).distinct(), [place], params.limits)
-    if here is seen:
+    if not (params.districts and points.fits):
         return feed
-    return keep_keys(feed, here.select(METER).distinct(), [METER], params.limits)
+    here = keep_keys(feed.select(METER, place), points, [place]).select(METER).distinct()
+    return keep_keys(feed, measured(here, params.limits), [METER])
 
 
 def _slot_begin(params: Params) -> dt.datetime:
@@ -192,7 +198,7 @@ def backfill_hourly(
     points = _backfill_points(location, device, contract, params)
     feed = meters_seen_at(feed, points, "functionallocation", params)
     deltas = hourly_deltas(feed, "functionallocation", params)
-    rows = sized_join(deltas, points, ["functionallocation"], params.limits)
+    rows = sized_join(deltas, points, ["functionallocation"])
     return marts.select_mart(rows, marts.READS_MAPPING, *BACKFILL_COLUMNS)
 
 

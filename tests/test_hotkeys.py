@@ -81,9 +81,12 @@ def test_joins_give_the_same_rows(spark, readings):
     def rows(df):
         return sorted(map(str, df.select("meter_id", TS, VALUE, "name").collect()))
 
-    small = rows(hotkeys.sized_join(readings, names, KEYS, Limits()))
+    def joined(limits):
+        return hotkeys.sized_join(readings, hotkeys.measured(names, limits), KEYS)
+
+    small = rows(joined(Limits()))
     assert len(small) == readings.count()
-    assert rows(hotkeys.sized_join(readings, names, KEYS, Limits(broadcast_rows=3))) == small
+    assert rows(joined(Limits(broadcast_rows=3))) == small
     assert rows(hotkeys.salted_join(readings, names, KEYS, [TS], Limits(salts=5))) == small
     assert rows(hotkeys.salted_join(readings, names, KEYS, [TS], Limits(salts=1))) == small
 
@@ -92,13 +95,12 @@ def test_broadcast_only_within_the_limit(spark, readings, capsys):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         names = readings.select("meter_id").distinct()
-        hotkeys.sized_join(readings, names, KEYS, Limits()).explain()
+        hotkeys.sized_join(readings, hotkeys.measured(names, Limits()), KEYS).explain()
         assert "BroadcastHashJoin" in capsys.readouterr().out
-        hotkeys.sized_join(readings, names, KEYS, Limits(broadcast_rows=5)).explain()
-        assert "BroadcastHashJoin" not in capsys.readouterr().out
-        bound = spark.range(100)
-        hotkeys.sized_join(readings, names, KEYS, Limits(broadcast_rows=50), bound=bound).explain()
+        small = hotkeys.measured(names, Limits(broadcast_rows=5))
+        hotkeys.sized_join(readings, small, KEYS).explain()
         assert "BroadcastHashJoin" not in capsys.readouterr().out
+        assert hotkeys.keep_keys(readings, small, KEYS) is readings
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
