@@ -16,6 +16,7 @@ from meterlake.operators import horizon, intervals, marts, validity
 from meterlake.operators.feeds import METER, TS, VALUE, normalise_account_feed, normalise_customer_feed
 from meterlake.operators.hotkeys import Measured, keep_keys, measured, sized_join
 from meterlake.params import Params
+from meterlake.session import written_once
 
 NEWEST = "ingest_watermark"
 # Days of the account feed, whose own settings are ignored under parity.
@@ -177,7 +178,8 @@ def meters_seen_at(feed: DataFrame, points: Measured, place: str, params: Params
     if not (params.districts and points.fits):
         return feed
     here = keep_keys(feed.select(METER, place), points, [place]).select(METER).distinct()
-    return keep_keys(feed, measured(here, params.limits), [METER])
+    meters = written_once(here, "district-meters")
+    return keep_keys(feed, measured(meters, params.limits), [METER])
 
 
 def _slot_begin(params: Params) -> dt.datetime:

@@ -52,13 +52,15 @@ class Tables:
 
     ``root`` is a folder of parquet tables; without it names are looked up in the catalog.
     ``schemas`` gives the schema of a table, with ``""`` as the default for the others; ``names``
-    gives the physical name where it is not the logical one.
+    gives the physical name where it is not the logical one. ``frames`` holds tables that come from
+    elsewhere, such as ``load_jdbc``.
     """
 
     spark: SparkSession
     root: str | None = None
     schemas: Mapping[str, str] = field(default_factory=dict)
     names: Mapping[str, str] = field(default_factory=dict)
+    frames: Mapping[str, DataFrame] = field(default_factory=dict)
 
     def resolve(self, table: str) -> str:
         name = self.names.get(table, table)
@@ -69,5 +71,7 @@ class Tables:
         return "/".join(p for p in parts if p)
 
     def load(self, table: str) -> DataFrame:
+        if table in self.frames:
+            return self.frames[table]
         name = self.resolve(table)
         return self.spark.table(name) if self.root is None else self.spark.read.parquet(name)

@@ -19,6 +19,7 @@ def test_load(spark, tmp_path):
     assert Tables(spark, str(tmp_path)).load("numbers").count() == 3
     register(spark.range(2), "numbers_view")
     assert Tables(spark, names={"numbers": "numbers_view"}).load("numbers").count() == 2
+    assert Tables(spark, frames={"numbers": spark.range(7)}).load("numbers").count() == 7
     assert drop(spark, "numbers_view")
     assert not drop(spark, "numbers_view")
 
