@@ -55,7 +55,11 @@ def alerts(spark, reads, bills=EVEN, meters=(meter(),), params=PARAMS, next_read
 @pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0, salts=3)])
 def test_high_usage(spark, limits):
     params = replace(PARAMS, limits=limits)
-    used = [read("2024-03-01 00:00:00", "9999"), read("2024-03-02 00:00:00", "3000"), read("2024-03-03 00:00:00", "500")]
+    used = [
+        read("2024-03-01 00:00:00", "9999"),
+        read("2024-03-02 00:00:00", "3000"),
+        read("2024-03-03 00:00:00", "500"),
+    ]
     assert alerts(spark, used, params=params) == [
         ("5", ts("2024-03-01"), Decimal("3500.00"), Decimal("100.00"))
     ]
