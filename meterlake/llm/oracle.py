@@ -29,6 +29,36 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 FROM norm JOIN groups USING (norm)
 """
 
+_WORDS = """regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+OP9 = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item, least(len(w), 13) AS size,
+        array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS win
+    FROM (SELECT item, w, unnest(generate_series(1, greatest(1, len(w) - 12))) AS i FROM items WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') AS win
+    FROM (SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i
+          FROM docs, sizes WHERE len(w) >= size)
+), hits AS (SELECT doc_id, i, size, item FROM places JOIN windows USING (size, win)),
+hit_words AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS place FROM hits) GROUP BY doc_id
+), hit_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": OP7, "op8_exact_dedup": OP8}
+    return {"op7_line_dedup": OP7, "op8_exact_dedup": OP8, "op9_decontamination": OP9}

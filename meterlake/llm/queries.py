@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import exact_dedup, line_dedup
+from meterlake.llm import decontaminate, exact_dedup, line_dedup
 from meterlake.llm.shared import table
 
 
@@ -23,5 +23,18 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    judged = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op7_line_dedup, op8_exact_dedup)}
+    found = (op7_line_dedup, op8_exact_dedup, op9_decontamination)
+    return {f.__name__: f for f in found}

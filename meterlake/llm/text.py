@@ -108,3 +108,31 @@ def runs(hashes: np.ndarray, size: int) -> np.ndarray:
         out *= BASE
         out += hashes[i : len(out) + i]
     return mixed(out)
+
+
+def sliding(x: np.ndarray, size: int, best) -> np.ndarray:
+    """``best`` (np.minimum or np.maximum) over each run of ``size`` neighbours, by doubling."""
+    width = 1
+    while width < size:
+        step = min(width, size - width)
+        x = best(x[: len(x) - step], x[step:])
+        width += step
+    return x
+
+
+def minima(hashes: np.ndarray, bounds: np.ndarray, size: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) of the runs of ``size`` words that are least in a window of ``window`` runs of one text.
+
+    All of equal minima are kept. Any ``size + window - 1`` words that two texts share make both keep the
+    same run among them.
+    """
+    grams = runs(hashes, size)
+    least = sliding(grams, window, np.minimum)
+    if len(grams) < window:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    text_end = np.repeat(bounds[1:], np.diff(bounds))[: len(least)]
+    least = np.where(np.arange(len(least)) + size + window - 1 <= text_end, least, 0)
+    edge = np.zeros(window - 1, np.uint64)
+    most = sliding(np.concatenate([edge, least, edge]), window, np.maximum)
+    at = np.flatnonzero(most == grams)
+    return at, grams[at]
