@@ -4,6 +4,28 @@ from __future__ import annotations
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP4 = f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) USING (doc_id)
+"""
+
 OP7 = f"""
 WITH lines AS (
     SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
@@ -61,4 +83,4 @@ FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": OP7, "op8_exact_dedup": OP8, "op9_decontamination": OP9}
+    return {"op4_jaccard_join": OP4, "op7_line_dedup": OP7, "op8_exact_dedup": OP8, "op9_decontamination": OP9}

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, exact_dedup, line_dedup
+from meterlake.llm import decontaminate, exact_dedup, jaccard_join, line_dedup
 from meterlake.llm.shared import table
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.without_repeated_lines(docs).select(
@@ -36,5 +40,5 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = (op7_line_dedup, op8_exact_dedup, op9_decontamination)
+    found = (op4_jaccard_join, op7_line_dedup, op8_exact_dedup, op9_decontamination)
     return {f.__name__: f for f in found}
