@@ -5,14 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, exact_dedup, jaccard_join, line_dedup
+from meterlake.llm import decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, packing, quality
 from meterlake.llm.shared import table
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    judged = quality.judge(docs, table(spark, folder, "labels"))
+    return judged.select("doc_id", "lang", "perplexity", "threshold", "keep")
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.without_repeated_lines(docs).select(
@@ -40,5 +54,5 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = (op4_jaccard_join, op7_line_dedup, op8_exact_dedup, op9_decontamination)
+    found = (op2_html_extraction, op3_packing, op4_jaccard_join, op5_quality_classifier, op7_line_dedup, op8_exact_dedup, op9_decontamination)
     return {f.__name__: f for f in found}
