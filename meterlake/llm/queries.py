@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, packing, quality
+from meterlake.llm import decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, packing, quality, toxicity
 from meterlake.llm.shared import table
 
 
@@ -53,6 +53,10 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def queries() -> dict:
-    found = (op2_html_extraction, op3_packing, op4_jaccard_join, op5_quality_classifier, op7_line_dedup, op8_exact_dedup, op9_decontamination)
+    found = (op2_html_extraction, op3_packing, op4_jaccard_join, op5_quality_classifier, op7_line_dedup, op8_exact_dedup, op9_decontamination, op10_toxicity)
     return {f.__name__: f for f in found}
