@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, packing, quality, toxicity
+from meterlake.llm import decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, lm_scoring, packing, quality, toxicity
 from meterlake.llm.shared import table
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score(table(spark, folder, "documents"))
+
+
 def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
 
@@ -58,5 +62,5 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = (op2_html_extraction, op3_packing, op4_jaccard_join, op5_quality_classifier, op7_line_dedup, op8_exact_dedup, op9_decontamination, op10_toxicity)
+    found = (op1_lm_scoring, op2_html_extraction, op3_packing, op4_jaccard_join, op5_quality_classifier, op7_line_dedup, op8_exact_dedup, op9_decontamination, op10_toxicity)
     return {f.__name__: f for f in found}
