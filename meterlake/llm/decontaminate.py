@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.bits import BITS, bit_filter, buckets
+from meterlake.llm.bits import BITS, bit_filter, has
 from meterlake.llm.shared import stored
 from meterlake.llm.text import SYMBOL, chunks, minima, runs, text_array, words
 
@@ -64,7 +64,7 @@ def _document_rows(present, short):
         seen = present.value
         for batch in batches:
             for first, counts, text, at, hashes in _fingerprints(batch.column("text"), short, False):
-                hit = seen[buckets(hashes)]
+                hit = has(seen, hashes)
                 text, at, hashes = text[hit], at[hit], hashes[hit]
                 order = np.argsort(text, kind="stable")
                 ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(counts)))])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.bits import BITS, bit_filter, buckets
+from meterlake.llm.bits import BITS, bit_filter, buckets, has
 from meterlake.llm.components import components
 from meterlake.llm.shared import id_or_last, id_or_null, stored
 from meterlake.llm.text import BLANK, chunks, mixed, runs, text_array, words
@@ -243,7 +243,7 @@ def _search(of, n, component, side, points) -> Iterator[tuple[np.ndarray, np.nda
 def _sets(wanted):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = wanted.value[buckets(batch.column("probe").to_numpy())]
+            keep = has(wanted.value, batch.column("probe").to_numpy())
             texts = batch.column("text").filter(pa.array(keep))
             for _, sets in shingle_sets(texts):
                 some = [s for s in sets if len(s)]

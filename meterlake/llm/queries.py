@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, lm_scoring, packing, quality, toxicity
+from meterlake.llm import decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, lm_scoring, packing, quality, substring_dedup, toxicity
 from meterlake.llm.shared import table
 
 
@@ -31,6 +31,10 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "lang", "perplexity", "threshold", "keep")
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.shared_passages(table(spark, folder, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.without_repeated_lines(docs).select(
@@ -62,5 +66,16 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = (op1_lm_scoring, op2_html_extraction, op3_packing, op4_jaccard_join, op5_quality_classifier, op7_line_dedup, op8_exact_dedup, op9_decontamination, op10_toxicity)
+    found = (
+        op1_lm_scoring,
+        op2_html_extraction,
+        op3_packing,
+        op4_jaccard_join,
+        op5_quality_classifier,
+        op6_substring_dedup,
+        op7_line_dedup,
+        op8_exact_dedup,
+        op9_decontamination,
+        op10_toxicity,
+    )
     return {f.__name__: f for f in found}
