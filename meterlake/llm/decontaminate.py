@@ -76,11 +76,12 @@ def _document_rows(present, short):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, len(counts)),
+                        batch.column("row_text").slice(first, len(counts)),
                         batch.column("text").take(rows_hit),
                         pa.array(counts),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
                     ],
-                    ["doc_id", "text", "n_words", "hits"],
+                    ["doc_id", "row_text", "text", "n_words", "hits"],
                 )
 
     return rows
@@ -135,10 +136,10 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, bits: int = BITS) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, items (ids with an occurrence, sorted), spans, contaminated.
+    """Per row of ``docs``: doc_id, row_text, n_words, n_hit, items (ids with an occurrence, sorted), spans, contaminated.
 
     Words are runs of digits, a-z and characters beyond ASCII, after lower-casing A-Z; a null text has
-    none. Spans are half-open word positions. A benchmark item without words occurs nowhere, one without
+    none. Spans are half-open word positions; ``row_text`` is a hash of the text. A benchmark item without words occurs nowhere, one without
     id counts as the empty id, and repeated items count once. Rows that repeat a doc_id are judged one by
     one. Other columns of either table are not read; empty tables give no rows or no hits.
     """
@@ -159,10 +160,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, bits: int = BITS) -> Da
     lengths = items.select(words_of_short.alias("n")).where(f"n BETWEEN 1 AND {SPAN - 1}").distinct()
     short = sorted(r.n for r in lengths.collect())  # twelve at most
     rows = stored(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("row_text"),
+            F.col("text").cast("string").alias("text"),
+        )
         .mapInArrow(
             _document_rows(present, short),
-            "doc_id long, text string, n_words long, hits array<struct<hash: long, at: long>>",
+            "doc_id long, row_text long, text string, n_words long, hits array<struct<hash: long, at: long>>",
         )
         .withColumn("row", F.monotonically_increasing_id()),
         "document-fingerprints",
@@ -190,10 +195,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, bits: int = BITS) -> Da
     )
     n_hit = F.coalesce("n_hit", F.lit(0))
     return (
-        rows.select("row", "doc_id", "n_words")
+        rows.select("row", "doc_id", "row_text", "n_words")
         .join(judged, "row", "left")
         .select(
             "doc_id",
+            "row_text",
             "n_words",
             n_hit.alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),

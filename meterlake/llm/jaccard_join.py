@@ -10,8 +10,8 @@ the summed minima of two points bound the overlap of their sets. The tree has tw
 * Trees. In a tile, points of ``GROUPS`` coarse coordinates are packed into leaves with their largest
   counts; leaves and then points are skipped by summed minima and by size.
 
-Copies (equal sets) are one class. First each member of a tile is compared with the tile's least class
-alone, which joins most groups of near copies; then the trees are searched for pairs that are not yet in
+Copies (equal sets) are one class. First each member of a tile is compared with the tile's hub alone (the
+member that has most in common with others), which joins most groups of near copies; then the trees are searched for pairs that are not yet in
 one component. Surviving pairs are verified on the whole sets. So a group of k near copies costs about
 k comparisons, and no link between different components is lost.
 """
@@ -23,24 +23,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm.bits import BITS, bit_filter, buckets, has
 from meterlake.llm.components import components
-from meterlake.llm.shared import id_or_last, id_or_null, stored
+from meterlake.llm.shared import id_or_last, id_or_null, keyed_rows, stored
 from meterlake.llm.text import BLANK, chunks, mixed, runs, text_array, words
 
 SHINGLE = 5
 #: Sets link when 100 * overlap >= PERCENT * union.
 PERCENT = 75
-GROUPS = 64
+GROUPS = 256
 #: The histogram that orders coordinates has 2**ORDER_BITS counters in PIECES pieces, at any size of input.
 ORDER_BITS, PIECES = 20, 64
 #: A coordinate expected in more points than this is dealt out to several tiles, whose leaders meet.
 TILE = 50_000
 LEAF, BLOCK = 32, 4096
-FULL = 65535
+#: Pairs that a task remembers to have given.
+SEEN = 1_000_000
+#: A count that stands for any larger one.
+FULL = 255
 
 
 def shingle_sets(column) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -68,7 +71,7 @@ def class_of(shingles: np.ndarray) -> int:
 def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and the task's histogram in pieces at the end."""
     histogram = np.zeros(1 << ORDER_BITS, np.int64)
-    names = ["doc_id", "n", "class", "point", "piece", "counts"]
+    names = ["doc_id", "row_text", "n", "class", "point", "piece", "counts"]
     for batch in batches:
         for first, sets in shingle_sets(batch.column("text")):
             some = [s for s in sets if len(s)]
@@ -76,7 +79,7 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 histogram += np.bincount(buckets(np.concatenate(some), ORDER_BITS), minlength=len(histogram))
             points = [
                 np.minimum(np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS), FULL)
-                .astype(np.uint16)
+                .astype(np.uint8)
                 .tobytes()
                 for s in sets
             ]
@@ -84,6 +87,7 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(first, n),
+                    batch.column("row_text").slice(first, n),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([class_of(s) for s in sets], pa.int64()),
                     pa.array(points, pa.binary()),
@@ -96,7 +100,7 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = [zlib.compress(x.tobytes(), 1) for x in np.split(histogram, PIECES)]
         yield pa.RecordBatch.from_arrays(
             [
-                *(pa.nulls(PIECES, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())),
+                *(pa.nulls(PIECES, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())),
                 pa.array(range(PIECES), pa.int32()),
                 pa.array(pieces, pa.binary()),
             ],
@@ -188,12 +192,19 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _pairs_in_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate pairs of each tile (rows in order of tile): other components, sizes and bounds that allow a link."""
     tile, rows = None, []
+    given: set[tuple[int, int]] = set()
 
     def flush():
         of, n, component, side = (np.concatenate(x) for x in list(zip(*rows, strict=True))[:4])
         points = np.concatenate([r[4] for r in rows])
-        for a, b in _search(of, n, component, side, points):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        found = {p for a, b in _search(of, n, component, side, points) for p in zip(a.tolist(), b.tolist())} - given
+        # Near copies meet in many tiles; most repeats go here, the rest by the distinct that follows.
+        if len(given) > SEEN:
+            given.clear()
+        given.update(found)
+        if found:
+            a, b = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -203,7 +214,7 @@ def _pairs_in_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         new[1:] = np.any([k[1:] != k[:-1] for k in key], axis=0)
         edges = [*np.flatnonzero(new).tolist(), batch.num_rows]
         cols = [batch.column(c).to_numpy() for c in ("class", "n", "component", "side")]
-        points = np.frombuffer(b"".join(batch.column("point").to_pylist()), np.uint16).reshape(-1, GROUPS)
+        points = np.frombuffer(b"".join(batch.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             this = tuple(k[a] for k in key)
             if this != tile and rows:
@@ -216,7 +227,7 @@ def _pairs_in_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _search(of, n, component, side, points) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    points = np.where(points == FULL, 1 << 30, points).astype(np.int64)
+    points = np.where(points == FULL, 1 << 20, points.astype(np.int32))
     order = np.lexsort((points[:, 1], points[:, 0], (np.log(n) * 8).astype(np.int64)))
     of, n, component, side, points = (x[order] for x in (of, n, component, side, points))
     starts = np.arange(0, len(of), LEAF)
@@ -287,12 +298,12 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, name: str) ->
     return stored(checked, f"{name}-links")
 
 
-def _tree_pairs(members: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
+def _tree_pairs(tiles: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
     """Candidate pairs from the trees of the tiles that still hold several components."""
-    heads = members.select("token", F.col("leader").alias("class"), F.col("leader_n").alias("n"))
-    inside = members.select("token", "class", "n").union(heads).distinct()
-    labelled = inside.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class")
+    labelled = (
+        tiles.select("token", "class", "n")
+        .join(joined.withColumnRenamed("node", "class"), "class", "left")
+        .withColumn("component", F.coalesce("component", "class"))
     )
     open_tiles = (
         labelled.groupBy("token")
@@ -320,25 +331,27 @@ def _tree_pairs(members: DataFrame, classes: DataFrame, joined: DataFrame) -> Da
             "point",
         )
     )
-    tiles = blocks.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
-    return tiles.mapInArrow(_pairs_in_trees, "a long, b long").distinct()
+    ordered = blocks.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
+    return ordered.mapInArrow(_pairs_in_trees, "a long, b long").distinct()
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
+def labelled(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id (the largest long if missing), row_text (a hash of the text), n, component.
 
-    Words are runs without white space, A-Z in lower case; a text of fewer than five words is one
-    shingle; a null or empty text has none and links with nothing. Rows without doc_id count as the
-    largest id, and have component_id null if nothing smaller is reached. Repeated rows are copies. Other
-    columns are not read; an empty table gives no rows. Sets are compared by 64-bit hashes of shingles.
+    ``n`` is the size of the shingle set; a component is one of its classes, null for an empty set.
     """
-    docs = docs.select(id_or_last(F.col("doc_id")).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    docs = docs.select(
+        id_or_last(F.col("doc_id")).alias("doc_id"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("row_text"),
+        text.alias("text"),
+    )
     spark = docs.sparkSession
     read = stored(
-        docs.mapInArrow(_points, "doc_id long, n long, class long, point binary, piece int, counts binary"),
+        docs.mapInArrow(_points, "doc_id long, row_text long, n long, class long, point binary, piece int, counts binary"),
         "points",
     )
-    points = read.where("piece IS NULL").select("doc_id", "n", "class", "point")
+    points = read.where("piece IS NULL").select("doc_id", "row_text", "n", "class", "point")
     histogram = spark.sparkContext.broadcast(_histogram(read))
     classes = stored(
         points.where("n > 0").groupBy("class").agg(
@@ -346,9 +359,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    tiles = docs.select("text").mapInArrow(_tile_rows(histogram), "token long, salt int, class long, n long")
+    entries = docs.select("text").mapInArrow(_tile_rows(histogram), "token long, salt int, class long, n long")
     found = stored(
-        tiles.repartition("token", "salt")
+        entries.repartition("token", "salt")
         .sortWithinPartitions("token", "salt", "class")
         .mapInArrow(_members, "token long, class long, n long, leader long, leader_n long"),
         "members",
@@ -360,27 +373,64 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         "token", "class", "n", F.col("chief.class").alias("leader"), F.col("chief.n").alias("leader_n")
     )
     members = found.where("class <> leader").union(meetings)
-    fitting = f"least(n, leader_n) * 100 >= greatest(n, leader_n) * {PERCENT}"
-    stars = members.where(fitting).select(
+    heads = members.select("token", F.col("leader").alias("class"), F.col("leader_n").alias("n"))
+    inside = members.select("token", "class", "n").union(heads).distinct()
+    # A hub has most of its coordinates in common with others: of near copies, the one they come from.
+    common = inside.groupBy("class").agg((F.count(F.lit(1)) / F.max("n")).alias("hub"))
+    tiles = stored(inside.join(common, "class"), "tiles")
+    hubs = tiles.groupBy("token").agg(F.max(F.struct("hub", "class", "n")).alias("top"))
+    met = tiles.join(hubs.select("token", F.col("top.class").alias("leader"), F.col("top.n").alias("leader_n")), "token")
+    fitting = f"class <> leader AND least(n, leader_n) * 100 >= greatest(n, leader_n) * {PERCENT}"
+    stars = met.where(fitting).select(
         F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")
     )
     first_pairs = stored(stars.distinct(), "stars")
     links = _links(docs, classes, first_pairs, "star")
     joined = components(links)
     tree_pairs = stored(
-        _tree_pairs(members, classes, joined).join(first_pairs, ["a", "b"], "left_anti"), "tree-pairs"
+        _tree_pairs(tiles, classes, joined).join(first_pairs, ["a", "b"], "left_anti"), "tree-pairs"
     )
     if not tree_pairs.isEmpty():
         links = links.union(_links(docs, classes, tree_pairs, "tree"))
         joined = components(links)
-    labelled = points.join(joined.withColumnRenamed("node", "class"), "class", "left").select(
-        "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "class")).alias("component")
+    return points.join(joined.withColumnRenamed("node", "class"), "class", "left").select(
+        "doc_id", "row_text", "n", F.when(F.col("n") > 0, F.coalesce("component", "class")).alias("component")
     )
-    least = labelled.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    linked = labelled.where("n > 0").join(least, "component").select("doc_id", "n", "component_id")
-    alone = labelled.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
+
+    Words are runs without white space, A-Z in lower case; a text of fewer than five words is one
+    shingle; a null or empty text has none and links with nothing. Rows without doc_id count as the
+    largest id, and have component_id null if nothing smaller is reached. Repeated rows are copies. Other
+    columns are not read; an empty table gives no rows. Sets are compared by 64-bit hashes of shingles.
+    """
+    rows = labelled(docs)
+    some = rows.where("n > 0")
+    least = some.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    linked = some.join(least, "component").select("doc_id", "n", "component_id")
+    alone = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return linked.union(alone).select(
         id_or_null(F.col("doc_id")).alias("doc_id"),
         F.col("n").alias("n_shingles"),
         id_or_null(F.col("component_id")).alias("component_id"),
     )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one row of each component, the one of the smallest doc_id; all columns.
+
+    Rows without words link with nothing and all stay. Of rows that repeat id and text one stays; of rows
+    of one id, the one with the least hash of its text.
+    """
+    rows = labelled(docs)
+    first = rows.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "row_text")).alias("row"))
+    stay = first.select("row.*", F.lit(True).alias("once")).union(
+        rows.where("n = 0").select("doc_id", "row_text", F.lit(False).alias("once")).distinct()
+    )
+    stay = stay.select(F.col("doc_id").alias("_row_id"), F.col("row_text").alias("_row_text"), "once")
+    key = ["_row_id", "_row_text"]
+    number = F.row_number().over(Window.partitionBy(*key).orderBy("once"))
+    kept = keyed_rows(docs).join(stay, key).withColumn("number", number)
+    return kept.where("number = 1 OR NOT once").select("rest.*")

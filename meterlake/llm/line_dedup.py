@@ -17,18 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.shared import BLANKS, id_or_last, lower_ascii, stored
+from meterlake.llm.shared import BLANKS, keyed_rows, lower_ascii, stored
 
 SHORTEST_KEY = 10
-#: A row of a table is known by its id and its text: repeated ids with other texts stay apart.
 ROW = "_row_id long, _row_text long"
 
 
-def with_row_key(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns({"_row_id": id_or_last(F.col("doc_id")), "_row_text": F.xxhash64(text)})
-
-
 def _first_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines outside the first document of their hash, and the claimed heads of the border hashes."""
     names = ["h1", "h2", "_row_id", "_row_text", "pos"]
@@ -94,10 +88,10 @@ def keep_bitmaps(docs: DataFrame, shortest_key: int = SHORTEST_KEY) -> DataFrame
     smallest doc_id alone, on all its lines there. Rows with one doc_id are one document; a row without
     doc_id counts as the largest id.
     """
-    lines = with_row_key(docs.select("doc_id", "text")).select(
+    lines = keyed_rows(docs.select("doc_id", "text")).select(
         "_row_id",
         "_row_text",
-        F.posexplode(F.split(lower_ascii(F.col("text")), "\n", -1)).alias("pos", "line"),
+        F.posexplode(F.split(lower_ascii(F.col("rest.text")), "\n", -1)).alias("pos", "line"),
     )
     key = F.btrim("line", F.lit(BLANKS))
     hashed = (
@@ -156,16 +150,14 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """doc_id, text without the dropped lines, n_lines (before), n_dropped, and ``rest``, the other columns as a struct.
+    """``rest`` (all columns as a struct), text without the dropped lines, n_lines (before), n_dropped.
 
     A null text has one empty line and stays null; lines are those between newline characters.
     """
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(None).cast("int")
-    rows = with_row_key(docs.select("doc_id", "text", rest.alias("rest")))
-    joined = rows.join(bitmaps, ["_row_id", "_row_text"], "left").select("doc_id", "rest", "text", "keep")
-    schema = joined.select("doc_id", "rest", "text").schema.add("n_lines", "long").add("n_dropped", "long")
-    return joined.mapInArrow(_apply, schema)
+    joined = keyed_rows(docs).join(bitmaps, ["_row_id", "_row_text"], "left")
+    rows = joined.select("rest", F.col("rest.text").cast("string").alias("text"), "keep")
+    schema = rows.select("rest", "text").schema.add("n_lines", "long").add("n_dropped", "long")
+    return rows.mapInArrow(_apply, schema)
 
 
 def without_repeated_lines(docs: DataFrame, shortest_key: int = SHORTEST_KEY) -> DataFrame:

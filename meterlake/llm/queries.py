@@ -38,7 +38,7 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.without_repeated_lines(docs).select(
-        "doc_id",
+        "rest.doc_id",
         "n_lines",
         "n_dropped",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),

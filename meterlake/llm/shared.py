@@ -46,5 +46,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """(_row_id, _row_text, rest): what a row is known by, its id and a hash of its text, and all its columns.
+
+    Repeated ids with other texts stay apart, and columns of any name travel inside ``rest``.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(
+        id_or_last(F.col("doc_id")).alias("_row_id"),
+        F.xxhash64(text).alias("_row_text"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest"),
+    )
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
