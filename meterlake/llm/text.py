@@ -26,6 +26,8 @@ SYMBOL = _table([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BASE = np.uint64(0x9E3779B97F4A7C15)
+#: The number that undoes BASE, modulo 2**64.
+UNBASE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
 class Words(NamedTuple):
@@ -48,8 +50,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(n: int) -> np.ndarray:
-    out = np.full(n, BASE, np.uint64)
+def powers(n: int, base: np.uint64 = BASE) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
 
