@@ -32,7 +32,8 @@ CLASSES = WORDS + KINDS + 1
 END_CLASS, START = CLASSES - 1, CLASSES
 #: The hash that stands for the end, a token of every text.
 END = np.uint64(0xE4D0E4D0E4D0E4D1)
-#: Words with at least 1/HEAVY of all training tokens are sent to every task: HEAVY words at most, 16 MB.
+#: Words with at least 1/HEAVY of all training tokens, HEAVY words at most (16 MB), the frequent words and the end
+#: are sent to every task.
 HEAVY = 1 << 20
 WIDTH, NOISE, BATCH, RATE = 24, 64, 1024, 0.08
 #: One training document in so many is trained on, at any size; a task makes at least LEAST_STEPS steps.
@@ -289,8 +290,10 @@ def _counts(known: DataFrame) -> tuple[Counts, int, np.ndarray]:
     hashes, kind, count = (top.column(c).to_numpy() for c in ("hash", "kind", "n"))
     order = np.argsort(hashes.view(np.uint64))
     heavy = known.where(F.col("n") * HEAVY >= n).select("hash", "n").toArrow()
-    all_hashes, all_counts = heavy.column("hash").to_numpy().view(np.uint64), heavy.column("n").to_numpy()
-    by_hash = np.argsort(all_hashes)
+    ends = known.where(F.col("hash") == end).select("hash", "n").toArrow()
+    all_hashes = np.concatenate([heavy.column("hash").to_numpy(), hashes, ends.column("hash").to_numpy()]).view(np.uint64)
+    all_hashes, first = np.unique(all_hashes, return_index=True)
+    all_counts = np.concatenate([heavy.column("n").to_numpy(), count, ends.column("n").to_numpy()])[first]
     by_kind = known.where(F.col("hash") != end).groupBy("kind")
     mass, kind_tokens = np.zeros(KINDS), np.zeros(KINDS)
     for r in by_kind.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
@@ -302,10 +305,9 @@ def _counts(known: DataFrame) -> tuple[Counts, int, np.ndarray]:
     shares = np.full(CLASSES, 0.5)
     shares[: len(count)] += count
     shares[WORDS : WORDS + KINDS] += kind_tokens
-    ends = known.where(F.col("hash") == end).first()
-    shares[END_CLASS] += ends.n if ends else 0
+    shares[END_CLASS] += ends.column("n").to_numpy().sum()
     found = Counts(
-        all_hashes[by_hash], all_counts[by_hash], hashes.view(np.uint64)[order], order, denominator, kind_mass
+        all_hashes, all_counts, hashes.view(np.uint64)[order], order, denominator, kind_mass
     )
     return found, n, shares / shares.sum()
 
