@@ -251,6 +251,25 @@ def _search(of, n, component, side, points) -> Iterator[tuple[np.ndarray, np.nda
             yield np.minimum(of[i], of[j]), np.maximum(of[i], of[j])
 
 
+def _within_bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose summed minima allow a link."""
+    for batch in batches:
+        x, y = (
+            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, GROUPS) for c in ("x", "y")
+        )
+        low = np.minimum(x, y)
+        overlap = np.where(low == FULL, 1 << 20, low.astype(np.int32)).sum(axis=1)
+        n = batch.column("n").to_numpy()
+        yield batch.select(["a", "b"]).filter(pa.array((100 + PERCENT) * overlap >= PERCENT * n))
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    x = classes.select(F.col("class").alias("a"), F.col("point").alias("x"), F.col("n").alias("m"))
+    y = classes.select(F.col("class").alias("b"), F.col("point").alias("y"), F.col("n").alias("k"))
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("m") + F.col("k")).alias("n"))
+    return both.mapInArrow(_within_bound, "a long, b long")
+
+
 def _sets(wanted):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,10 +324,21 @@ def _tree_pairs(tiles: DataFrame, classes: DataFrame, joined: DataFrame) -> Data
         .join(joined.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
     )
+    # Near copies meet in many tiles: of tiles with the same members one is searched.
+    mark = F.xxhash64("class").cast("decimal(20,0)")
+    other_mark = F.xxhash64(F.lit(1), "class").cast("decimal(20,0)")
     open_tiles = (
         labelled.groupBy("token")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("k"))
+        .agg(
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.count(F.lit(1)).alias("k"),
+            F.sum(mark).alias("mark"),
+            F.sum(other_mark).alias("other_mark"),
+        )
         .where("least <> most")
+        .groupBy("k", "mark", "other_mark")
+        .agg(F.min("token").alias("token"))
         .select("token", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
     )
     blocks = (
@@ -385,7 +415,7 @@ def labelled(docs: DataFrame) -> DataFrame:
         F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")
     )
     first_pairs = stored(stars.distinct(), "stars")
-    links = _links(docs, classes, first_pairs, "star")
+    links = _links(docs, classes, stored(_bounded(first_pairs, classes), "star-pairs"), "star")
     joined = components(links)
     tree_pairs = stored(
         _tree_pairs(tiles, classes, joined).join(first_pairs, ["a", "b"], "left_anti"), "tree-pairs"
