@@ -1,5 +1,5 @@
 """Smart-meter analytics as PySpark DataFrame operators."""
 
-from meterlake.params import Limits, Params
+from meterlake.params import Params
 
-__all__ = ["Limits", "Params"]
+__all__ = ["Params"]

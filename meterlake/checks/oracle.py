@@ -144,6 +144,28 @@ _DAILY_PARITY = f"""
     FROM last_row t {_BY_LOCATION}
     WINDOW w AS (PARTITION BY t.meter_id ORDER BY t.reading_datetime, i.register)"""
 
+_DAILY_ACCOUNT_PARITY = (
+    _DAILY_PARITY.replace(_BY_LOCATION, _BY_PREMISE)
+    .replace(_LOCATION, _PREMISE_PLACE)
+    .replace("t.timezone", "'GMT' AS timezone")
+    .replace("t.unit_of_measure", "'' AS unit_of_measure")
+)
+
+# Two ports of each meter: their readings and differences are apart.
+_PORTS = VIEWS["t_readings"].replace("PARTITION BY user_id", "PARTITION BY user_id, event_id % 2").replace(
+    "user_id AS customer_id,", "user_id AS customer_id, event_id % 2 AS port,"
+)
+
+
+def _by_port(sql: str) -> str:
+    return (
+        sql.replace("PARTITION BY meter_id", "PARTITION BY meter_id, port")
+        .replace("SELECT meter_id, max", "SELECT meter_id, port, max")
+        .replace("GROUP BY meter_id,", "GROUP BY meter_id, port,")
+        .replace("USING (meter_id,", "USING (meter_id, port,")
+    )
+
+
 _PLAIN_READING = "meter_id, reading_datetime, CAST(reading_value AS DOUBLE) AS reading_value"
 _PLAIN_DELTA = f"{_PLAIN_READING}, CAST(consumption AS DOUBLE) AS consumption, read_interval"
 _INTERVAL_DELTA = f"""
@@ -152,7 +174,7 @@ _INTERVAL_DELTA = f"""
 
 # Billing. ``one_meters`` has one register per meter, ``t_meters`` two for every tenth.
 _ONE_METERS = "SELECT * FROM t_meters WHERE register = '001'"
-_ROUND = "CAST(round(CAST({} AS DECIMAL(38,6)), 2) AS DOUBLE)"
+_ROUND = "CAST(round(CAST({} AS DECIMAL(38,8)), 2) AS DOUBLE)"
 
 
 def _round(expression: str) -> str:
@@ -217,7 +239,7 @@ def _projection() -> str:
         CAST(used AS DOUBLE) AS curr_read_consumption,
         CAST(CAST(latest AS DATE) AS TIMESTAMP) AS curr_read_date,
         {_round("per_day")} AS per_day_consumption, days AS days_to_next_read,
-        CAST(used + round(CAST(days * per_day AS DECIMAL(38,6)), 2) AS DOUBLE) AS projected_consumption
+        CAST(used + round(CAST(days * per_day AS DECIMAL(38,8)), 2) AS DOUBLE) AS projected_consumption
     FROM (
         SELECT u.bp, p.premise_id, u.ccn, ltrim(u.equipmentnumber, '0') AS meter_id, b.last_read_time,
             s.next_read_date, s.per_day, sum(u.consumption) AS used, max(u.reading_datetime) AS latest,
@@ -256,6 +278,37 @@ _PROJECTED_PARITY_STEPS = {
 }
 _WITH_REGISTER = "SELECT *, '001' AS register FROM"
 
+# Two registers with bills and usage of their own: the statements of one register, by register.
+_APART_BILLS = """SELECT * FROM t_bills UNION ALL
+    SELECT * REPLACE ('002' AS register, CAST(consumption_gl AS DECIMAL(18,6)) / 2 AS consumption_gl)
+    FROM t_bills WHERE CAST(meter_id AS BIGINT) % 10 = 0"""
+_APART_USAGE = """SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS equipmentnumber,
+        CAST(o_custkey AS VARCHAR) AS bp, CAST(o_custkey + 500000 AS VARCHAR) AS ccn,
+        l_shipdate AS reading_datetime, CAST(l_extendedprice AS DECIMAL(18,2)) AS consumption,
+        CASE WHEN o_custkey % 10 = 0 AND o_orderkey % 2 = 1 THEN '002' ELSE '001' END AS register
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+_BY_REGISTER = ("t_register", "t_meters", "t_bills", "t_segment_schedule")
+
+
+def _registers(sql: str) -> str:
+    same = _ACCOUNT_JOIN.format("s")
+    return sql.replace(same, f"{same} AND s.register = u.register").replace("FROM t_usage u", "FROM apart_usage u")
+
+
+def _high_registers() -> str:
+    sql = _registers(_high_usage("t_meters")).replace("SELECT u.bp", "SELECT u.register, u.bp", 1)
+    return sql.replace("GROUP BY u.bp", "GROUP BY u.register, u.bp")
+
+
+def _projected_registers() -> str:
+    sql = _registers(_projection()).replace("SELECT bp AS", "SELECT register, bp AS", 1)
+    return sql.replace("SELECT u.bp", "SELECT u.register, u.bp").replace("GROUP BY u.bp", "GROUP BY u.register, u.bp")
+
+
+def _stats_by_register(after: str, day: str) -> str:
+    sql = _stats("t_meters", False, after, day, "apart_bills")
+    return sql.replace("m.meter_id = b.meter_id", "m.meter_id = b.meter_id AND m.register = b.register")
+
 _LEAKS = """
     SELECT CAST(user_id AS VARCHAR) AS businesspartnernumber,
            CAST(user_id + 500000 AS VARCHAR) AS contractaccount
@@ -289,6 +342,14 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL BY NAME SELECT * FROM ({_HOURLY_ACCOUNT})"""
     out = {
         "interval_delta": _with(readings, _INTERVAL_DELTA),
+        "interval_delta_digits": f"""
+            SELECT meter_id, reading_datetime, CAST(reading_value AS DOUBLE) AS reading_value,
+                CAST({_DELTA} AS DOUBLE) AS consumption, {_GAP} AS read_interval
+            FROM (SELECT CAST(user_id AS VARCHAR) AS meter_id, ts AS reading_datetime,
+                      CAST(value AS DECIMAL(18,2)) + CAST(event_id * 0.000001 AS DECIMAL(18,6)) AS reading_value
+                  FROM events QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY
+                      CAST(value AS DECIMAL(18,2)) + CAST(event_id * 0.000001 AS DECIMAL(18,6)) DESC) = 1)
+            {_METER_WINDOW}""",
         "dedupe_delta": _with(readings, _INTERVAL_DELTA),
         "dedupe_delta_parity": _with(
             (*readings, "doubled_tmp"), f"SELECT DISTINCT {_PLAIN_DELTA} FROM doubled_tmp"
@@ -341,6 +402,17 @@ def oracle_sql() -> dict[str, str]:
                 "FROM t_readings", "FROM (SELECT * FROM t_readings UNION ALL SELECT * FROM t_readings)"
             ),
         ),
+        "hourly_enriched_ports": _with(
+            (*_MASTER,), _HOURLY, t_readings=_PORTS, hourly_tmp=_by_port(VIEWS["hourly_tmp"])
+        ),
+        "daily_enriched_ports": _with(
+            (*_MASTER,), _DAILY, t_readings=_PORTS, last_row=_by_port(_DAILY_LAST), daily_tmp=_by_port(_DAY_DELTA)
+        ),
+        "account_parity": _with(
+            hourly,
+            f"SELECT * FROM ({_HOURLY_ACCOUNT}) UNION ALL BY NAME SELECT * FROM ({_DAILY_ACCOUNT_PARITY})",
+            last_row=_DAILY_LAST,
+        ),
         "hourly_enriched_account": _with(hourly, _HOURLY_ACCOUNT),
         "daily_enriched": _with((*readings, *_MASTER), _DAILY, **_DAILY_STEPS),
         "daily_enriched_parity": _with((*readings, *_MASTER), _DAILY_PARITY, last_row=_DAILY_LAST),
@@ -395,6 +467,22 @@ def oracle_sql() -> dict[str, str]:
         "high_usage": _with(
             _BILLING, f"{_WITH_REGISTER} ({_high_usage('one_meters')})", **_HIGH_STEPS
         ),
+        "high_usage_registers": _with(
+            _BY_REGISTER,
+            _high_registers(),
+            apart_bills=_APART_BILLS,
+            apart_usage=_APART_USAGE,
+            bill=_last_bill("t_meters", True, "apart_bills"),
+            stats=_stats_by_register(_ALL_TIME, "2001-08-02"),
+        ),
+        "projected_consumption_registers": _with(
+            _BY_REGISTER,
+            _projected_registers(),
+            apart_bills=_APART_BILLS,
+            apart_usage=_APART_USAGE,
+            bill=_last_bill("t_meters", False, "apart_bills"),
+            stats=_stats_by_register(_PAST_YEAR, "2001-06-01"),
+        ),
         "high_usage_parity": _with(_BILLING, _high_usage("t_meters"), **_HIGH_PARITY_STEPS),
         "next_read": _NEXT_READ,
         "projected_consumption": _with(
@@ -434,7 +522,4 @@ def oracle_sql() -> dict[str, str]:
         "overwrite_if_any": _NEXT_READ,
         "export_csv": _with(readings, f"SELECT {_PLAIN_READING} FROM t_readings"),
     }
-    from meterlake.checks.queries import SPREAD_CHECKS
-
-    out.update({f"{name}_spread": out[name] for name in SPREAD_CHECKS})
     return out

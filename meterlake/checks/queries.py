@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
-from meterlake import Limits, Params, sinks
+from meterlake import Params, sinks
 from meterlake.checks.views import Views
 from meterlake.functions import ltrim0, round2
 from meterlake.operators import alerts, billing, horizon, intervals, leaks, marts, schedule
@@ -33,9 +33,6 @@ LEAK_URL = "https://alerts.example.org/api/leak-alert"
 USAGE_URL = "https://alerts.example.org/api/high-usage-alert"
 ALL_MONTHS = 120
 
-#: Sizes that make most meters hot and every join shuffled, whatever the data.
-SPREAD = Limits(hot_rows=40, broadcast_rows=0, salts=4)
-
 READS = Params(as_of=READS_DAY, slot_begin=BACKFILL_START)
 BILLS = Params(as_of=BILLS_DAY, months=ALL_MONTHS)
 PROJECTION = Params(as_of=PROJECTION_DAY)
@@ -63,17 +60,21 @@ def _delta(df: DataFrame, **kw) -> DataFrame:
 
 
 def interval_delta(v: Views) -> DataFrame:
-    return _delta(v.readings(), limits=v.limits)
+    return _delta(v.readings())
+
+
+def interval_delta_digits(v: Views) -> DataFrame:
+    return _delta(v.fine_readings())
 
 
 def dedupe_delta(v: Views) -> DataFrame:
     once = v.readings()
-    return _delta(once.unionByName(once), limits=v.limits)
+    return _delta(once.unionByName(once))
 
 
 def dedupe_delta_parity(v: Views) -> DataFrame:
     once = v.readings()
-    return _delta(once.unionByName(once), limits=v.limits, parity=True)
+    return _delta(once.unionByName(once), parity=True)
 
 
 def reads_horizon(v: Views) -> DataFrame:
@@ -138,7 +139,7 @@ def _account(v: Views) -> tuple[DataFrame, ...]:
 
 
 def _params(v: Views, params: Params, **changes) -> Params:
-    return replace(params, limits=v.limits, **changes)
+    return replace(params, **changes)
 
 
 def hourly_enriched(v: Views) -> DataFrame:
@@ -150,6 +151,17 @@ def hourly_enriched_parity(v: Views) -> DataFrame:
     return reads.hourly_reads(once.unionByName(once), *master, _params(v, READS, parity=True))
 
 
+def hourly_enriched_ports(v: Views) -> DataFrame:
+    """Two ports of each meter."""
+    _, *master = _customer(v)
+    return reads.hourly_reads(v.readings(ports=2), *master, READS)
+
+
+def daily_enriched_ports(v: Views) -> DataFrame:
+    _, *master = _customer(v)
+    return reads.daily_reads(v.readings(ports=2), *master, READS)
+
+
 def hourly_enriched_account(v: Views) -> DataFrame:
     return reads.hourly_reads_account(*_account(v), _params(v, READS))
 
@@ -166,6 +178,13 @@ def daily_enriched_account(v: Views) -> DataFrame:
     return reads.daily_reads_account(*_account(v), _params(v, READS))
 
 
+def account_parity(v: Views) -> DataFrame:
+    """Both account plans under parity, whose days are fixed whatever the settings."""
+    params = _params(v, READS, parity=True, days_minus_hourly=-9, days_minus_daily=-9)
+    both = reads.hourly_reads_account(*_account(v), params)
+    return both.unionByName(reads.daily_reads_account(*_account(v), params))
+
+
 def district_reads(v: Views) -> DataFrame:
     return horizon.in_districts(hourly_enriched(v), DISTRICTS, "district")
 
@@ -214,20 +233,25 @@ def billing_stats(v: Views) -> DataFrame:
 
 
 def usage_since_bill(v: Views) -> DataFrame:
-    recent = use.reads_after_bill(use.daily_usage(v.usage()), last_bill(v), v.limits, v.meters())
+    recent = use.reads_after_bill(use.daily_usage(v.usage()), last_bill(v))
     return use.usage_since(recent, billing.ACCOUNT)
 
 
-def _high_usage(v: Views, registers: bool = False, **changes) -> DataFrame:
+def _high_usage(v: Views, registers: bool = False, apart: bool = False, **changes) -> DataFrame:
     params = _params(v, BILLS, **changes)
     coming = schedule.next_read(v.segment_schedule(), BILLS_DAY)
-    return use.high_usage(v.usage(), v.bills(registers), v.meters(registers), coming, params)
+    return use.high_usage(v.usage(apart), v.bills(registers, apart), v.meters(registers), coming, params)
 
 
 def high_usage(v: Views) -> DataFrame:
     return _high_usage(v)
 
 
+def high_usage_registers(v: Views) -> DataFrame:
+    """Two registers with bills and usage of their own."""
+    return _high_usage(v, registers=True, apart=True)
+
+
 def high_usage_parity(v: Views) -> DataFrame:
     return _high_usage(v, registers=True, parity=True)
 
@@ -236,10 +260,10 @@ def next_read(v: Views) -> DataFrame:
     return schedule.next_read(v.order_schedule(), SCHEDULE_DAY)
 
 
-def _projected(v: Views, registers: bool = False, **changes) -> DataFrame:
+def _projected(v: Views, registers: bool = False, apart: bool = False, **changes) -> DataFrame:
     return use.project_consumption(
-        v.usage(),
-        v.bills(),
+        v.usage(apart),
+        v.bills(apart, apart),
         v.meters(registers),
         v.endpoint_types(),
         schedule.next_read(v.segment_schedule(), PROJECTION_DAY),
@@ -252,6 +276,10 @@ def projected_consumption(v: Views) -> DataFrame:
     return _projected(v)
 
 
+def projected_consumption_registers(v: Views) -> DataFrame:
+    return _projected(v, registers=True, apart=True)
+
+
 def projected_consumption_parity(v: Views) -> DataFrame:
     return _projected(v, registers=True, parity=True)
 
@@ -338,6 +366,7 @@ CHECKS: dict[str, Callable[[Views], DataFrame]] = {
     f.__name__: f
     for f in (
         interval_delta,
+        interval_delta_digits,
         dedupe_delta,
         dedupe_delta_parity,
         reads_horizon,
@@ -350,10 +379,13 @@ CHECKS: dict[str, Callable[[Views], DataFrame]] = {
         leading_zero_join,
         hourly_enriched,
         hourly_enriched_parity,
+        hourly_enriched_ports,
         hourly_enriched_account,
         daily_enriched,
         daily_enriched_parity,
+        daily_enriched_ports,
         daily_enriched_account,
+        account_parity,
         district_reads,
         backfill_hourly,
         backfill_daily,
@@ -364,9 +396,11 @@ CHECKS: dict[str, Callable[[Views], DataFrame]] = {
         billing_stats,
         usage_since_bill,
         high_usage,
+        high_usage_registers,
         high_usage_parity,
         next_read,
         projected_consumption,
+        projected_consumption_registers,
         projected_consumption_parity,
         leak_alerts,
         alert_payload,
@@ -379,26 +413,13 @@ CHECKS: dict[str, Callable[[Views], DataFrame]] = {
     )
 }
 
-#: The same queries with meters cut into time slots and joins shuffled and salted.
-SPREAD_CHECKS = (
-    "interval_delta",
-    "dedupe_delta",
-    "dedupe_delta_parity",
-    "hourly_enriched",
-    "daily_enriched",
-    "usage_since_bill",
-    "high_usage",
-)
-
 
-def _query(check: Callable[[Views], DataFrame], limits: Limits):
+def _query(check: Callable[[Views], DataFrame]):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return plain(check(Views(spark, folder, limits)))
+        return plain(check(Views(spark, folder)))
 
     return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = {name: _query(check, Limits()) for name, check in CHECKS.items()}
-    out.update({f"{name}_spread": _query(CHECKS[name], SPREAD) for name in SPREAD_CHECKS})
-    return out
+    return {name: _query(check) for name, check in CHECKS.items()}

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions import MONEY
-from meterlake.operators.hotkeys import running_total, split_hot
-from meterlake.params import Limits
+from meterlake.operators.hotkeys import running_total, slotted, without_slots
 
 FOREVER = "9999-12-31"
 
@@ -18,10 +17,9 @@ FOREVER = "9999-12-31"
 class Views:
     """Views over one data folder."""
 
-    def __init__(self, spark: SparkSession, folder: str, limits: Limits = Limits()):
+    def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self.limits = limits
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -29,22 +27,26 @@ class Views:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
-    def readings(self) -> DataFrame:
-        """Customer feed: events as readings of a register that adds up the event values."""
+    def readings(self, ports: int = 1) -> DataFrame:
+        """Customer feed: events as readings of a register that adds up the event values.
+
+        With more ``ports`` each user's events go to the registers of that many ports.
+        """
         events = self.table("events").select(
             F.lpad(F.col("user_id").cast("string"), 8, "0").alias("meter_id"),
             F.col("user_id").alias("customer_id"),
             F.col("ts").alias("reading_datetime"),
             "event_id",
             F.col("value").cast(MONEY).alias("_value"),
+            (F.col("event_id") % ports + 1).cast("string").alias("transponder_port"),
         )
-        parts = split_hot(events, ["meter_id"], "reading_datetime", self.limits)
-        order = ["reading_datetime", "event_id"]
-        rows = running_total(parts, ["meter_id"], order, "_value", "reading_value")
+        keys, order = ["meter_id", "transponder_port"], ["reading_datetime", "event_id"]
+        rows = slotted(events, keys, "reading_datetime")
+        rows = without_slots(running_total(rows, keys, order, "_value", "reading_value"), events, keys)
         return rows.select(
             "meter_id",
             F.concat(F.lit("T"), F.col("customer_id")).alias("transponder_id"),
-            F.lit("1").alias("transponder_port"),
+            "transponder_port",
             "customer_id",
             F.col("reading_value").cast(MONEY).alias("reading_value"),
             F.lit("GAL").alias("unit_of_measure"),
@@ -54,6 +56,17 @@ class Views:
             F.col("reading_datetime").alias("ingest_watermark"),
         )
 
+    def fine_readings(self) -> DataFrame:
+        """Readings of six digits: the event number's millionths are added to the register."""
+        rows = self.table("events").select(
+            F.col("user_id").cast("string").alias("meter_id"),
+            F.col("ts").alias("reading_datetime"),
+            (F.col("value").cast(MONEY) + F.col("event_id").cast("decimal(18,0)") / 1_000_000)
+            .cast("decimal(28,10)")
+            .alias("reading_value"),
+        )
+        return rows
+
     def account_readings(self) -> DataFrame:
         return self.readings().select(
             "meter_id",
@@ -133,10 +146,11 @@ class Views:
             sewer.alias("division"),
         )
 
-    def bills(self, registers: bool = False) -> DataFrame:
+    def bills(self, registers: bool = False, apart: bool = False) -> DataFrame:
         """Orders as billing readings: finished orders carry the billing reason.
 
-        With ``registers`` every tenth customer's bills are on two registers.
+        With ``registers`` every tenth customer's bills are on two registers; ``apart`` halves those of
+        the second one.
         """
         key = F.col("o_custkey")
         reason = F.when(F.col("o_orderstatus") == "F", F.lit("01")).otherwise(F.lit("02"))
@@ -157,6 +171,12 @@ class Views:
                 F.col("o_totalprice").alias("consumption_gl"),
                 "meter_reading_unit",
             )
+            .withColumn(
+                "consumption_gl",
+                F.when(F.lit(apart) & (F.col("register") == "002"), F.col("consumption_gl") / 2).otherwise(
+                    F.col("consumption_gl")
+                ),
+            )
         )
 
     def meters(self, registers: bool = False) -> DataFrame:
@@ -218,13 +238,14 @@ class Views:
             )
         )
 
-    def usage(self) -> DataFrame:
-        """Shipped lines as daily rows of the reads mart."""
+    def usage(self, registers: bool = False) -> DataFrame:
+        """Shipped lines as daily rows of the reads mart; with ``registers``, of odd orders on the second one."""
         key = F.col("o_custkey")
+        second = F.lit(registers) & (key % 10 == 0) & (F.col("o_orderkey") % 2 == 1)
         return self._shipments().select(
             F.lit("DAILY").alias("read_interval_type"),
             F.lpad(key.cast("string"), 10, "0").alias("equipmentnumber"),
-            F.lit("001").alias("register"),
+            F.when(second, F.lit("002")).otherwise(F.lit("001")).alias("register"),
             key.cast("string").alias("businesspartnernumber"),
             (key + 500000).cast("string").alias("contractaccount"),
             F.col("l_shipdate").alias("reading_datetime"),

@@ -14,6 +14,7 @@ from meterlake.functions.columns import (
     event_type,
     limit,
     ltrim0,
+    money,
     payload,
     per_day,
     round2,
@@ -35,6 +36,7 @@ __all__ = [
     "event_type",
     "limit",
     "ltrim0",
+    "money",
     "payload",
     "per_day",
     "round2",

@@ -13,10 +13,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-#: Register values, interval and billing consumption.
-AMOUNT = DecimalType(18, 4)
-#: Ratios and limits, before they are rounded. Six digits take away the noise of a double division.
-EXACT = DecimalType(38, 6)
+#: Register values, interval and billing consumption. Results are rounded once, at the end.
+AMOUNT = DecimalType(28, 10)
+#: Ratios and limits from doubles, before they are rounded. Eight digits take away the noise of a division.
+EXACT = DecimalType(38, 8)
 #: Rounded results.
 MONEY = DecimalType(18, 2)
 
@@ -26,10 +26,15 @@ def amount(col: Column) -> Column:
 
 
 def round2(col: Column) -> Column:
-    """Half-up rounding to two digits, in decimal arithmetic."""
+    """Half-up rounding of a double to two digits, in decimal arithmetic."""
     return F.round(col.cast(EXACT), 2).cast(MONEY)
 
 
+def money(col: Column) -> Column:
+    """Half-up rounding of a decimal to two digits, once and from all its digits."""
+    return F.round(col, 2).cast(MONEY)
+
+
 def ntz(value: dt.date | dt.datetime) -> Column:
     """Timestamp literal without zone. Folds to a constant, so comparisons reach the scan."""
     if not isinstance(value, dt.datetime):

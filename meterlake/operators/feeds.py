@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meterlake.functions import to_id
 
 METER = "meter_id"
+PORT = "transponder_port"
 TS = "reading_datetime"
 VALUE = "reading_value"
 

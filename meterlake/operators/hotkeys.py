@@ -1,79 +1,45 @@
-"""Order-dependent windows and joins that stay spread when one key holds much of the data.
+"""Order-dependent windows that stay spread when one key holds much of the data.
 
-A plain window sorts all rows of a key in one task. Here a key with more than ``limits.hot_rows``
-rows is cut into time slots; the window runs per (key, slot), and what crosses a slot border is
-carried over from a table with one row per slot. The other keys, and all of them when none is that
-large, take the plain window: one shuffle by key.
+A plain window sorts all rows of a key in one task. Here every key is cut into days, in one fixed plan
+for all keys: rows are shuffled once by key and day, the window runs inside the day, and what crosses
+midnight is carried over from a table with one row per key and day, made from the same shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions import epoch
-from meterlake.params import Limits
-from meterlake.session import written_once
 
 SLOT = "_slot"
-Parts = tuple[DataFrame, DataFrame | None]
+SLOT_SECONDS = 86_400
 
 
-def _large(df: DataFrame, keys: Sequence[str], limits: Limits, *more: Column) -> DataFrame:
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *more)
-    return counted.where(F.col("_rows") > limits.hot_rows)
+def _parts(keys: Sequence[str]) -> list[str]:
+    """The columns that stand for ``keys`` in a slotted table; a missing key is a key of its own."""
+    return [f"_{kind}_{k}" for k in keys for kind in ("key", "none")]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, limits: Limits) -> DataFrame:
-    """Keys above ``limits.hot_rows`` rows, with their time span in seconds and a slot width.
+def slotted(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """``df`` with its slot, shuffled by key and slot. Parts stand for the keys; ``without_slots`` undoes it."""
+    parts = {}
+    for k in keys:
+        parts[f"_key_{k}"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
+        parts[f"_none_{k}"] = F.isnull(F.col(k))
+    slot = F.floor(epoch(F.col(ts)) / SLOT_SECONDS).cast("bigint")
+    slot = F.coalesce(slot, F.lit(-(1 << 40)).cast("bigint"))
+    return df.withColumns({**parts, SLOT: slot}).drop(*keys).repartition(*_parts(keys), SLOT)
 
-    At most (rows of ``df`` / ``hot_rows``) keys can qualify, which bounds the table: 5e5 keys for
-    5e11 rows at the default. Counting reads two columns and combines before its shuffle. The width
-    follows the different moments, not the copies of one, and fills slots by half if these are even.
-    """
-    second = epoch(F.col(ts))
-    large = _large(
-        df,
-        keys,
-        limits,
-        F.approx_count_distinct(ts).alias("_moments"),
-        F.min(second).alias("_lo"),
-        F.max(second).alias("_hi"),
-    )
-    slots = F.greatest(F.lit(1), F.ceil(2 * F.col("_moments") / F.lit(limits.hot_rows)))
-    width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / slots))
-    return large.select(*keys, "_moments", "_lo", "_hi", width.cast("bigint").alias("_width"))
-
-
-def split_hot(df: DataFrame, keys: Sequence[str], ts: str, limits: Limits) -> Parts:
-    """``df`` in two parts: rows of ordinary keys, and rows of hot keys with their time slot.
-
-    A slot is named by its first second. Slots that are still too full, as in a burst, are cut again
-    until they hold about ``limits.hot_rows`` moments or last one second. Counts rows per key first,
-    reading the keys alone; without a hot key the second part is None. The result does not depend on
-    which keys count as hot, only its plan does.
-    """
-    if _large(df, keys, limits).isEmpty():
-        return df, None
-    hot = written_once(hot_keys(df, keys, ts, limits), "hot-keys")
-    small = F.broadcast(_renamed(hot, keys, "_hot_"))  # bounded: see hot_keys
-    match = _match(keys, "_hot_")
-    ordinary = df.join(small, match, "left_anti")
-    steps = F.floor((epoch(F.col(ts)) - F.col("_lo")) / F.col("_width"))
-    start = (F.col("_lo") + steps * F.col("_width")).cast("bigint")
-    slotted = df.join(small, match).select(*df.columns, start.alias(SLOT))
-    on = [*keys, SLOT]
-    crowded = (F.col("_moments") > limits.hot_rows) & (F.col("_hi") > F.col("_lo"))
-    while True:
-        full = written_once(hot_keys(slotted, on, ts, limits).where(crowded), "full-slots")
-        if full.isEmpty():
-            return ordinary, slotted
-        small = F.broadcast(_renamed(full, on, "_full_"))
-        cut = slotted.join(small, _match(on, "_full_"), "left")
-        slotted = cut.select(*df.columns, F.coalesce(start, F.col(SLOT)).alias(SLOT))
+
+def without_slots(df: DataFrame, like: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys in place of their parts, with the types they have in ``like``."""
+    back = {
+        k: F.when(~F.col(f"_none_{k}"), F.col(f"_key_{k}")).cast(like.schema[k].dataType) for k in keys
+    }
+    return df.withColumns(back).drop(*_parts(keys), SLOT)
 
 
 def newest_first(
@@ -89,133 +55,44 @@ def newest_first(
     return df.withColumn("_place", place.over(w)).where(F.col("_place") == 1).drop("_place")
 
 
-def _match(keys: Sequence[str], prefix: str) -> Column:
-    """Null-safe equality of each key with its renamed copy."""
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
-    return match
-
-
-def _renamed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
-    return df.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
+def first_in_slot(df: DataFrame, keys: Sequence[str], more: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``newest_first`` by key and ``more`` of a slotted table, without another shuffle."""
+    return newest_first(df, [*_parts(keys), SLOT, *more], order)
 
 
 def _carry(rows: DataFrame, borders: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join the table of slot borders (one row per slot, column ``_carried``) on the slotted rows."""
-    on = [*keys, SLOT]
-    joined = rows.join(_renamed(borders, on, "_border_"), _match(on, "_border_"), "left")
-    return joined.select(*rows.columns, "_carried")
+    return rows.join(borders, [*_parts(keys), SLOT], "left")
 
 
 def previous(
-    parts: Parts,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: dict[str, str],
-) -> DataFrame:
-    """Add, for each ``values`` entry new→old, the old column's value in the row before."""
-    ordinary, slotted = parts
-    w = Window.partitionBy(*keys).orderBy(*order)
-    done = ordinary.withColumns({new: F.lag(old, 1).over(w) for new, old in values.items()})
-    if slotted is None:
-        return done
-
-    in_slot = Window.partitionBy(*keys, SLOT).orderBy(*order)
-    rows = slotted.withColumns(
-        {
-            **{new: F.lag(old, 1).over(in_slot) for new, old in values.items()},
-            "_first": F.row_number().over(in_slot) == 1,
-        }
-    )
-    last = F.max_by(F.struct(*values.values()), F.struct(*order)).alias("_last")
-    across = Window.partitionBy(*keys).orderBy(SLOT)
-    ends = (
-        slotted.groupBy(*keys, SLOT)
-        .agg(last)
-        .select(*keys, SLOT, F.lag("_last", 1).over(across).alias("_carried"))
-    )
-    joined = _carry(rows, ends, keys).withColumns(
-        {
-            new: F.when(F.col("_first"), F.col("_carried")[old]).otherwise(F.col(new))
-            for new, old in values.items()
-        }
-    )
-    return done.unionByName(joined.select(*done.columns))
-
-
-def running_total(
-    parts: Parts,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    out: str,
-) -> DataFrame:
-    """Add ``out``, the sum of ``value`` up to and including each row."""
-    ordinary, slotted = parts
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    done = ordinary.withColumn(out, F.sum(value).over(w))
-    if slotted is None:
-        return done
-
-    in_slot = (
-        Window.partitionBy(*keys, SLOT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    rows = slotted.withColumn(out, F.sum(value).over(in_slot))
-    before = Window.partitionBy(*keys).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    totals = slotted.groupBy(*keys, SLOT).agg(F.sum(value).alias("_total"))
-    starts = totals.select(*keys, SLOT, F.sum("_total").over(before).alias("_carried"))
-    kind = done.schema[out].dataType
-    start = F.coalesce(F.col("_carried"), F.lit(0))
-    joined = _carry(rows, starts, keys).withColumn(out, (F.col(out) + start).cast(kind))
-    return done.unionByName(joined.select(*done.columns))
-
-
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows. Runs a count, so ``df`` should be a small table."""
-    return rows > 0 and df.count() <= rows
-
-
-class Measured(NamedTuple):
-    """A table with the answer to whether it may be broadcast."""
-
-    df: DataFrame
-    fits: bool
-
-
-def measured(df: DataFrame, limits: Limits) -> Measured:
-    """Counts ``df`` once, for all joins with it."""
-    return Measured(df, fits(df, limits.broadcast_rows))
-
-
-def keep_keys(df: DataFrame, wanted: Measured, keys: Sequence[str]) -> DataFrame:
-    """Rows whose keys are in ``wanted``, if that is small enough to filter before a shuffle.
-
-    A larger ``wanted`` leaves ``df`` as it is, so the caller must not rely on the filter.
-    """
-    if not wanted.fits:
-        return df
-    small = F.broadcast(_renamed(wanted.df.select(*keys).distinct(), keys, "_wanted_"))
-    return df.join(small, _match(keys, "_wanted_"), "left_semi")
-
-
-def sized_join(big: DataFrame, small: Measured, on: Sequence[str]) -> DataFrame:
-    """Inner equi-join that broadcasts ``small`` only when its count shows that it fits.
-
-    Above the limit both sides are shuffled, and adaptive execution splits a hot key.
-    """
-    return big.join(F.broadcast(small.df) if small.fits else small.df, list(on))
-
-
-def salted_join(
-    big: DataFrame, small: DataFrame, on: Sequence[str], spread: Sequence[str], limits: Limits
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str]
 ) -> DataFrame:
-    """Inner equi-join in which ``limits.salts`` tasks share a key, by the hash of ``spread``.
-
-    ``small`` is repeated that often. For a result that is grouped by ``on`` again: adaptive
-    execution does not split a hot key there, as the grouping would need one more shuffle.
-    """
-    salt = F.pmod(F.xxhash64(*spread), F.lit(limits.salts)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1)))
-    salted = big.withColumn("_salt", salt).join(small.withColumn("_salt", copies), [*on, "_salt"])
-    return salted.drop("_salt")
+    """Add, for each ``values`` entry new→old, the old column's value in the row before, in a slotted table."""
+    parts = _parts(keys)
+    in_slot = Window.partitionBy(*parts, SLOT).orderBy(*order)
+    across = Window.partitionBy(*parts).orderBy(SLOT)
+    # The order names every column, so that both uses of the rows read the same columns and share a shuffle.
+    whole = [*order, *[c for c in rows.columns if c not in (*order, *parts, SLOT)]]
+    last = F.max_by(F.struct(*values.values()), F.struct(*whole)).alias("_last")
+    borders = rows.groupBy(*parts, SLOT).agg(last)
+    borders = borders.select(*parts, SLOT, F.lag("_last", 1).over(across).alias("_carried"))
+    inside = {new: F.lag(old, 1).over(in_slot) for new, old in values.items()}
+    joined = _carry(rows.withColumns({**inside, "_first": F.row_number().over(in_slot) == 1}), borders, keys)
+    chosen = {
+        new: F.when(F.col("_first"), F.col("_carried")[old]).otherwise(F.col(new)) for new, old in values.items()
+    }
+    return joined.withColumns(chosen).drop("_first", "_carried")
+
+
+def running_total(rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
+    """Add ``out``, the sum of ``value`` up to and including each row, to a slotted table."""
+    parts = _parts(keys)
+    in_slot = Window.partitionBy(*parts, SLOT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*parts).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*parts, SLOT).agg(F.sum(value).alias("_total"))
+    borders = totals.select(*parts, SLOT, F.sum("_total").over(before).alias("_carried"))
+    inside = rows.withColumn(out, F.sum(value).over(in_slot))
+    start = F.coalesce("_carried", F.lit(0))
+    kind = inside.schema[out].dataType
+    return _carry(inside, borders, keys).withColumn(out, (F.col(out) + start).cast(kind)).drop("_carried")

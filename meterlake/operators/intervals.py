@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.functions import amount, day_key, epoch, round2
-from meterlake.operators.hotkeys import SLOT, newest_first, previous, split_hot
-from meterlake.params import Limits
+from meterlake.functions import amount, day_key, epoch, money
+from meterlake.operators.hotkeys import first_in_slot, newest_first, previous, slotted, without_slots
 
 COPIES = "_copies"
 
@@ -55,7 +54,7 @@ def delta_columns(value: str, ts: str) -> dict:
     """``consumption`` and ``read_interval`` from a row and the ``_prev_`` columns before it."""
     gap = epoch(F.col(ts)) - epoch(F.col("_prev_ts"))
     return {
-        "consumption": round2(amount(F.col(value)) - amount(F.col("_prev_value"))),
+        "consumption": money(amount(F.col(value)) - amount(F.col("_prev_value"))),
         "read_interval": gap.cast("int"),
     }
 
@@ -82,7 +81,6 @@ def interval_delta(
     value: str,
     *,
     prefer: Sequence[str] = (),
-    limits: Limits = Limits(),
     parity: bool = False,
 ) -> DataFrame:
     """Add ``consumption`` (rounded change of the register) and ``read_interval`` (seconds).
@@ -90,25 +88,24 @@ def interval_delta(
     Repeated readings of one moment are reduced to one, the greatest in ``prefer`` and then in
     ``value``. With ``parity`` they all stay, and repeats show up as rows with delta 0.
 
-    Ordinary meters: one shuffle by meter serves both the de-duplication and ``lag``. Hot meters:
-    copies are dropped before the shuffle, then the rows are spread over time slots.
+    One shuffle by key and day serves both the de-duplication and the difference; the first reading of
+    a day meets the last one before it through a table with one row per key and day. Under parity the
+    copies are counted before the shuffle.
     """
     keys = list(keys)
-    ordinary, slotted = split_hot(df, keys, ts, limits)
-    ordinary = ordinary.repartition(*keys)
     if parity:
         rest = [c for c in df.columns if c not in (*keys, ts, value)]
         order = [ts, value, *rest]
-        parts = with_copies(ordinary), slotted and with_copies(slotted)
+        rows = slotted(with_copies(df), keys, ts)
     else:
         order = [ts]
-        chosen = [*prefer, value]
-        parts = (
-            dedupe(ordinary, [*keys, ts], chosen),
-            slotted and dedupe(slotted, [*keys, SLOT, ts], chosen),
-        )
-    rows = previous(parts, keys, order, {"_prev_ts": ts, "_prev_value": value})
+        rows = slotted(df, keys, ts)
+        newest = [*prefer, value]
+        more = [c for c in df.columns if c not in (*keys, ts, *newest)]
+        rows = first_in_slot(rows, keys, [ts], [F.desc_nulls_last(c) for c in [*newest, *more]])
+    rows = previous(rows, keys, order, {"_prev_ts": ts, "_prev_value": value})
     rows = rows.withColumns(delta_columns(value, ts)).drop("_prev_ts", "_prev_value")
+    rows = without_slots(rows, df, keys)
     return repeated_as_zero(rows) if parity else rows
 
 

@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.functions import EXACT, amount, day_part, ltrim0, round2, to_id
+from meterlake.functions import EXACT, amount, day_part, ltrim0, money, round2, to_id
 from meterlake.operators import billing
 from meterlake.operators.horizon import after_event, having, where_code
-from meterlake.operators.hotkeys import fits, salted_join
-from meterlake.params import Limits, Params
+from meterlake.params import Params
 
 # Endpoint group and endpoint type of the meters in question.
 AMI_GROUP = "AMI"
@@ -32,21 +31,9 @@ def daily_usage(reads: DataFrame, suffix: str = "") -> DataFrame:
     )
 
 
-def reads_after_bill(
-    reads: DataFrame, last_bill: DataFrame, limits: Limits, bound: DataFrame
-) -> DataFrame:
-    """Reads later than the account meter's last billing reading.
-
-    ``last_bill`` has one row per account meter, so the meters table ``bound`` limits its size. If it
-    is too large to broadcast, the reads of one moment are added up before the shuffle, and several
-    tasks share the moments of an account, as the result is summed by account again.
-    """
-    if fits(bound, limits.broadcast_rows):
-        joined = reads.join(F.broadcast(last_bill), list(billing.ACCOUNT))
-    else:
-        moment = [c for c in reads.columns if c != "consumption"]
-        summed = reads.groupBy(*moment).agg(F.sum("consumption").alias("consumption"))
-        joined = salted_join(summed, last_bill, billing.ACCOUNT, ["reading_datetime"], limits)
+def reads_after_bill(reads: DataFrame, last_bill: DataFrame) -> DataFrame:
+    """Reads later than the account meter's last billing reading."""
+    joined = reads.join(last_bill, list(billing.ACCOUNT))
     return after_event(joined, "reading_datetime", "last_read_time")
 
 
@@ -73,13 +60,11 @@ def with_premise(df: DataFrame, contracts: DataFrame) -> DataFrame:
     return df.join(premises, ["business_partner_number", "connection_contract_number"])
 
 
-def _account_usage(
-    reads: DataFrame, last_bill: DataFrame, meters: DataFrame, params: Params
-) -> DataFrame:
+def _account_usage(reads: DataFrame, last_bill: DataFrame, params: Params) -> DataFrame:
     """Usage since the last bill. By register, or with parity by raw equipment number."""
     own = "equipmentnumber" if params.parity else "register"
     daily = daily_usage(reads, params.interval_suffix)
-    recent = reads_after_bill(daily, last_bill, params.limits, meters)
+    recent = reads_after_bill(daily, last_bill)
     return usage_since(recent, [*billing.ACCOUNT, own])
 
 
@@ -99,7 +84,8 @@ def high_usage(
 ) -> DataFrame:
     """Accounts whose usage since the last bill is above their own limit and above the floor.
 
-    One row per account meter and register. With ``params.parity`` registers are added up and meet
+    One row per account meter and register, whose statistics are over all its reading units that have a
+    next read. With ``params.parity`` statistics are per next read, and registers are added up and meet
     the limit of each register, as a usage repeated for every register with that limit.
     """
     keys = ["meter_id", "installation", "register"]
@@ -107,13 +93,13 @@ def high_usage(
     totals = billing.bill_totals(bills, keys, params.as_of_ts, params.months)
     base = billing.bills_with_meters(totals, active, keys)
 
-    stats_keys = [*billing.ACCOUNT, "register", "next_read_date"]
+    stats_keys = [*billing.ACCOUNT, "register", *(["next_read_date"] if params.parity else [])]
     stats = billing.billing_stats(billing.with_next_read(base, next_read), stats_keys, params.sigma)
     match = [*billing.ACCOUNT] if params.parity else [*billing.ACCOUNT, "register"]
     limits = _repeats(stats, [*match, "high_usage_limit"], params.parity)
 
     last = billing.last_bill(bills, active, keys)
-    usage = with_stats(_account_usage(reads, last, active, params), limits, match)
+    usage = with_stats(_account_usage(reads, last, params), limits, match)
     summed = F.col("current_usage") * F.col("_repeats")
     alerts = having(
         usage.withColumn("current_usage", summed),
@@ -126,7 +112,7 @@ def high_usage(
         F.col("meter_id").alias("equipmentnumber"),
         *([] if params.parity else ["register"]),
         "last_read_time",
-        round2(F.col("current_usage")).alias("current_usage"),
+        money(F.col("current_usage")).alias("current_usage"),
         "high_usage_limit",
     )
 
@@ -142,13 +128,14 @@ def project_consumption(
 ) -> DataFrame:
     """Usage since the last bill, extended to the next read at the historic daily rate.
 
-    One row per account meter, register and next read; with ``params.parity`` per raw equipment
+    One row per account meter, register and next read, each register at its own rate; with ``params.parity`` per raw equipment
     number, repeated as the join by account alone does. A next read before the last reading gives
     negative days, and a projection below the usage.
     """
     active = billing.with_endpoint(billing.active_meters(meters), endpoint_types, AMI_GROUP)
-    totals = billing.bill_totals(bills, ["meter_id"], params.as_of_ts, params.months)
-    base = billing.bills_with_meters(totals, active, ["meter_id"])
+    keys = ["meter_id"] if params.parity else ["meter_id", "register"]
+    totals = billing.bill_totals(bills, keys, params.as_of_ts, params.months)
+    base = billing.bills_with_meters(totals, active, keys)
 
     stats_keys = [*billing.ACCOUNT, "register", "next_read_date"]
     stats = billing.billing_stats(billing.with_next_read(base, next_read), stats_keys, params.sigma)
@@ -159,7 +146,7 @@ def project_consumption(
         ["business_partner_number", "connection_contract_number", "premise_id"]
     )
     last = billing.last_bill(bills, active, ["meter_id"])
-    usage = with_stats(_account_usage(reads, last, meters, params), rates, match)
+    usage = with_stats(_account_usage(reads, last, params), rates, match)
     rows = with_premise(usage, premises)
     group = [
         *billing.ACCOUNT,
@@ -182,11 +169,11 @@ def project_consumption(
         *([] if params.parity else ["register"]),
         F.to_date("last_read_time").alias("service_period_start"),
         F.to_date("next_read_date").alias("service_period_end"),
-        round2(F.col("current_usage")).alias("curr_read_consumption"),
+        money(F.col("current_usage")).alias("curr_read_consumption"),
         F.to_date("last_reading").alias("curr_read_date"),
         round2(F.col("per_day_consumption")).alias("per_day_consumption"),
         days.alias("days_to_next_read"),
-        (round2(F.col("current_usage")) + round2(days * F.col("per_day_consumption")))
+        (money(F.col("current_usage")) + round2(days * F.col("per_day_consumption")))
         .cast("decimal(18,2)")
         .alias("projected_consumption"),
     )

@@ -1,27 +1,11 @@
-"""Run parameters: what the jobs compute, and the sizes the plans are built for."""
+"""Run parameters: what the jobs compute."""
 
 from __future__ import annotations
 
 import datetime as dt
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field, fields
-
-
-@dataclass(frozen=True)
-class Limits:
-    """Sizes at which a plan changes its strategy. None of them changes a result."""
-
-    #: Rows of one meter that a single task may sort. Meters above it are cut into time slots.
-    hot_rows: int = 1_000_000
-    #: Rows a table may have, by count, to be broadcast.
-    broadcast_rows: int = 500_000
-    #: Tasks that share one join key when the smaller side is too large to broadcast.
-    salts: int = 32
-
-    def __post_init__(self) -> None:
-        if self.hot_rows < 1 or self.salts < 1 or self.broadcast_rows < 0:
-            raise ValueError("hot_rows and salts must be positive, broadcast_rows not negative")
+from dataclasses import dataclass, fields
 
 
 @dataclass(frozen=True)
@@ -50,7 +34,6 @@ class Params:
     leak_endpoint: str = ""
     job_id: str = "meterlake"
     parity: bool = False
-    limits: Limits = field(default_factory=Limits)
 
     def __post_init__(self) -> None:
         if isinstance(self.as_of, dt.datetime) or not isinstance(self.as_of, dt.date):
@@ -98,8 +81,6 @@ class Params:
             out["parity"] = out["parity"].strip().lower() == "true"
         if isinstance(out.get("districts"), str):
             out["districts"] = tuple(d.strip() for d in out["districts"].split(",") if d.strip())
-        if isinstance(out.get("limits"), Mapping):
-            out["limits"] = Limits(**out["limits"])
         return cls(**out)
 
     @classmethod

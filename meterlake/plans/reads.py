@@ -13,10 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.operators import horizon, intervals, marts, validity
-from meterlake.operators.feeds import METER, TS, VALUE, normalise_account_feed, normalise_customer_feed
-from meterlake.operators.hotkeys import Measured, keep_keys, measured, sized_join
+from meterlake.operators.feeds import METER, PORT, TS, VALUE, normalise_account_feed, normalise_customer_feed
 from meterlake.params import Params
-from meterlake.session import written_once
 
 NEWEST = "ingest_watermark"
 # Days of the account feed, whose own settings are ignored under parity.
@@ -28,37 +26,40 @@ def _reading(df: DataFrame, place: str, *more: str) -> DataFrame:
     return df.select(METER, place, TS, "timezone", VALUE, "unit_of_measure", *more)
 
 
+def series(params: Params) -> list[str]:
+    """What a register's readings follow each other by: a port of a meter, or with parity the meter."""
+    return [METER] if params.parity else [METER, PORT]
+
+
 def hourly_deltas(readings: DataFrame, place: str, params: Params) -> DataFrame:
     """Every reading with its consumption, before enrichment."""
     if params.parity:
         rows = _reading(readings, place)
-        return intervals.interval_delta(rows, [METER], TS, VALUE, limits=params.limits, parity=True)
-    rows = intervals.interval_delta(
-        _reading(readings, place, NEWEST), [METER], TS, VALUE, prefer=[NEWEST], limits=params.limits
-    )
-    return rows.drop(NEWEST)
+        return intervals.interval_delta(rows, [METER], TS, VALUE, parity=True)
+    rows = _reading(readings, place, PORT, NEWEST)
+    return intervals.interval_delta(rows, series(params), TS, VALUE, prefer=[NEWEST]).drop(NEWEST)
 
 
 def daily_last(readings: DataFrame, place: str, params: Params) -> DataFrame:
-    """Last reading of each meter and day. With parity all readings of that moment, with copies."""
+    """Last reading of each port of a meter and day. With parity per meter, all readings of that moment, with copies."""
     if not params.parity:
         last = intervals.last_per_day(
-            _reading(readings, place, NEWEST), [METER], TS, prefer=[NEWEST, VALUE, place]
+            _reading(readings, place, PORT, NEWEST), series(params), TS, prefer=[NEWEST, VALUE, place]
         )
         return last.drop(NEWEST)
     last = intervals.last_per_day(readings.distinct(), [METER], TS, keep_ties=True)
     return intervals.with_copies(_reading(last, place))
 
 
-def daily_enriched(last: DataFrame, points: Measured, place: str, params: Params) -> DataFrame:
+def daily_enriched(last: DataFrame, points: DataFrame, place: str, params: Params) -> DataFrame:
     """Daily rows with consumption and service point.
 
-    The change from day to day is taken per meter and then joined; with parity it is taken after the
+    The change from day to day is taken per port of a meter and then joined; with parity it is taken after the
     join, so that registers of one meter follow each other with delta 0.
     """
     if not params.parity:
-        return sized_join(intervals.day_delta(last, [METER], TS, VALUE), points, [place])
-    rows = sized_join(last, points, [place])
+        return intervals.day_delta(last, series(params), TS, VALUE).join(points, place)
+    rows = last.join(points, place)
     rest = [c for c in rows.columns if c not in (METER, TS, VALUE, intervals.COPIES)]
     w = Window.partitionBy(METER).orderBy(TS, VALUE, "register", *[c for c in rest if c != "register"])
     rows = rows.withColumns({"_prev_ts": F.lag(TS, 1).over(w), "_prev_value": F.lag(VALUE, 1).over(w)})
@@ -88,11 +89,9 @@ def hourly_reads(
     """Readings of the recent days up to tomorrow's midnight, customer feed; 17 columns."""
     feed = normalise_customer_feed(readings)
     recent = horizon.in_horizon(feed, TS, params.as_of, params.days_minus_hourly, 1)
-    points = measured(
-        validity.points_by_location(location, device, contract, params.as_of), params.limits
-    )
+    points = validity.points_by_location(location, device, contract, params.as_of)
     deltas = hourly_deltas(recent, "functionallocation", params)
-    rows = sized_join(deltas, points, ["functionallocation"])
+    rows = deltas.join(points, "functionallocation")
     return _customer_mart(_typed(rows, "HOURLY", params))
 
 
@@ -106,9 +105,7 @@ def daily_reads(
     """Last reading of each day up to today's midnight, customer feed; 17 columns."""
     feed = normalise_customer_feed(readings)
     recent = horizon.in_horizon(feed, TS, params.as_of, params.days_minus_daily, 0)
-    points = measured(
-        validity.points_by_location(location, device, contract, params.as_of), params.limits
-    )
+    points = validity.points_by_location(location, device, contract, params.as_of)
     last = daily_last(recent, "functionallocation", params)
     rows = daily_enriched(last, points, "functionallocation", params)
     return _customer_mart(_typed(rows, "DAILY", params))
@@ -124,11 +121,9 @@ def hourly_reads_account(
     """As ``hourly_reads`` for the account feed, located by premise; 18 columns."""
     days = PARITY_HOURLY if params.parity else params.days_minus_hourly
     recent = horizon.in_horizon(normalise_account_feed(readings), TS, params.as_of, days, 1)
-    points = measured(
-        validity.points_by_premise(premise, device, contract, params.as_of), params.limits
-    )
+    points = validity.points_by_premise(premise, device, contract, params.as_of)
     deltas = hourly_deltas(recent, "utilities_premise", params)
-    rows = sized_join(deltas, points, ["utilities_premise"])
+    rows = deltas.join(points, "utilities_premise")
     return _account_mart(_typed(rows, "HOURLY", params))
 
 
@@ -142,9 +137,7 @@ def daily_reads_account(
     """As ``daily_reads`` for the account feed, located by premise; 18 columns."""
     days = PARITY_DAILY if params.parity else params.days_minus_daily
     recent = horizon.in_horizon(normalise_account_feed(readings), TS, params.as_of, days, 0)
-    points = measured(
-        validity.points_by_premise(premise, device, contract, params.as_of), params.limits
-    )
+    points = validity.points_by_premise(premise, device, contract, params.as_of)
     last = daily_last(recent, "utilities_premise", params)
     rows = daily_enriched(last, points, "utilities_premise", params)
     return _account_mart(_typed(rows, "DAILY", params))
@@ -162,24 +155,23 @@ BACKFILL_COLUMNS = tuple(c for c in marts.READ_COLUMNS if c != "read_interval_ty
 
 def _backfill_points(
     location: DataFrame, device: DataFrame, contract: DataFrame, params: Params
-) -> Measured:
+) -> DataFrame:
     current = marts.select_mart(contract, BACKFILL_CONTRACT)
     wanted = horizon.in_districts(current, params.districts, "regionalstructuregrouping")
-    points = validity.points_by_location(location, device, wanted, params.as_of)
-    return measured(points, params.limits)
+    return validity.points_by_location(location, device, wanted, params.as_of)
 
 
-def meters_seen_at(feed: DataFrame, points: Measured, place: str, params: Params) -> DataFrame:
+def meters_seen_at(feed: DataFrame, points: DataFrame, place: str, params: Params) -> DataFrame:
     """Readings of the meters that have a reading at one of the service points.
 
     A few districts need few of all meters. The filter keeps whole meters, as the reading before may
     have been taken at another place.
     """
-    if not (params.districts and points.fits):
+    if not params.districts:
         return feed
-    here = keep_keys(feed.select(METER, place), points, [place]).select(METER).distinct()
-    meters = written_once(here, "district-meters")
-    return keep_keys(feed, measured(meters, params.limits), [METER])
+    here = feed.select(METER, place).join(points.select(place).distinct(), place, "left_semi")
+    meters = here.select(F.col(METER).alias("_meter")).distinct()
+    return feed.join(meters, F.col(METER).eqNullSafe(F.col("_meter")), "left_semi")
 
 
 def _slot_begin(params: Params) -> dt.datetime:
@@ -200,7 +192,7 @@ def backfill_hourly(
     points = _backfill_points(location, device, contract, params)
     feed = meters_seen_at(feed, points, "functionallocation", params)
     deltas = hourly_deltas(feed, "functionallocation", params)
-    rows = sized_join(deltas, points, ["functionallocation"])
+    rows = deltas.join(points, "functionallocation")
     return marts.select_mart(rows, marts.READS_MAPPING, *BACKFILL_COLUMNS)
 
 

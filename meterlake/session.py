@@ -5,9 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-#: AQE removes the slot branch when no meter is hot, splits skewed joins and sizes shuffles.
+#: AQE splits skewed joins, sizes shuffles and broadcasts by bytes.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -45,17 +45,3 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def _inside(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written_once(df: DataFrame, name: str) -> DataFrame:
-    """``df`` through a table in the shared folder, so that several uses compute it once.
-
-    For small results of large inputs. Survives lost executors. On a cluster without a shared folder
-    ``df`` is returned as it is, and each use computes it.
-    """
-    base = shared_folder(df.sparkSession)
-    if base is None:
-        return df
-    path = _inside(base, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

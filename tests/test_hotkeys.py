@@ -1,13 +1,12 @@
-"""Hot meters and shuffled joins give the same rows as the plain plans."""
+"""Windows cut at midnight give the same rows as plain windows."""
 
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterlake.operators import hotkeys, intervals
-from meterlake.params import Limits
-from tests.frames import out
 
 KEYS, TS, VALUE = ["meter_id"], "reading_datetime", "reading_value"
 
@@ -32,96 +31,43 @@ def readings(spark):
     )
 
 
-def test_hot_keys_are_the_large_ones(readings):
-    hot = hotkeys.hot_keys(readings, KEYS, TS, Limits(hot_rows=100))
-    assert [r["meter_id"] for r in hot.collect()] == ["m0"]
+@pytest.mark.parametrize("slot", [60, 86_400])
+def test_delta_is_that_of_a_plain_window(readings, monkeypatch, slot):
+    monkeypatch.setattr(hotkeys, "SLOT_SECONDS", slot)
+    once = readings.groupBy(*KEYS, TS).agg(F.max(VALUE).alias(VALUE))
+    w = Window.partitionBy(*KEYS).orderBy(TS)
+    prev = {"_prev_ts": F.lag(TS).over(w), "_prev_value": F.lag(VALUE).over(w)}
+    plain = once.withColumns(prev).withColumns(intervals.delta_columns(VALUE, TS)).drop(*prev)
+    got = intervals.interval_delta(readings, KEYS, TS, VALUE).select(*plain.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
 
 
-@pytest.mark.parametrize("parity", [False, True])
-@pytest.mark.parametrize("hot_rows", [40])
-def test_delta_does_not_depend_on_heat(readings, parity, hot_rows):
-    def rows(limits):
-        df = intervals.interval_delta(readings, KEYS, TS, VALUE, limits=limits, parity=parity)
-        return sorted(map(str, df.collect()))
+@pytest.mark.parametrize("slot", [60, 86_400])
+def test_parity_delta_does_not_depend_on_slots(readings, monkeypatch, slot):
+    whole = sorted(map(str, intervals.interval_delta(readings, KEYS, TS, VALUE, parity=True).collect()))
+    monkeypatch.setattr(hotkeys, "SLOT_SECONDS", slot)
+    cut = sorted(map(str, intervals.interval_delta(readings, KEYS, TS, VALUE, parity=True).collect()))
+    assert cut == whole
 
-    assert rows(Limits(hot_rows=hot_rows)) == rows(Limits())
 
-
-@pytest.mark.parametrize("hot_rows", [40])
-def test_slots_hold_no_more_than_the_limit(readings, hot_rows):
-    """Also in the burst, down to the readings of a single second."""
-    rows = readings.distinct()
-    _, slotted = hotkeys.split_hot(rows, KEYS, TS, Limits(hot_rows=hot_rows))
-    crowded = slotted.groupBy("meter_id", hotkeys.SLOT).agg(
-        F.approx_count_distinct(TS).alias("n"), F.min(TS).alias("lo"), F.max(TS).alias("hi")
-    )
-    assert crowded.where((F.col("n") > hot_rows) & (F.col("hi") > F.col("lo"))).count() == 0
-    hot = rows.groupBy("meter_id").count().where(F.col("count") > hot_rows)
-    assert slotted.count() == rows.join(hot, "meter_id").count()
-    apart = crowded.selectExpr("meter_id", "unix_timestamp(hi) AS last", f"lead({hotkeys.SLOT}) OVER "
-                               f"(PARTITION BY meter_id ORDER BY {hotkeys.SLOT}) AS next")
-    assert apart.where("next <= last").count() == 0
-
-
-def test_running_total(readings):
+@pytest.mark.parametrize("slot", [60, 86_400])
+def test_running_total(readings, monkeypatch, slot):
+    monkeypatch.setattr(hotkeys, "SLOT_SECONDS", slot)
     rows = readings.distinct()
     order = [TS, VALUE]
+    w = Window.partitionBy(*KEYS).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    plain = rows.withColumn("total", F.sum(VALUE).over(w))
+    df = hotkeys.running_total(hotkeys.slotted(rows, KEYS, TS), KEYS, order, VALUE, "total")
+    got = hotkeys.without_slots(df, rows, KEYS).select(*plain.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
 
-    def totals(limits):
-        parts = hotkeys.split_hot(rows, KEYS, TS, limits)
-        df = hotkeys.running_total(parts, KEYS, order, VALUE, "total")
-        return sorted(map(str, df.collect()))
-
-    assert totals(Limits(hot_rows=40)) == totals(Limits())
-
-
-def test_joins_give_the_same_rows(spark, readings):
-    names = readings.select("meter_id").distinct().withColumn("name", F.concat(F.lit("n"), "meter_id"))
-
-    def rows(df):
-        return sorted(map(str, df.select("meter_id", TS, VALUE, "name").collect()))
 
-    def joined(limits):
-        return hotkeys.sized_join(readings, hotkeys.measured(names, limits), KEYS)
-
-    small = rows(joined(Limits()))
-    assert len(small) == readings.count()
-    assert rows(joined(Limits(broadcast_rows=3))) == small
-    assert rows(hotkeys.salted_join(readings, names, KEYS, [TS], Limits(salts=5))) == small
-    assert rows(hotkeys.salted_join(readings, names, KEYS, [TS], Limits(salts=1))) == small
-
-
-def test_broadcast_only_within_the_limit(spark, readings, capsys):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        names = readings.select("meter_id").distinct()
-        hotkeys.sized_join(readings, hotkeys.measured(names, Limits()), KEYS).explain()
-        assert "BroadcastHashJoin" in capsys.readouterr().out
-        small = hotkeys.measured(names, Limits(broadcast_rows=5))
-        hotkeys.sized_join(readings, small, KEYS).explain()
-        assert "BroadcastHashJoin" not in capsys.readouterr().out
-        assert hotkeys.keep_keys(readings, small, KEYS) is readings
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_rows_of_one_day_are_the_most_that_a_task_sorts(readings):
+    days = hotkeys.slotted(readings, KEYS, TS).groupBy("_key_meter_id", hotkeys.SLOT).count()
+    assert days.where("_key_meter_id = 'm0'").count() >= 3
 
 
 def test_newest_first_reduces_before_the_shuffle(readings, capsys):
     hotkeys.newest_first(readings, [*KEYS, TS], [F.desc(VALUE)]).explain()
     plan = capsys.readouterr().out
     assert "Partial" in plan.split("Exchange")[1]
-
-
-def test_plain_window_needs_one_shuffle(readings, capsys):
-    base = readings.sparkSession.createDataFrame(readings.limit(10).collect(), readings.schema)
-    intervals.interval_delta(base, KEYS, TS, VALUE).explain()
-    assert capsys.readouterr().out.count("Exchange") == 1
-
-
-def test_slots_of_a_burst_follow_time(spark):
-    df = spark.range(100).select(
-        F.lit("m").alias("meter_id"),
-        (F.expr("timestamp_ntz'2024-01-01'") + F.expr("make_dt_interval(0,0,0,id)")).alias(TS),
-        F.col("id").cast("decimal(18,2)").alias(VALUE),
-    )
-    delta = intervals.interval_delta(df, KEYS, TS, VALUE, limits=Limits(hot_rows=10))
-    assert set(out(delta.select("consumption", "read_interval"))) == {(None, None), (1, 1)}

@@ -1,15 +1,12 @@
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from meterlake.operators import horizon, intervals
-from meterlake.params import Limits
 from tests.frames import day, frame, out, ts
 
 READING = "meter_id string, reading_datetime timestamp_ntz, reading_value decimal(18,2)"
 KEYS, TS, VALUE = ["meter_id"], "reading_datetime", "reading_value"
-LIMITS = [Limits(), Limits(hot_rows=1)]
 
 
 def delta(df, **kw):
@@ -18,8 +15,7 @@ def delta(df, **kw):
         "consumption", "read_interval").collect()]
 
 
-@pytest.mark.parametrize("limits", LIMITS)
-def test_delta_basic(spark, limits):
+def test_delta_basic(spark):
     df = frame(
         spark, READING,
         ("M", "2024-03-10 00:00:00", "10.0"),
@@ -27,19 +23,18 @@ def test_delta_basic(spark, limits):
         ("M", "2024-03-10 03:00:00", "13.0"),
     )
     want = [(None, None), (Decimal("2.50"), 3600), (Decimal("0.50"), 7200)]
-    assert delta(df, limits=limits) == want
+    assert delta(df) == want
 
 
-@pytest.mark.parametrize("limits", LIMITS)
-def test_repeated_ingest(spark, limits):
+def test_repeated_ingest(spark):
     df = frame(
         spark, READING,
         ("M", "2024-03-10 00:00:00", "10"),
         ("M", "2024-03-10 01:00:00", "12"),
         ("M", "2024-03-10 01:00:00", "12"),
     )
-    assert delta(df, limits=limits) == [(None, None), (Decimal("2.00"), 3600)]
-    assert delta(df, limits=limits, parity=True) == [
+    assert delta(df) == [(None, None), (Decimal("2.00"), 3600)]
+    assert delta(df, parity=True) == [
         (None, None), (Decimal("2.00"), 3600), (Decimal("0.00"), 0),
     ]
 
@@ -71,7 +66,6 @@ def test_missing_meter_id_is_one_meter(spark):
     )
     want = [(None, None), (Decimal("2.00"), 3600), (Decimal("3.00"), 3600)]
     assert delta(df) == want
-    assert delta(df, limits=Limits(hot_rows=1)) == want
 
 
 def test_daily_last(spark):
@@ -127,3 +121,23 @@ def test_codes(spark):
     assert out(horizon.where_code(df, "division", "SW")) == [("SW",)]
     assert horizon.in_districts(df, (), "division").count() == 3
     assert out(horizon.in_districts(df, ("W", "X"), "division")) == [("W",)]
+
+
+def test_difference_is_rounded_once(spark):
+    kind = "meter_id string, reading_datetime timestamp_ntz, reading_value double"
+    for value, want in ((1.004999, "0.00"), (1.0049999999, "0.00"), (1.005, "0.01"), (1.0149999, "0.01")):
+        df = frame(spark, kind, ("M", "2024-03-10 00:00:00", 1.0), ("M", "2024-03-10 01:00:00", value))
+        assert delta(df)[1] == (Decimal(want), 3600)
+
+
+def test_delta_over_midnight_and_empty_days(spark):
+    df = frame(
+        spark, READING,
+        ("M", "2024-03-10 23:59:59", "10"),
+        ("M", "2024-03-11 00:00:00", "12"),
+        ("N", "2024-03-11 00:00:00", "1"),
+        ("M", "2024-03-15 00:00:00", "15"),
+    )
+    rows = intervals.interval_delta(df, KEYS, TS, VALUE)
+    got = out(rows.where("meter_id = 'M'").select("consumption", "read_interval"), "consumption")
+    assert got == [(None, None), (Decimal("2.00"), 1), (Decimal("3.00"), 4 * 86400)]

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from meterlake.checks import oracle, queries
 from tests import compare
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
@@ -16,13 +16,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_query(spark, con, name):
-    got, got_names = compare.spark_rows(entry.queries()[name](spark, FOLDER))
-    want, want_names = compare.duck_rows(con, entry.oracle_sql()[name])
+    got, got_names = compare.spark_rows(queries.queries()[name](spark, FOLDER))
+    want, want_names = compare.duck_rows(con, oracle.oracle_sql()[name])
     assert got_names == want_names
     assert len(got) == len(want)
     assert got == want

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from meterlake import Limits, Params
+from meterlake import Params
 
 DAY = dt.date(2024, 3, 10)
 
@@ -36,15 +36,10 @@ def test_run_time_is_kept_in_utc():
 def test_from_json():
     p = Params.from_json(
         '{"as_of": "2024-03-10", "as_of_ts": "2024-03-10T01:00:00", "districts": "A, B", "parity": "true",'
-        ' "sigma": "3", "limits": {"hot_rows": 5}}'
+        ' "sigma": "3"}'
     )
-    assert (p.as_of, p.districts, p.parity, p.sigma, p.limits.hot_rows) == (DAY, ("A", "B"), True, 3.0, 5)
+    assert (p.as_of, p.districts, p.parity, p.sigma) == (DAY, ("A", "B"), True, 3.0)
     with pytest.raises(ValueError):
         Params.from_json('{"as_of": "2024-03-10", "typo": 1}')
     with pytest.raises(ValueError):
         Params.from_json("{}")
-
-
-def test_limits():
-    with pytest.raises(ValueError):
-        Limits(hot_rows=0)

@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from meterlake import Limits, Params
+from meterlake import Params
 from meterlake.operators import marts
 from meterlake.plans import reads
 from tests.frames import day, frame, out, ts
@@ -169,8 +169,7 @@ def test_backfill(spark, master):
         reads.backfill_hourly(readings, location, devices, renamed, replace(params, slot_begin=None))
 
 
-@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0)])
-def test_backfill_of_a_meter_that_moved(spark, master, limits):
+def test_backfill_of_a_meter_that_moved(spark, master):
     """The reading before may belong to another district."""
     location, devices, contracts = master
     renamed = contracts.withColumnsRenamed({v: k for k, v in reads.BACKFILL_CONTRACT.items()})
@@ -181,7 +180,7 @@ def test_backfill_of_a_meter_that_moved(spark, master, limits):
         ("other", 7, 4.0, "2024-03-10 12:00:00"),
         (None, 8, 1.0, "2024-03-10 12:00:00"),
     )
-    params = replace(PARAMS, districts=("D2",), limits=limits)
+    params = replace(PARAMS, districts=("D2",))
     for build in (reads.backfill_hourly, reads.backfill_daily):
         df = build(readings, location, devices, renamed, params)
         got = out(df.select("headend_meter_id", "consumption"), "headend_meter_id")
@@ -201,3 +200,15 @@ def test_combined_reads(spark):
     left = frame(spark, "a int, b int", (1, 2))
     right = frame(spark, "a int, c int", (3, 4))
     assert out(marts.combined_reads(left, right), "a") == [(1, 2, None), (3, None, 4)]
+
+
+def test_ports_of_a_meter_are_apart(spark, master):
+    """Two registers read at the same times; under parity they follow each other as before."""
+    rows = [("m", 7, v, t) for t, v in (("2024-03-09 12:00:00", 10.0), ("2024-03-10 12:00:00", 12.0))]
+    other = [("m", 7, v, t) for t, v in (("2024-03-09 12:00:00", 500.0), ("2024-03-10 12:00:00", 510.0))]
+    two = customer(spark, *other).withColumn("transponder_port", F.lit("2"))
+    readings = customer(spark, *rows).unionByName(two)
+    for plan in (reads.hourly_reads, reads.daily_reads):
+        days = replace(PARAMS, as_of=day("2024-03-11"))
+        got = out(plan(readings, *master, days).where("register = '001'").select("reading_value", "consumption"), "reading_value")
+        assert got == [(10.0, None), (12.0, Decimal("2.00")), (500.0, None), (510.0, Decimal("10.00"))]

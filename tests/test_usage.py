@@ -3,9 +3,8 @@
 from dataclasses import replace
 from decimal import Decimal
 
-import pytest
 
-from meterlake import Limits, Params
+from meterlake import Params
 from meterlake.operators import leaks, schedule, usage
 from tests.frames import day, frame, out, ts
 
@@ -52,15 +51,13 @@ def alerts(spark, reads, bills=EVEN, meters=(meter(),), params=PARAMS, next_read
                "high_usage_limit")
 
 
-@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0, salts=3)])
-def test_high_usage(spark, limits):
-    params = replace(PARAMS, limits=limits)
+def test_high_usage(spark):
     used = [
         read("2024-03-01 00:00:00", "9999"),
         read("2024-03-02 00:00:00", "3000"),
         read("2024-03-03 00:00:00", "500"),
     ]
-    assert alerts(spark, used, params=params) == [
+    assert alerts(spark, used) == [
         ("5", ts("2024-03-01"), Decimal("3500.00"), Decimal("100.00"))
     ]
 

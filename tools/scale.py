@@ -13,14 +13,13 @@ import json
 import os
 import sys
 import time
-from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from meterlake import Limits, Params  # noqa: E402
+from meterlake import Params  # noqa: E402
 from meterlake.checks.views import Views  # noqa: E402
 from meterlake.plans import reads  # noqa: E402
 from meterlake.session import scratch, session  # noqa: E402
@@ -58,25 +57,22 @@ def main() -> None:
     for data in ("even", "skewed"):
         readings = spark.read.parquet(f"{base}/{data}")
         rows = readings.count()
-        for label, hot_rows in (("plain", 1 << 60), ("slots", 200_000)):
-            for plan in (reads.backfill_hourly, reads.backfill_daily):
-                run = replace(params, limits=Limits(hot_rows=hot_rows))
-                start = time.perf_counter()
-                plan(readings, *master, run).write.format("noop").mode("overwrite").save()
-                took = time.perf_counter() - start
-                print(
-                    json.dumps(
-                        {
-                            "data": data,
-                            "rows": rows,
-                            "windows": label,
-                            "plan": plan.__name__,
-                            "seconds": round(took, 2),
-                            "rows_per_second": int(rows / took),
-                        }
-                    ),
-                    flush=True,
-                )
+        for plan in (reads.backfill_hourly, reads.backfill_daily):
+            start = time.perf_counter()
+            plan(readings, *master, params).write.format("noop").mode("overwrite").save()
+            took = time.perf_counter() - start
+            print(
+                json.dumps(
+                    {
+                        "data": data,
+                        "rows": rows,
+                        "plan": plan.__name__,
+                        "seconds": round(took, 2),
+                        "rows_per_second": int(rows / took),
+                    }
+                ),
+                flush=True,
+            )
     spark.stop()
 
 
