@@ -512,6 +512,12 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT {_MART_IDS}, 'customer' AS feed
             FROM (SELECT * FROM ({_HOURLY}) UNION ALL SELECT * FROM ({_HOURLY}))""",
         ),
+        "mart_both_feeds": _with(
+            hourly,
+            f"""SELECT {_MART_IDS} FROM (
+                SELECT *, NULL AS utilities_premise, 'customer' AS feed FROM ({_HOURLY})
+                UNION ALL BY NAME SELECT *, 'account' AS feed FROM ({_HOURLY_ACCOUNT}))""",
+        ),
         "replace_slice": _with(
             hourly,
             f"""SELECT {_MART_IDS}, 'customer' AS feed

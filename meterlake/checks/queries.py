@@ -324,6 +324,19 @@ def append_reads(v: Views) -> DataFrame:
     return _back(v, target).drop("utilities_premise")
 
 
+def mart_both_feeds(v: Views) -> DataFrame:
+    """Readings of one feed as doubles, of the other as decimals, in one mart."""
+    target = sinks.Target.reads(scratch(v.spark, "feeds"))
+    once, *master = _customer(v)
+    doubles = once.withColumn("reading_value", F.col("reading_value").cast("double"))
+    for feed, rows in (
+        ("account", hourly_enriched_account(v)),
+        ("customer", reads.hourly_reads(doubles, *master, READS)),
+    ):
+        sinks.append(marts.reads_row(rows).withColumn("feed", F.lit(feed)), target)
+    return _back(v, target)
+
+
 def replace_slice(v: Views) -> DataFrame:
     """The hourly slice is written twice and stays once; the daily slice and an empty frame
     leave it alone."""
@@ -406,6 +419,7 @@ CHECKS: dict[str, Callable[[Views], DataFrame]] = {
         alert_payload,
         audit_records,
         append_reads,
+        mart_both_feeds,
         replace_slice,
         replace_all,
         overwrite_if_any,

@@ -35,6 +35,13 @@ READ_COLUMNS = (
     "contract",
     "district",
 )
+#: The reads mart has one schema, whichever feed a row is from. All other columns are text.
+READS_TYPES = {
+    "reading_datetime": "timestamp_ntz",
+    "reading_value": "decimal(28,10)",
+    "consumption": "decimal(18,2)",
+    "read_interval": "int",
+}
 NUMBERS = ("reading_value", "consumption", "read_interval")
 LONG_IDS = ("installation", "contractaccount", "contract")
 
@@ -61,6 +68,14 @@ def to_mart_row(df: DataFrame, parity: bool = False) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
+def reads_row(df: DataFrame, parity: bool = False) -> DataFrame:
+    """``to_mart_row`` in the schema of the reads mart: 18 columns, a premise that the feed lacks being NULL."""
+    rows = to_mart_row(df, parity)
+    columns = (*READ_COLUMNS, "utilities_premise")
+    value = {c: F.col(c) if c in rows.columns else F.lit(None) for c in columns}
+    return rows.select(*[value[c].cast(READS_TYPES.get(c, "string")).alias(c) for c in columns])
+
+
 def combined_reads(customer_reads: DataFrame, account_reads: DataFrame) -> DataFrame:
     """Rows of both feeds; a column that one feed lacks is NULL there."""
     return customer_reads.unionByName(account_reads, allowMissingColumns=True)

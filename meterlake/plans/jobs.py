@@ -66,7 +66,7 @@ class Marts:
 
 
 def _mart_rows(df: DataFrame, feed: str, params: Params) -> DataFrame:
-    return marts.to_mart_row(df, params.parity).withColumn("feed", F.lit(feed))
+    return marts.reads_row(df, params.parity).withColumn("feed", F.lit(feed))
 
 
 def customer_reads(tables: Tables, params: Params, hourly: bool) -> DataFrame:

@@ -99,7 +99,7 @@ def test_leaks_combine_before_the_shuffle(spark, capsys):
     assert "GreaterThan(ts,2024-01-29T00:00)" in plan
 
 
-WRITERS = {"append_reads", "replace_slice", "replace_all", "overwrite_if_any", "export_csv"}
+WRITERS = {"append_reads", "mart_both_feeds", "replace_slice", "replace_all", "overwrite_if_any", "export_csv"}
 
 
 @pytest.mark.parametrize("name", sorted(set(registered.queries()) - WRITERS))
