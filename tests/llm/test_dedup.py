@@ -221,6 +221,36 @@ def test_passages_cover_equal_stretches():
     assert any(a <= 33 and 93 <= b and c <= 15 and 75 <= d for a, b, c, d, _ in found)
 
 
+def stretches_by_hand(words, size=50):
+    return {tuple(words[i : i + size]): i for i in range(len(words) - size + 1)}
+
+
+def test_stretches_beside_partial_quotes(spark):
+    """Documents that hold only a part of a passage stand among its holders; each stretch still has a first."""
+    rows = []
+    for n in range(12):
+        passage = prose(1000 + n, 58).split()
+        for holder in range(3):
+            rows.append((len(rows), " ".join([prose(2000 + len(rows), 40), *passage, prose(3000 + len(rows), 40)])))
+        for size in (28, 34, 40, 46):
+            for a in (0, 58 - size):
+                quote = " ".join(passage[a : a + size])
+                rows.append((len(rows), f"{prose(4000 + len(rows), 40)} {quote} {prose(5000 + len(rows), 40)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = {}
+    for i, text in rows:
+        for stretch, at in stretches_by_hand(text.split()).items():
+            held.setdefault(stretch, []).append((i, at))
+    found = {}
+    for r in substring_dedup.shared_passages(docs).collect():
+        found.setdefault(r.doc_id, []).append((r.start, r.stop))
+    shared = {s: places for s, places in held.items() if len(places) > 1}
+    assert len(shared) == 12 * 9
+    for places in shared.values():
+        listed = [any(a <= at and at + 50 <= b for a, b in found.get(i, [])) for i, at in places]
+        assert listed.count(False) <= 1
+
+
 @pytest.mark.parametrize(
     "operator",
     [
