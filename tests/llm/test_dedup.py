@@ -4,10 +4,12 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from meterlake.llm import exact_dedup, jaccard_join, line_dedup, substring_dedup
 from meterlake.llm.components import components
+from meterlake.llm.text import text_array
 from pyspark.sql import functions as F
 from tests.llm.fixtures import BLANKS, LOW, SCHEMA, blank_words, documents, prose, shingles, texts
 
@@ -251,6 +253,39 @@ def test_stretches_beside_partial_quotes(spark):
         assert listed.count(False) <= 1
 
 
+def edited(random, words):
+    """A copy with one edit in 50 words."""
+    out = list(words)
+    for at in random.choice(np.arange(1, len(words) - 1), len(words) // 50, replace=False):
+        out[at] = ["changed", "two words", ""][random.integers(3)]
+    return " ".join(out)
+
+
+def test_recall_of_similar_passages(spark):
+    """Planted passages of 50 to 100 words with edits, against the comparison of each pair."""
+    random, pairs = np.random.default_rng(11), {}
+
+    def some(n):
+        return [f"w{x}" for x in random.integers(0, 10**9, n)]
+
+    rows = []
+    for n in range(400):
+        passage = some(50 + n % 51)
+        copies = [" ".join([*some(60), t, *some(60)]) for t in (" ".join(passage), edited(random, passage))]
+        pairs[frozenset((2 * n, 2 * n + 1))] = copies
+        rows += [(2 * n, copies[0]), (2 * n + 1, copies[1])]
+
+    def hashes(text):
+        return substring_dedup._shingles(text_array(pa.array([text])))[0]
+
+    alike = {p for p, (a, b) in pairs.items() if substring_dedup.passages(hashes(a), hashes(b))}
+    assert len(alike) > 250
+    got = substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {frozenset((r.doc_id, r.first_doc_id)) for r in got}
+    assert found <= alike
+    assert len(found & alike) >= 0.99 * len(alike)
+
+
 @pytest.mark.parametrize(
     "operator",
     [
