@@ -36,8 +36,8 @@ END = np.uint64(0xE4D0E4D0E4D0E4D1)
 #: are sent to every task.
 HEAVY = 1 << 20
 WIDTH, NOISE, BATCH, RATE = 24, 64, 1024, 0.08
-#: One training document in so many is trained on, at any size; a task makes at least LEAST_STEPS steps.
-SHARE, LEAST_STEPS = 8, 300
+#: Steps that a task makes over its documents, at least: few texts are gone through several times.
+LEAST_STEPS = 300
 #: Contexts normalised at a time.
 ROWS = 8192
 
@@ -114,6 +114,12 @@ def start(unigram: np.ndarray) -> Model:
     )
 
 
+def _added_rows(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """The sums of the rows that go to the same place."""
+    flat = (at[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+    return np.bincount(flat, rows.ravel(), size * WIDTH).reshape(size, WIDTH).astype(np.float32)
+
+
 def train_copy(model: Model, unigram: np.ndarray, one, two, target, seed: int) -> Model:
     """Noise-contrastive estimation with Adagrad: each batch shares its noise words."""
     r, c, q, b = (x.copy() for x in model)
@@ -134,13 +140,11 @@ def train_copy(model: Model, unigram: np.ndarray, one, two, target, seed: int) -
             up = (1 / (1 + np.exp(np.minimum(true, 30)))).astype(np.float32) / len(w)
             down = (-1 / (1 + np.exp(-np.maximum(false, -30)))).astype(np.float32) / len(w)
             grad_p = up[:, None] * q[w] + down @ q[noise]
-            grad_q, grad_b, grad_r = np.zeros_like(q), np.zeros_like(b), np.zeros_like(r)
-            np.add.at(grad_q, w, up[:, None] * predicted)
-            np.add.at(grad_q, noise, down.T @ predicted)
-            np.add.at(grad_b, w, up)
-            np.add.at(grad_b, noise, down.sum(axis=0))
-            np.add.at(grad_r, x1, grad_p @ c[0].T)
-            np.add.at(grad_r, x2, grad_p @ c[1].T)
+            drawn = np.concatenate([w, noise])
+            grad_q = _added_rows(drawn, np.concatenate([up[:, None] * predicted, down.T @ predicted]), len(q))
+            grad_b = np.bincount(drawn, np.concatenate([up, down.sum(axis=0)]), len(b)).astype(np.float32)
+            both = np.concatenate([grad_p @ c[0].T, grad_p @ c[1].T])
+            grad_r = _added_rows(np.concatenate([x1, x2]), both, len(r))
             grad_c = np.stack([r1.T @ grad_p, r2.T @ grad_p])
             for x, g, total in zip((r, c, q, b), (grad_r, grad_c, grad_q, grad_b), sums, strict=True):
                 g = g * NOISE**0.5
@@ -338,8 +342,7 @@ def score(docs: DataFrame) -> DataFrame:
     )
     found, train_tokens, unigram = _counts(known)
     counts = spark.sparkContext.broadcast(found)
-    portion = training.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SHARE)) == 0).select("text")
-    model = spark.sparkContext.broadcast(trained(portion, counts, unigram))
+    model = spark.sparkContext.broadcast(trained(training.select("text"), counts, unigram))
     parts = rows.mapInArrow(
         _scored(counts, model),
         "row long, hash long, n long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, "

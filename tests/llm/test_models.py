@@ -46,6 +46,18 @@ def test_words_beyond_the_heavy_are_joined(spark, monkeypatch):
         assert r.n_known == same.n_known
 
 
+def test_all_training_documents_reach_the_model(spark, monkeypatch):
+    seen, trained = [], lm_scoring.trained
+
+    def watched(rows, counts, unigram):
+        seen.extend(r.text for r in rows.select("text").collect())
+        return trained(rows, counts, unigram)
+
+    monkeypatch.setattr(lm_scoring, "trained", watched)
+    lm_scoring.score(documents(spark)).collect()
+    assert sorted(seen, key=str) == sorted((t for i, t in texts() if fold(i) != 1), key=str)
+
+
 def test_probabilities_are_normalised():
     random = np.random.default_rng(0)
     model = lm_scoring.start(np.full(lm_scoring.CLASSES, 1 / lm_scoring.CLASSES))
