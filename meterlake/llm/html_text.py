@@ -43,6 +43,11 @@ HINTS = set(
     "toolbar topbar search pagination pager skip hidden sr visually announcement alert copyright".split()
 )
 MAIN = {"article", "main"}
+#: Blocks that are a part of the text around them rather than a container of their own.
+PARTS = set("p li h1 h2 h3 h4 h5 h6 html body ul ol dl dt dd table tbody thead tfoot tr caption blockquote pre section "
+            "figure figcaption details summary hgroup address".split())
+#: An element with a hint among other words in its name is noise if its text is shorter or mostly links.
+SHORT = 200
 #: Start tags that end an open element of the same kind.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}}
 CLOSES |= {"th": CLOSES["td"], "option": {"option"}}
@@ -53,7 +58,9 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 
-def _is_noise(tag: str, attributes: str, inside_main: bool) -> bool:
+def _is_noise(tag: str, attributes: str, inside_main: bool) -> bool | None:
+    """Whether an element is noise; None if its text decides, as only a part of its name is a hint."""
+    maybe = False
     if tag in DROPPED or tag == "header" and not inside_main:
         return True
     if not attributes.strip() or tag in ("html", "body"):
@@ -63,20 +70,24 @@ def _is_noise(tag: str, attributes: str, inside_main: bool) -> bool:
         if name in ("class", "id"):
             parts = set(re.split(r"[^a-z]+", value))
             if parts & HINTS and not (tag in MAIN and not parts & {"comment", "comments", "ad", "ads"}):
-                return True
+                if parts - {""} <= HINTS:
+                    return True
+                maybe = True
         elif name == "role" and value in ROLES or name == "hidden":
             return True
         elif name == "aria-hidden" and value == "true":
             return True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-    return False
+    return None if maybe else False
 
 
 def lines(page: str) -> list[tuple[str, int, object]]:
     """(text, length that counts, container) of the page's lines; noise leaves empty lines."""
     out: list[tuple[str, int, object]] = []
+    links: list[int] = []  # characters inside links, by line
     stack: list[tuple[str, bool, object]] = []  # tag, noise, container
+    open_maybe: dict[int, tuple[int, int]] = {}  # depth: lines and pieces before the element
     pieces: list[str] = []
     linked = 0
     at, serial = 0, 0
@@ -85,7 +96,7 @@ def lines(page: str) -> list[tuple[str, int, object]]:
         return bool(stack) and stack[-1][1]
 
     def container():
-        return stack[-1][2] if stack else None
+        return stack[-1][2] if stack else ()
 
     def end_line() -> None:
         nonlocal linked
@@ -94,6 +105,7 @@ def lines(page: str) -> list[tuple[str, int, object]]:
             # An article's lines count in full; elsewhere lists of links are menus.
             is_main = isinstance(container(), str)
             out.append((text, len(text) if is_main or linked <= LINK_SHARE * len(text) else 0, container()))
+            links.append(linked)
         pieces.clear()
         linked = 0
 
@@ -105,10 +117,29 @@ def lines(page: str) -> list[tuple[str, int, object]]:
             if any(t == "a" for t, _, _ in stack):
                 linked += len(text.strip())
 
+    def weigh(depth: int) -> None:
+        """Take out an element that its text proves to be noise."""
+        nonlocal linked
+        before, some = open_maybe.pop(depth)
+        if len(out) == before:
+            text = " ".join("".join(pieces[some:]).split())
+            if len(text) < SHORT or linked > LINK_SHARE * len(text):
+                linked = max(linked - sum(len(x.strip()) for x in pieces[some:]), 0)
+                del pieces[some:]
+            return
+        size = sum(len(text) for text, _, _ in out[before:])
+        holds_main = any(isinstance(c, str) for _, _, c in out[before:]) and not isinstance(container(), str)
+        if not holds_main and (size < SHORT or sum(links[before:]) > LINK_SHARE * size):
+            out[before:], links[before:] = [("", 0, None)] * WINDOW, [0] * WINDOW
+
     def close(i: int) -> None:
-        if any(t in BLOCKS for t, _, _ in stack[i:]) and not noise():
-            end_line()
-        del stack[i:]
+        # From the innermost element, so that each one's line ends before its text is weighed.
+        while len(stack) > i:
+            if stack[-1][0] in BLOCKS and not noise():
+                end_line()
+            if len(stack) - 1 in open_maybe:
+                weigh(len(stack) - 1)
+            stack.pop()
 
     while at < len(page):
         token = _TOKEN.search(page, at)
@@ -140,26 +171,31 @@ def lines(page: str) -> list[tuple[str, int, object]]:
             if stack[i][0] in BLOCKS:
                 break
         inside = isinstance(container(), str)
-        new_noise = noise() or _is_noise(tag, token[3], inside)
+        judged = _is_noise(tag, token[3], inside)
+        new_noise = noise() or bool(judged)
         if tag in BLOCKS and not noise():
             end_line()
         if new_noise and not noise():
             if tag in BLOCKS or tag in DROPPED:
                 end_line()
                 out.extend([("", 0, None)] * WINDOW)
+                links.extend([0] * WINDOW)
         serial += 1
         where = container()
         if tag in MAIN and not inside:
             where = f"{tag} {serial}"
-        elif not inside and tag in BLOCKS and tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6"):
-            where = serial
+        elif not inside and tag in BLOCKS and tag not in PARTS:
+            where = (*where, serial)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
+        if judged is None and not new_noise:
+            open_maybe[len(stack)] = len(out), len(pieces)
         stack.append((tag, new_noise, where))
     if not noise():
         end_line()
+    close(0)
     return out
 
 
@@ -183,10 +219,18 @@ def main_text(page: str | None) -> str:
     for _, length, container in rows[low:high]:
         weight[container] += length
     home = max(weight, key=weight.get)
+    # Out of a nested container into one that has text of its own, but not into the whole page.
+    own = {c for _, length, c in rows if length and not isinstance(c, str)}
+    while not isinstance(home, str) and len(home) > 1 and home[:-1] in own:
+        home = home[:-1]
+
+    def at_home(c) -> bool:
+        return c == home or bool(home) and isinstance(home, tuple) and isinstance(c, tuple) and c[: len(home)] == home
+
     kept = []
     for a, b in regions:
         for text, length, container in rows[a:b]:
-            same = container == home or (low <= a < high and not isinstance(home, str))
+            same = at_home(container) or (low <= a < high and not isinstance(home, str))
             if length and same:
                 kept.append(text)
     return "\n".join(kept)

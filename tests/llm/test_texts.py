@@ -178,3 +178,24 @@ def test_bit_filter(spark):
     assert len(bits) == (1 << 20) // 8
     probe = np.array([5 << 45, -3, 2**62, 1 << 61], np.int64).view(np.uint64)
     assert has(bits, probe).tolist() == [True, True, True, False]
+
+
+@pytest.mark.parametrize("opening", ["<div class='content has-sidebar'>", "<div class='layout no-sidebar'>", "<div id=page-with-nav>"])
+def test_a_part_of_a_name_does_not_hide_an_article(opening):
+    sentence = "A sentence of the article that says quite a lot. " * 5
+    page = f"<html><body>{opening}<p>{sentence}</p><p>{sentence}</p></div></body></html>"
+    assert main_text(page) == "\n".join([sentence.strip()] * 2)
+
+
+@pytest.mark.parametrize(
+    "block",
+    ["<ul><li>{}</li></ul>", "<ol><li>{}</li></ol>", "<blockquote>{}</blockquote>", "<section><p>{}</p></section>",
+     "<table><tr><td>{}</td></tr></table>", "<div><p>{}</p></div>"],
+)
+def test_blocks_after_an_advert_belong_to_the_article(block):
+    sentence = "A sentence of the article that says quite a lot. " * 5
+    page = (
+        f"<body><div class=content><p>{sentence}</p><p>{sentence}</p><div class=ad-slot>Buy now</div>"
+        f"{block.format('after the advert')}</div><div class=site-sidebar><a href=x>more links</a></div></body>"
+    )
+    assert main_text(page) == "\n".join([*[sentence.strip()] * 2, "after the advert"])
