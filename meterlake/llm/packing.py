@@ -70,7 +70,9 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> DataF
         "lengths",
     )
     histogram = (
-        rows.groupBy(on_grid(F.col("n_tokens")).alias("length")).agg(F.count(F.lit(1)).alias("n")).orderBy("length")
+        rows.groupBy(on_grid(F.col("n_tokens")))
+        .agg(F.max("n_tokens").alias("length"), F.count(F.lit(1)).alias("n"))
+        .orderBy("length")
     ).collect()  # as many rows as the grid has points: EXACT, and STEPS for each doubling
     lengths = np.array([r.length for r in histogram], np.int64)
     counts = np.array([r.n for r in histogram], np.int64)

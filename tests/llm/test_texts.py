@@ -98,6 +98,13 @@ def test_pack_numbers_over_shards(spark, monkeypatch):
         assert set(numbers) == set(range(max(numbers) + 1))
 
 
+def test_long_buckets_end_at_a_document(spark):
+    lengths = [1025, 1030, 1500, 2051, 2060, 3007, 5003, 9001]
+    got = packing.pack(documents(spark, [(i, "w " * n) for i, n in enumerate(lengths)]), buckets=3).collect()
+    for r in got:
+        assert r.padded_length == max(x.n_tokens for x in got if x.bucket == r.bucket)
+
+
 def test_grid_has_few_points(spark):
     lengths = spark.range(0, 300_000, 7).selectExpr("id AS n")
     grid = [r[0] for r in lengths.select(packing.on_grid(lengths.n).alias("g")).distinct().collect()]
