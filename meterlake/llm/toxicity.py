@@ -283,8 +283,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | float:
     by_hash = F.xxhash64("doc_id")
     chosen = usable.where("toxic = 1").orderBy(by_hash, "doc_id").limit(TOXIC_ROWS)
     chosen = chosen.union(usable.where("toxic = 0").orderBy(by_hash, "doc_id").limit(CLEAN_ROWS))
+    # An id can have many rows: equal ones count once, and the bounds hold for rows as well.
+    keyed = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.col("text").cast("string")).alias("hash")
+    )
+    distinct = keyed.select("doc_id", "hash").join(F.broadcast(chosen), "doc_id").distinct()
+    some = distinct.where("toxic = 1").orderBy(by_hash, "doc_id", "hash").limit(TOXIC_ROWS)
+    some = some.union(distinct.where("toxic = 0").orderBy(by_hash, "doc_id", "hash").limit(CLEAN_ROWS))
     texts = (
-        docs.join(F.broadcast(chosen), "doc_id")  # TOXIC_ROWS + CLEAN_ROWS ids at most
+        keyed.join(F.broadcast(some), ["doc_id", "hash"])  # TOXIC_ROWS + CLEAN_ROWS rows at most
+        .dropDuplicates(["doc_id", "hash"])
         .withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int"))
         .select("text", "toxic", "half")
     )

@@ -160,6 +160,23 @@ def test_toxicity_hard_cases(spark):
     assert got[901] > 0.5 > got[902]
 
 
+def test_repeated_rows_keep_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TOXIC_ROWS", 30)
+    monkeypatch.setattr(toxicity, "CLEAN_ROWS", 40)
+    fitted, grow = [], toxicity.grow
+
+    def watched(x, y, weight):
+        fitted.append((len(y), y.sum()))
+        return grow(x, y, weight)
+
+    monkeypatch.setattr(toxicity, "grow", watched)
+    rows = [(i, f"you are a b4dword fool {prose(i, 20)}" if i % 2 else prose(i, 25)) for i in range(300, 400)]
+    rows += [rows[1]] * 150 + [(304, prose(n, 25)) for n in range(500, 650)]
+    labels = labelled(spark, [(i, 1, i % 2, None) for i in range(300, 400)])
+    toxicity.train(documents(spark, rows), labels)
+    assert fitted[0] == (70, 30)
+
+
 def test_features_undo_obfuscation():
     part = text_array(pa.array(["an id1ot here", "", "an idiot here"]))
     plain, between, _ = toxicity._unmasked(part)
