@@ -81,6 +81,44 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+OP11 = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+    FROM (SELECT lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)
+), grams AS (
+    SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase
+    FROM (SELECT lang, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i
+          FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE len(w) >= size)
+), totals AS (SELECT lang, count(*) AS n FROM grams WHERE size = 1 GROUP BY lang),
+counted AS (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE size > 1),
+cuts AS (
+    SELECT c.lang, c.size, c.phrase, c.a, t.n, k, x.a AS l, y.a AS r,
+        CAST((CAST(1000 AS HUGEINT) * c.a * t.n) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+    FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM candidates) c
+    JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : k], ' ')
+    JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 :], ' ')
+    JOIN totals t ON t.lang = c.lang
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_phrases AS (
+    SELECT DISTINCT lang, a, array_to_string(w[i : i + part - 1], ' ') AS phrase
+    FROM (SELECT lang, a, w, part, unnest(generate_series(1, size - part + 1)) AS i
+          FROM candidates, (SELECT unnest([2, 3, 4]) AS part) WHERE part < size)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM best b WHERE NOT EXISTS (
+        SELECT 1 FROM inner_phrases i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.a >= 100 * b.a)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": OP4, "op7_line_dedup": OP7, "op8_exact_dedup": OP8, "op9_decontamination": OP9}
+    return {
+        "op4_jaccard_join": OP4,
+        "op7_line_dedup": OP7,
+        "op8_exact_dedup": OP8,
+        "op9_decontamination": OP9,
+        "op11_phrase_mining": OP11,
+    }

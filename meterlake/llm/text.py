@@ -25,6 +25,8 @@ BLANK = _table([0x20, *range(0x09, 0x0E)])
 SYMBOL = _table([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Instead of LOWER, for words as they are written.
+SAME = np.arange(256, dtype=np.uint8)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: The number that undoes BASE, modulo 2**64.
 UNBASE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -74,12 +76,12 @@ def chunks(texts: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, pa.Array]]
         first = last
 
 
-def words(texts: pa.Array, separator: np.ndarray) -> Words:
-    """The words of ``texts`` (from ``text_array``), A-Z in lower case."""
+def words(texts: pa.Array, separator: np.ndarray, fold: np.ndarray = LOWER) -> Words:
+    """The words of ``texts`` (from ``text_array``), A-Z in lower case or as ``fold`` maps the bytes."""
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     first, last = int(offsets[0]), int(offsets[-1])
     body = texts.buffers()[2]
-    data = LOWER[np.frombuffer(body, np.uint8)[first:last]] if last > first else np.zeros(0, np.uint8)
+    data = fold[np.frombuffer(body, np.uint8)[first:last]] if last > first else np.zeros(0, np.uint8)
     edges = offsets - first
     inside = ~separator[data]
     if not inside.any():
@@ -138,3 +140,33 @@ def minima(hashes: np.ndarray, bounds: np.ndarray, size: int, window: int) -> tu
     most = sliding(np.concatenate([edge, least, edge]), window, np.maximum)
     at = np.flatnonzero(most == grams)
     return at, grams[at]
+
+
+def pieces_of(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of the slices of ``data`` that begin at ``starts``, one after the other."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    at = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], lengths)
+    return data[at], offsets
+
+
+def strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Texts of UTF-8 ``data`` between neighbouring ``offsets``."""
+    array = pa.Array.from_buffers(
+        pa.large_string(),
+        len(offsets) - 1,
+        [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))],
+    )
+    return array.cast(pa.string()) if len(data) < 1 << 31 else array
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes or more."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    rest = pa.Table.from_batches(held).combine_chunks().to_batches() if held else []
+    yield from rest
