@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, lm_scoring, packing, periodic_runs, phrases, quality, substring_dedup, toxicity
+from meterlake.llm import decontaminate, exact_dedup, html_text, jaccard_join, line_dedup, lm_scoring, packing, periodic_runs, phrases, quality, substring_dedup, toxicity, url_rules
 from meterlake.llm.shared import table
 
 
@@ -69,6 +69,23 @@ def op11_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents"))
 
 
+#: The rules of the contract.
+URL_RULES = [
+    url_rules.Rule("allow", "org/"),
+    url_rules.Rule("block", "example.org/es/"),
+    url_rules.Rule("block", "example.org/en/1"),
+    url_rules.Rule("allow", "com/fr/"),
+    url_rules.Rule("block", "com/de/"),
+]
+
+
+def op12_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """A page with an id of ``labels`` and quality 0 is labelled as blocked, with quality 1 as not blocked."""
+    marks = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("blocked"))
+    judged = url_rules.filter_urls(table(spark, folder, "pages").select("page_id", "url"), marks, URL_RULES)
+    return judged.select("rest.page_id", "host", "path", "rule", "verdict", "confidence")
+
+
 def _with_repeated_tails(docs: DataFrame) -> DataFrame:
     """``docs`` where one text in ten, by the checksum of its id, repeats a stretch of its words up to its end."""
     checked = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
@@ -114,6 +131,7 @@ def queries() -> dict:
         op9_decontamination,
         op10_toxicity,
         op11_phrase_mining,
+        op12_url_rules,
         op13_periodic_runs,
     )
     return {f.__name__: f for f in found}
