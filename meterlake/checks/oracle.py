@@ -328,6 +328,11 @@ _NEXT_READ = """
            CAST(min(CAST(o_orderdate AS DATE)) AS TIMESTAMP) AS next_read_date
     FROM orders WHERE o_orderdate >= DATE '2001-01-01' GROUP BY o_custkey"""
 
+_WHOLE_HOURLY = VIEWS["hourly_tmp"].replace("2024-01-18", "2024-01-13")
+_RELOAD_LAST = _DAILY_LAST.replace("2023-11-19", "2024-01-05")
+# Backfills, as they are published.
+_BACKFILL = "headend_meter_id, reading_datetime, register, consumption"
+
 _MART_IDS = "* REPLACE (CAST(installation AS VARCHAR) AS installation, " \
     "CAST(contractaccount AS VARCHAR) AS contractaccount, CAST(contract AS VARCHAR) AS contract)"
 
@@ -389,6 +394,72 @@ def oracle_sql() -> dict[str, str]:
                 CAST(CAST(o_orderdate AS DATE) + 90 AS TIMESTAMP) AS valid_to
             FROM orders
             WHERE DATE '1998-06-30' BETWEEN CAST(o_orderdate AS DATE) AND CAST(o_orderdate AS DATE) + 90""",
+        "validity_overlaps": """
+            WITH orders_valid AS (
+                SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + 90 AS b
+                FROM orders)
+            SELECT o_custkey, o_orderkey, CAST(a AS TIMESTAMP) AS valid_from, CAST(b AS TIMESTAMP) AS valid_to
+            FROM orders_valid x WHERE EXISTS (
+                SELECT 1 FROM orders_valid y WHERE y.o_custkey = x.o_custkey AND y.o_orderkey <> x.o_orderkey
+                AND y.a <= x.b AND x.a <= y.b)""",
+        "reload_daily": _with(
+            (*readings, *_MASTER),
+            f"""SELECT equipmentnumber, register, CAST(contractaccount AS VARCHAR) AS contractaccount,
+            count(*) AS days, count(consumption) AS deltas,
+            CAST(sum(CAST(consumption AS DECIMAL(18,2))) AS DOUBLE) AS usage FROM ({_DAILY}) GROUP BY ALL""",
+            last_row=_RELOAD_LAST,
+            daily_tmp=_DAY_DELTA,
+        ),
+        "incremental_equals_whole": _with(
+            (*readings, *_MASTER),
+            f"""SELECT {_MART_IDS} FROM (
+                SELECT *, NULL AS utilities_premise, 'customer' AS feed FROM ({_HOURLY})
+                UNION ALL BY NAME SELECT *, 'account' AS feed FROM ({_HOURLY_ACCOUNT}))""",
+            hourly_tmp=_WHOLE_HOURLY,
+        ),
+        "run_all_steps": _with(
+            (*readings, *_MASTER, "hourly_tmp", "backfill_tmp"),
+            f"""SELECT 'check' AS run_id, step, n AS rows, TIMESTAMP '2024-01-20 12:00:00' AS finished_at FROM (
+                SELECT 'hourly' AS step, count(*) AS n FROM ({_HOURLY})
+                UNION ALL SELECT 'daily', count(*) FROM ({_DAILY})
+                UNION ALL SELECT 'hourly_account', count(*) FROM ({_HOURLY_ACCOUNT})
+                UNION ALL SELECT 'daily_account', count(*) FROM ({_DAILY_ACCOUNT})
+                UNION ALL SELECT 'next_read', count(*) FROM segments
+                UNION ALL SELECT 'projection', count(*) FROM used
+                UNION ALL SELECT 'high_usage', count(*) FROM used WHERE register = '001' AND total > 1
+                UNION ALL SELECT 'leaks', count(*) FROM steady
+                UNION ALL SELECT 'audit', (SELECT count(*) FROM used WHERE register = '001' AND total > 1)
+                    + (SELECT count(*) FROM steady)
+                UNION ALL SELECT 'backfill', (SELECT count(*) FROM (
+                        {_reads("BACKFILL", "backfill_tmp", _BY_LOCATION, _LOCATION)} WHERE {in_districts}))
+                    + (SELECT count(*) FROM ({_DAILY.replace("daily_tmp", "backfill_days")} WHERE {in_districts})))""",
+            **_DAILY_STEPS,
+            backfill_last=_LAST.format(where="WHERE reading_datetime > TIMESTAMP '2024-01-10'"),
+            backfill_days=_DAY_DELTA.replace("last_row", "backfill_last"),
+            segments="""SELECT DISTINCT c_mktsegment FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+                JOIN customer ON o_custkey = c_custkey
+                WHERE CAST(l_shipdate AS DATE) + 365 * 24 >= DATE '2024-01-20'""",
+            used=f"""SELECT equipmentnumber, register, sum(CAST(consumption AS DECIMAL(18,2))) AS total
+                FROM (SELECT * FROM ({_DAILY}) UNION ALL BY NAME SELECT * FROM ({_DAILY_ACCOUNT}))
+                JOIN customer ON ltrim(equipmentnumber, '0') = CAST(c_custkey AS VARCHAR)
+                JOIN segments USING (c_mktsegment)
+                WHERE c_nationkey % 5 <> 0 AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
+                AND reading_datetime > TIMESTAMP '2024-01-10' - to_days(CAST(c_custkey % 200 AS INTEGER))
+                GROUP BY ALL""",
+            steady=f"""SELECT businesspartnernumber, contractaccount
+                FROM (SELECT * FROM ({_HOURLY}) UNION ALL BY NAME SELECT * FROM ({_HOURLY_ACCOUNT}))
+                WHERE reading_datetime > TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 40 HOUR
+                GROUP BY ALL HAVING min(consumption) > -1""",
+        ),
+        "rejected_rows": """
+            WITH raw AS (
+                SELECT event_id, concat_ws('; ',
+                    CASE WHEN event_id % 83 = 0 THEN 'meter_id: missing' END,
+                    CASE WHEN event_id % 97 = 0 THEN 'reading_value: n/a' END,
+                    CASE WHEN event_id % 89 = 0 THEN 'reading_datetime: soon' END) AS reason
+                FROM events)
+            SELECT 'customer_readings' AS "table", reason, CAST(event_id AS VARCHAR) AS event FROM raw WHERE reason <> ''
+            UNION ALL SELECT 'customer_readings', 'fits', CAST(count(*) AS VARCHAR) FROM raw WHERE reason = ''""",
         "leading_zero_join": _with(
             ("t_register", "t_device"),
             """SELECT equipmentnumber, register, o_orderkey FROM t_device
@@ -455,6 +526,10 @@ def oracle_sql() -> dict[str, str]:
             one_meters=_ONE_METERS,
             stats=_stats("one_meters", False, _ALL_TIME, None),
         ),
+        "billing_stats_digits": f"""
+            SELECT CAST(o_custkey AS VARCHAR) AS meter_id, count(*) AS _n,
+                {_round("stddev_pop(o_orderkey % 7)")} AS std_dev_millionths
+            FROM orders WHERE o_orderdate > {_ALL_TIME} GROUP BY o_custkey""",
         "usage_since_bill": _with(
             _BILLING,
             f"""SELECT b.meter_id, b.bp AS business_partner_number, b.ccn AS connection_contract_number,
@@ -507,6 +582,12 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_high_usage("one_meters")})""",
             **_HIGH_STEPS,
         ),
+        "alerts_rerun": f"""
+            SELECT 'leak-alert' AS event_type, 'https://alerts.example.org/api/leak-alert' AS target,
+                {_payload("businesspartnernumber", "contractaccount").replace("2024-01-31T06:30:15Z", "2024-01-30T00:00:00Z")}
+                    AS payload,
+                businesspartnernumber, contractaccount, TIMESTAMP '2024-01-30' AS run_date
+            FROM ({_LEAKS})""",
         "append_reads": _with(
             hourly,
             f"""SELECT {_MART_IDS}, 'customer' AS feed
@@ -526,6 +607,16 @@ def oracle_sql() -> dict[str, str]:
         ),
         "replace_all": _NEXT_READ,
         "overwrite_if_any": _NEXT_READ,
+        "publish_versions": _with(
+            (*readings, *_MASTER, "backfill_tmp"),
+            f"""SELECT 'hourly' AS mart, {_BACKFILL}
+                FROM ({_reads("BACKFILL", "backfill_tmp", _BY_LOCATION, _LOCATION)} WHERE {in_districts})
+            UNION ALL SELECT 'daily', {_BACKFILL} FROM ({_DAILY} WHERE {in_districts})
+            UNION ALL SELECT 'next_read', meter_reading_unit, next_read_date, NULL, NULL FROM ({_NEXT_READ})""",
+            last_row=_LAST.format(where="WHERE reading_datetime > TIMESTAMP '2024-01-10'"),
+            daily_tmp=_DAY_DELTA,
+        ),
         "export_csv": _with(readings, f"SELECT {_PLAIN_READING} FROM t_readings"),
     }
+    out["audit_duplicates"] = out["audit_records"]
     return out

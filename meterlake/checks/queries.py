@@ -12,7 +12,7 @@ from pyspark.sql.types import DateType, DecimalType
 
 from meterlake import Params, sinks
 from meterlake.checks.views import Views
-from meterlake.functions import ltrim0, round2
+from meterlake.functions import deviation_of_moments, ltrim0, merged_moments, round2
 from meterlake.operators import alerts, billing, horizon, intervals, leaks, marts, schedule
 from meterlake.operators import usage as use
 from meterlake.operators import validity
@@ -214,6 +214,117 @@ def presorted_reads(v: Views) -> DataFrame:
     return marts.presort(hourly_enriched(v), "headend_meter_id", TS, "register")
 
 
+def validity_overlaps(v: Views) -> DataFrame:
+    """Orders of a customer whose 90 days share a day with those of another of the customer's orders."""
+    orders = v.table("orders").select(
+        "o_custkey",
+        "o_orderkey",
+        F.col("o_orderdate").cast("date").alias("valid_from"),
+        F.date_add("o_orderdate", 90).alias("valid_to"),
+    )
+    return validity.overlapping(orders, ["o_custkey"], "valid_from", "valid_to")
+
+
+# Loading again
+
+
+def _tables(v: Views, **frames: DataFrame) -> Tables:
+    """The views as source tables."""
+    given = {
+        "customer_readings": v.readings(),
+        "account_readings": v.account_readings(),
+        "locations": v.location(),
+        "installed_devices": v.device(),
+        "contracts": v.contract(),
+        "premises": v.premise(),
+    }
+    return Tables(v.spark, frames=given | frames)
+
+
+def reload_daily(v: Views) -> DataFrame:
+    """Usage after two daily runs whose windows overlap, the second one twice."""
+    out = jobs.Marts(scratch(v.spark, "reload"))
+    for day in (15, 20, 20):
+        jobs.run(["daily"], _tables(v), out, Params(as_of=dt.date(2024, 1, day), days_minus_daily=-10))
+    keys = ("equipmentnumber", "register", "contractaccount")
+    return sinks.read(v.spark, out.reads).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("days"), F.count("consumption").alias("deltas"), F.sum("consumption").alias("usage")
+    )
+
+
+def incremental_equals_whole(v: Views) -> DataFrame:
+    """The mart after two hourly runs, each over its own days, of both feeds."""
+    out = jobs.Marts(scratch(v.spark, "incremental"))
+    for day, back in ((16, -3), (20, -3)):
+        params = Params(as_of=dt.date(2024, 1, day), days_minus_hourly=back)
+        jobs.run(["hourly", "hourly_account"], _tables(v), out, params)
+    return sinks.read(v.spark, out.reads).drop(sinks.DATE)
+
+
+RUN = Params(
+    as_of=READS_DAY,
+    as_of_ts=dt.datetime(2024, 1, 20, 12),
+    min_usage=1,
+    leak_hours=40,
+    leak_min=-1,
+    districts=DISTRICTS,
+    slot_begin=BACKFILL_START,
+    high_usage_endpoint=USAGE_URL,
+    leak_endpoint=LEAK_URL,
+)
+
+
+def run_all_steps(v: Views) -> DataFrame:
+    """The run table of a whole job from stored source tables, which is started three times under one id."""
+    root = scratch(v.spark, "source")
+    time = F.expr("timestamp_ntz'2024-01-10' - make_dt_interval(cast(meter_id as int) % 200)")
+    later = F.date_add("scheduledmeterreadingdate", 365 * 24)
+    contracts = v.contract()
+    frames = {
+        "customer_readings": v.readings(),
+        "account_readings": v.account_readings(),
+        "locations": v.location(),
+        "installed_devices": v.device(),
+        # The backfills read some columns under other names.
+        "contracts": contracts.withColumns({k: F.col(c) for k, c in reads.BACKFILL_CONTRACT.items()}),
+        "premises": v.premise(),
+        "schedules": v.segment_schedule().withColumn("scheduledmeterreadingdate", later),
+        "billing_reads": v.bills().withColumns({"meter_reading_time": time, "consumption_gl": F.lit(1.0)}),
+        "billing_meters": v.meters(),
+        "endpoint_types": v.endpoint_types(),
+        "connection_contracts": v.connection_contracts(),
+    }
+    for name, df in frames.items():
+        df.write.parquet(f"{root}/raw/{name}_v1")
+    tables = Tables(v.spark, root, schemas={"": "raw"}, names={name: f"{name}_v1" for name in frames})
+    out = jobs.Marts(f"{root}/marts")
+    for steps in (jobs.STEPS[:3], jobs.STEPS, jobs.STEPS):
+        jobs.run(steps, tables, out, RUN, run_id="check")
+    return sinks.read(v.spark, out.runs).select("run_id", "step", "rows", "finished_at")
+
+
+def rejected_rows(v: Views) -> DataFrame:
+    """Events as texts, some of which are no number, no time or have no meter."""
+    number = F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
+    time = F.when(F.col("event_id") % 89 == 0, F.lit("soon")).otherwise(F.col("ts").cast("string"))
+    meter = F.when(F.col("event_id") % 83 != 0, F.col("user_id").cast("string"))
+    raw = v.table("events").select(
+        "event_id",
+        meter.alias("meter_id"),
+        *[F.lit("x").alias(c) for c in ("transponder_id", "transponder_port", "unit_of_measure", "timezone", "battery_voltage")],
+        F.col("user_id").alias("customer_id"),
+        number.alias("reading_value"),
+        time.alias("reading_datetime"),
+        F.col("ts").alias("ingest_watermark"),
+    )
+    tables = Tables(v.spark, frames={"customer_readings": raw}, checked=True)
+    fits = tables.load("customer_readings").agg(
+        F.lit("customer_readings").alias("table"), F.lit("fits").alias("reason"), F.count(F.lit(1)).cast("string").alias("event")
+    )
+    out = tables.rejected("customer_readings")
+    return out.select("table", "reason", F.get_json_object("row", "$.event_id").alias("event")).unionByName(fits)
+
+
 # Billing, usage, alerts
 
 
@@ -232,6 +343,23 @@ def billing_stats(v: Views) -> DataFrame:
     return stats.withColumn("per_day_consumption", round2(F.col("per_day_consumption")))
 
 
+def billing_stats_digits(v: Views) -> DataFrame:
+    """Deviations of bills that differ by millionths only, in millionths."""
+    near = F.lit("33.3333").cast("decimal(28,10)") + (F.col("number") % 7).cast("decimal(10,0)") / 1_000_000
+    orders = v.table("orders").select(
+        F.col("o_custkey").cast("string").alias("meter_id"),
+        F.lit("01").alias("meter_reading_reason"),
+        F.lit("U").alias("meter_reading_unit"),
+        F.col("o_orderdate").alias("meter_reading_time"),
+        F.col("o_orderkey").alias("number"),
+    )
+    totals = billing.bill_totals(
+        orders.withColumn("consumption_gl", near.cast("decimal(28,10)")), ["meter_id"], BILLS.as_of_ts, BILLS.months
+    )
+    found = totals.groupBy("meter_id").agg(*merged_moments())
+    return found.select("meter_id", "_n", round2(deviation_of_moments() * 1_000_000).alias("std_dev_millionths"))
+
+
 def usage_since_bill(v: Views) -> DataFrame:
     recent = use.reads_after_bill(use.daily_usage(v.usage()), last_bill(v))
     return use.usage_since(recent, billing.ACCOUNT)
@@ -294,15 +422,46 @@ def alert_payload(v: Views) -> DataFrame:
     )
 
 
-def audit_records(v: Views) -> DataFrame:
-    outbox = alerts.alert_outbox(high_usage(v), USAGE_URL, EVENT_TIME)
-    replies = outbox.select(
+def _replies(outbox: DataFrame) -> DataFrame:
+    return outbox.select(
         *alerts.OUTBOX_KEY,
         F.lit("{}").alias("event_result"),
         F.lit("HTTP/1.1 200 OK").alias("event_result_info1"),
         F.lit("OK").alias("event_extra_info1"),
     )
-    return alerts.audit_records(outbox, EVENT_TIME, "check", replies)
+
+
+def audit_records(v: Views) -> DataFrame:
+    outbox = alerts.alert_outbox(high_usage(v), USAGE_URL, EVENT_TIME)
+    return alerts.audit_records(outbox, EVENT_TIME, "check", _replies(outbox))
+
+
+def alerts_rerun(v: Views) -> DataFrame:
+    """The outbox after three leak runs of one day."""
+    out = jobs.Marts(scratch(v.spark, "alerts"))
+    rows = v.event_reads().withColumns(
+        {"feed": F.lit("customer"), "headend_meter_id": F.col("businesspartnernumber"), "register": F.lit("001")}
+    )
+    sinks.append(rows, out.reads)
+    params = Params(as_of=LEAK_TIME.date(), leak_endpoint=LEAK_URL)
+    for _ in range(3):
+        jobs.run(["leaks"], Tables(v.spark), out, params)
+    return sinks.read(v.spark, out.outbox).select(
+        "event_type", "target", "payload", "businesspartnernumber", "contractaccount", "run_date"
+    )
+
+
+def audit_duplicates(v: Views) -> DataFrame:
+    """Each message twice in the outbox and twice answered, two audit runs: one row for each alert."""
+    out = jobs.Marts(scratch(v.spark, "audit"))
+    messages = alerts.alert_outbox(high_usage(v), USAGE_URL, EVENT_TIME)
+    sinks.append(messages.unionByName(messages), out.outbox)
+    replies = _replies(sinks.read(v.spark, out.outbox))
+    late = replies.withColumn("event_result", F.lit(None).cast("string"))
+    params = Params(as_of=EVENT_TIME.date(), as_of_ts=EVENT_TIME, job_id="check")
+    for _ in range(2):
+        jobs.run_audit(Tables(v.spark), out, params, replies.unionByName(late))
+    return sinks.read(v.spark, out.audit).drop(alerts.MESSAGE, "run_date")
 
 
 # Writing and reading back
@@ -313,7 +472,7 @@ def _mart(df: DataFrame) -> DataFrame:
 
 
 def _back(v: Views, target: sinks.Target) -> DataFrame:
-    return v.spark.read.parquet(target.path)
+    return sinks.read(v.spark, target).drop(sinks.DATE)
 
 
 def append_reads(v: Views) -> DataFrame:
@@ -348,7 +507,7 @@ def replace_slice(v: Views) -> DataFrame:
 
 
 def replace_all(v: Views) -> DataFrame:
-    target = sinks.Target(scratch(v.spark, "all"))
+    target = sinks.Target.published(scratch(v.spark, "all"))
     sinks.replace_all(last_bill(v), target)
     sinks.replace_all(next_read(v), target)
     return _back(v, target)
@@ -363,6 +522,25 @@ def overwrite_if_any(v: Views) -> DataFrame:
     return _back(v, out.next_read)
 
 
+def publish_versions(v: Views) -> DataFrame:
+    """All three backfill marts, published twice, first with other rows."""
+    out = jobs.Marts(scratch(v.spark, "versions"))
+    hourly, daily, coming = backfill_hourly(v), backfill_daily(v), next_read(v)
+    jobs.publish_backfill(daily, hourly, coming.limit(0), out)
+    jobs.publish_backfill(hourly, daily, coming, out)
+    columns = ("headend_meter_id", "reading_datetime", "register", "consumption")
+    found = [
+        _back(v, target).select(F.lit(name).alias("mart"), *columns)
+        for name, target in (("hourly", out.hourly), ("daily", out.daily))
+    ]
+    units = _back(v, out.next_read).select(
+        F.lit("next_read").alias("mart"),
+        F.col("meter_reading_unit").alias("headend_meter_id"),
+        F.col("next_read_date").cast("timestamp_ntz").alias("reading_datetime"),
+    )
+    return found[0].unionByName(found[1]).unionByName(units, allowMissingColumns=True)
+
+
 def export_csv(v: Views) -> DataFrame:
     """SQL text in a file, run over a view, written as CSV and read back."""
     folder = scratch(v.spark, "export")
@@ -389,6 +567,11 @@ CHECKS: dict[str, Callable[[Views], DataFrame]] = {
         daily_delta,
         mart_row_coercion,
         valid_at,
+        validity_overlaps,
+        reload_daily,
+        incremental_equals_whole,
+        rejected_rows,
+        run_all_steps,
         leading_zero_join,
         hourly_enriched,
         hourly_enriched_parity,
@@ -407,6 +590,7 @@ CHECKS: dict[str, Callable[[Views], DataFrame]] = {
         presorted_reads,
         last_bill,
         billing_stats,
+        billing_stats_digits,
         usage_since_bill,
         high_usage,
         high_usage_registers,
@@ -418,11 +602,14 @@ CHECKS: dict[str, Callable[[Views], DataFrame]] = {
         leak_alerts,
         alert_payload,
         audit_records,
+        alerts_rerun,
+        audit_duplicates,
         append_reads,
         mart_both_feeds,
         replace_slice,
         replace_all,
         overwrite_if_any,
+        publish_versions,
         export_csv,
     )
 }

@@ -1,6 +1,12 @@
 """Column expressions shared by the operators. All are built-in Spark functions."""
 
 from meterlake.functions.columns import (
+    MOMENTS,
+    total_of_moments,
+    moments,
+    merged_moments,
+    deviation_of_moments,
+    DATE,
     AMOUNT,
     EXACT,
     MONEY,
@@ -18,11 +24,16 @@ from meterlake.functions.columns import (
     payload,
     per_day,
     round2,
-    stddev,
     to_id,
 )
 
 __all__ = [
+    "MOMENTS",
+    "total_of_moments",
+    "moments",
+    "merged_moments",
+    "deviation_of_moments",
+    "DATE",
     "AMOUNT",
     "EXACT",
     "MONEY",
@@ -40,6 +51,5 @@ __all__ = [
     "payload",
     "per_day",
     "round2",
-    "stddev",
     "to_id",
 ]

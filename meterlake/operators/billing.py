@@ -14,7 +14,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.functions import amount, days_span, limit, per_day, round2, stddev
+from meterlake.functions import (
+    deviation_of_moments,
+    days_span,
+    limit,
+    merged_moments,
+    moments,
+    per_day,
+    round2,
+    total_of_moments,
+)
 from meterlake.operators.horizon import after, where_code
 
 # Account key, reason code of a billing reading, flag of an active meter.
@@ -31,12 +40,9 @@ def bill_totals(
     bills: DataFrame, keys: Sequence[str], as_of_ts: dt.datetime, months: int
 ) -> DataFrame:
     """Billing readings of the last ``months`` months, summed per ``keys`` and reading unit."""
-    usage = amount(F.col("consumption_gl"))
     recent = after(billed(bills), "meter_reading_time", as_of_ts, months=months)
     return recent.groupBy(*keys, "meter_reading_unit").agg(
-        F.count(usage).alias("_n"),
-        F.sum(usage).alias("_total"),
-        F.sum(usage * usage).alias("_squares"),
+        *moments(F.col("consumption_gl")),
         F.min("meter_reading_time").alias("_start"),
         F.max("meter_reading_time").alias("_end"),
     )
@@ -73,22 +79,20 @@ def last_bill(bills: DataFrame, meters: DataFrame, keys: Sequence[str]) -> DataF
 def billing_stats(base: DataFrame, keys: Sequence[str], sigma: float) -> DataFrame:
     """Totals, mean, deviation, usage limit, day span and daily rate of the billing window."""
     merged = base.groupBy(*keys).agg(
-        F.sum("_n").alias("_n"),
-        F.sum("_total").alias("total_consumption"),
-        F.sum("_squares").alias("_squares"),
+        *merged_moments(),
         F.min("_start").alias("start_date"),
         F.max("_end").alias("end_date"),
     )
+    some = F.when(F.col("_n") > 0, total_of_moments())
+    named = merged.withColumns({"total_consumption": some, "_deviation": deviation_of_moments()})
     total = F.col("total_consumption")
-    n = F.nullif(F.col("_n"), F.lit(0))
-    mean = total.cast("double") / n
-    squares = F.col("_squares")
-    return merged.select(
+    mean = total.cast("double") / F.nullif(F.col("_n"), F.lit(0))
+    return named.select(
         *keys,
         total,
         round2(mean).alias("avg_consumption"),
-        round2(stddev(n, total, squares)).alias("std_dev_consumption"),
-        limit(n, total, squares, sigma).alias("high_usage_limit"),
+        round2(F.col("_deviation")).alias("std_dev_consumption"),
+        limit(mean, F.col("_deviation"), sigma).alias("high_usage_limit"),
         days_span(F.col("start_date"), F.col("end_date")).alias("total_days"),
         "start_date",
         "end_date",

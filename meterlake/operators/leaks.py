@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.functions import EXACT, amount
+from meterlake.functions import DATE, EXACT, amount
 from meterlake.operators.horizon import after, having, where_code
 
 
@@ -35,9 +35,13 @@ def leak_alerts(
 ) -> DataFrame:
     """Accounts with flow in every hourly reading of the last ``hours`` hours.
 
-    With ``parity`` a missing consumption counts as 0, and so clears the account.
+    With ``parity`` a missing consumption counts as 0, and so clears the account. Of a mart with a folder for each
+    day only those of these hours are read.
     """
     hourly = where_code(reads, "read_interval_type", f"HOURLY{suffix}")
+    if DATE in reads.columns:
+        first = as_of_ts - dt.timedelta(hours=hours)
+        hourly = hourly.where(F.col(DATE) >= F.lit(first.date()))
     recent = after(hourly, "reading_datetime", as_of_ts, hours=hours)
     if parity:
         recent = recent.fillna(0, subset=["consumption"])

@@ -87,6 +87,10 @@ def presort(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows while ``df`` is written; read ``observation.get["rows"]`` afterwards."""
+    """Count rows while ``df`` is written; read ``observation.get["rows"]`` afterwards.
+
+    It belongs right before the write: what stands behind it may run it more than once (a range partitioning
+    takes a sample first). The sinks count what they write in this way.
+    """
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.functions import EXACT, amount, day_part, ltrim0, money, round2, to_id
+from meterlake.functions import DATE, EXACT, amount, day_part, ltrim0, money, round2, to_id
 from meterlake.operators import billing
 from meterlake.operators.horizon import after_event, having, where_code
 from meterlake.params import Params
@@ -28,11 +28,19 @@ def daily_usage(reads: DataFrame, suffix: str = "") -> DataFrame:
         "equipmentnumber",
         "reading_datetime",
         amount(F.col("consumption")).alias("consumption"),
+        *([DATE] if DATE in reads.columns else []),
     )
 
 
 def reads_after_bill(reads: DataFrame, last_bill: DataFrame) -> DataFrame:
-    """Reads later than the account meter's last billing reading."""
+    """Reads later than the account meter's last billing reading.
+
+    Of a mart with a folder for each day, only those from the earliest last reading on are read: a bound that
+    Spark finds at run time, before it lists the files.
+    """
+    if DATE in reads.columns:
+        least = last_bill.agg(F.min(F.to_date("last_read_time")).alias("least"))
+        reads = reads.where(F.col(DATE) >= least.scalar()).drop(DATE)
     joined = reads.join(last_bill, list(billing.ACCOUNT))
     return after_event(joined, "reading_datetime", "last_read_time")
 
@@ -75,6 +83,15 @@ def _repeats(stats: DataFrame, keys: Sequence[str], parity: bool) -> DataFrame:
     return stats.groupBy(*keys).agg(F.count(F.lit(1)).alias("_repeats"))
 
 
+def _with_accounts_rate(usage: DataFrame, rates: DataFrame) -> DataFrame:
+    """Usage with the rates of its register; a register without any bill has rate 0 up to the next reads of its account."""
+    match = [*billing.ACCOUNT, "register"]
+    own = with_stats(usage, rates, match)
+    dates = rates.select(*billing.ACCOUNT, "next_read_date", "_repeats").distinct()
+    bare = usage.join(rates.select(*match).distinct(), match, "left_anti").join(dates, list(billing.ACCOUNT))
+    return own.unionByName(bare.withColumn("per_day_consumption", F.lit(0.0)))
+
+
 def high_usage(
     reads: DataFrame,
     bills: DataFrame,
@@ -128,9 +145,9 @@ def project_consumption(
 ) -> DataFrame:
     """Usage since the last bill, extended to the next read at the historic daily rate.
 
-    One row per account meter, register and next read, each register at its own rate; with ``params.parity`` per raw equipment
-    number, repeated as the join by account alone does. A next read before the last reading gives
-    negative days, and a projection below the usage.
+    One row per account meter, register and next read, each register at its own rate, one without bills of its
+    own at rate 0; with ``params.parity`` per raw equipment number, repeated as the join by account alone
+    does. A next read before the last reading gives negative days, and a projection below the usage.
     """
     active = billing.with_endpoint(billing.active_meters(meters), endpoint_types, AMI_GROUP)
     keys = ["meter_id"] if params.parity else ["meter_id", "register"]
@@ -146,7 +163,8 @@ def project_consumption(
         ["business_partner_number", "connection_contract_number", "premise_id"]
     )
     last = billing.last_bill(bills, active, ["meter_id"])
-    usage = with_stats(_account_usage(reads, last, params), rates, match)
+    usage = _account_usage(reads, last, params)
+    usage = with_stats(usage, rates, match) if params.parity else _with_accounts_rate(usage, rates)
     rows = with_premise(usage, premises)
     group = [
         *billing.ACCOUNT,

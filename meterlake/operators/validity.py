@@ -7,8 +7,9 @@ keyed by location or premise, instead of three.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions import to_id
@@ -97,3 +98,44 @@ def points_by_premise(
     """Device, register and contract in force per premise. Rows are distinct."""
     registers = premise_registers(premise, device, as_of)
     return enrich_contract(registers, contract, as_of, location=True)
+
+
+def overlapping(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """Rows whose validity shares a day with that of another row of the same key, each once, all columns.
+
+    Such rows multiply the readings that they are joined with. Days are inclusive at both ends; a row with a
+    missing or reversed pair holds on no day, and rows with a missing key match nothing.
+
+    A sweep over the ordered starts: a row overlaps an earlier one if the latest end before it is not before its
+    start, a later one if the next start is not after its end. The sweep sees one row for each key and start day
+    (reduced in every task), so a key with much of the data has no more than its days there, and the rows
+    come back by key and start. No pairs are made.
+    """
+    named = df.select(F.struct(*df.columns).alias("_row"))
+    parts = {f"_k{i}": F.col("_row")[k] for i, k in enumerate(keys)}
+    days = {"_from": F.col("_row")[start].cast("date"), "_to": F.col("_row")[end].cast("date")}
+    rows = named.withColumns({**parts, **days}).where(F.col("_from") <= F.col("_to"))
+    starts = rows.groupBy(*parts, "_from").agg(F.max("_to").alias("_latest"), F.count(F.lit(1)).alias("_rows"))
+    ordered = Window.partitionBy(*parts).orderBy("_from")
+    before = F.max("_latest").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    swept = starts.select(
+        *parts, "_from", "_rows", before.alias("_before"), F.lead("_from", 1).over(ordered).alias("_next")
+    )
+    overlaps = (F.col("_rows") > 1) | (F.col("_before") >= F.col("_from")) | (F.col("_next") <= F.col("_to"))
+    return rows.join(swept, [*parts, "_from"]).where(overlaps).select("_row.*")
+
+
+def ambiguous_points(device: DataFrame, contract: DataFrame, as_of: dt.date) -> DataFrame:
+    """(table, key, register, matches) of the devices of a place and the contracts of a device that hold twice or
+    more at ``as_of``: what makes one reading several rows."""
+    devices = valid_at(device, as_of, DEVICE).groupBy(
+        to_id(F.col("devicelocation")).alias("key"), "register"
+    )
+    contracts = valid_at(contract, as_of, DEVICE, OCCUPANCY).groupBy(
+        to_id(F.col("equipmentnumber")).alias("key"), "register"
+    )
+    found = [
+        group.agg(F.count(F.lit(1)).alias("matches")).where("matches > 1").select(F.lit(name).alias("table"), "*")
+        for name, group in (("installed_devices", devices), ("contracts", contracts))
+    ]
+    return found[0].unionByName(found[1])

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.operators import horizon, intervals, marts, validity
+from meterlake.operators import borders, horizon, intervals, marts, validity
+from meterlake.operators.hotkeys import previous, slotted, without_slots
 from meterlake.operators.feeds import METER, PORT, TS, VALUE, normalise_account_feed, normalise_customer_feed
 from meterlake.params import Params
 
@@ -21,6 +22,13 @@ NEWEST = "ingest_watermark"
 PARITY_HOURLY, PARITY_DAILY = -2, -62
 
 
+def account_days(params: Params, hourly: bool) -> int:
+    """First day of the account feed's window, from the run date."""
+    if params.parity:
+        return PARITY_HOURLY if hourly else PARITY_DAILY
+    return params.days_minus_hourly if hourly else params.days_minus_daily
+
+
 def _reading(df: DataFrame, place: str, *more: str) -> DataFrame:
     """Columns of a reading that a mart row shows. Only these are shuffled."""
     return df.select(METER, place, TS, "timezone", VALUE, "unit_of_measure", *more)
@@ -31,13 +39,38 @@ def series(params: Params) -> list[str]:
     return [METER] if params.parity else [METER, PORT]
 
 
-def hourly_deltas(readings: DataFrame, place: str, params: Params) -> DataFrame:
-    """Every reading with its consumption, before enrichment."""
+def last_readings(feed: DataFrame, params: Params, before: dt.date) -> DataFrame:
+    """The border table of a normalised feed: the last reading of each port of a meter before a day."""
+    return borders.last_before(feed, series(params), TS, VALUE, NEWEST, before)
+
+
+def merged_readings(old: DataFrame, new: DataFrame, params: Params) -> DataFrame:
+    """The later reading of each port of a meter out of two border tables."""
+    return borders.merged(old, new, series(params), TS, VALUE, NEWEST)
+
+
+def hourly_deltas(
+    readings: DataFrame, place: str, params: Params, before: DataFrame | None = None
+) -> DataFrame:
+    """Every reading with its consumption, before enrichment. ``before`` is the border table of the window."""
     if params.parity:
         rows = _reading(readings, place)
         return intervals.interval_delta(rows, [METER], TS, VALUE, parity=True)
     rows = _reading(readings, place, PORT, NEWEST)
-    return intervals.interval_delta(rows, series(params), TS, VALUE, prefer=[NEWEST]).drop(NEWEST)
+    if before is None:
+        return intervals.interval_delta(rows, series(params), TS, VALUE, prefer=[NEWEST]).drop(NEWEST)
+    rows = borders.with_borders(rows, before)
+    return borders.without_borders(
+        intervals.interval_delta(rows, series(params), TS, VALUE, prefer=[NEWEST]).drop(NEWEST)
+    )
+
+
+def daily_deltas(last: DataFrame, params: Params, before: DataFrame | None = None) -> DataFrame:
+    """Daily rows with the change since the day before, or since the border row."""
+    if before is None:
+        return intervals.day_delta(last, series(params), TS, VALUE)
+    rows = borders.with_borders(last, before.drop(NEWEST))
+    return borders.without_borders(intervals.day_delta(rows, series(params), TS, VALUE))
 
 
 def daily_last(readings: DataFrame, place: str, params: Params) -> DataFrame:
@@ -51,20 +84,23 @@ def daily_last(readings: DataFrame, place: str, params: Params) -> DataFrame:
     return intervals.with_copies(_reading(last, place))
 
 
-def daily_enriched(last: DataFrame, points: DataFrame, place: str, params: Params) -> DataFrame:
+def daily_enriched(
+    last: DataFrame, points: DataFrame, place: str, params: Params, before: DataFrame | None = None
+) -> DataFrame:
     """Daily rows with consumption and service point.
 
     The change from day to day is taken per port of a meter and then joined; with parity it is taken after the
-    join, so that registers of one meter follow each other with delta 0.
+    join, so that registers of one meter follow each other with delta 0. A meter is cut into its days there
+    too, so that one with much of the data is spread over them.
     """
     if not params.parity:
-        return intervals.day_delta(last, series(params), TS, VALUE).join(points, place)
-    rows = last.join(points, place)
-    rest = [c for c in rows.columns if c not in (METER, TS, VALUE, intervals.COPIES)]
-    w = Window.partitionBy(METER).orderBy(TS, VALUE, "register", *[c for c in rest if c != "register"])
-    rows = rows.withColumns({"_prev_ts": F.lag(TS, 1).over(w), "_prev_value": F.lag(VALUE, 1).over(w)})
+        return daily_deltas(last, params, before).join(points, place)
+    joined = last.join(points, place)
+    rest = [c for c in joined.columns if c not in (METER, TS, VALUE, intervals.COPIES)]
+    order = [TS, VALUE, "register", *[c for c in rest if c != "register"]]
+    rows = previous(slotted(joined, [METER], TS), [METER], order, {"_prev_ts": TS, "_prev_value": VALUE})
     rows = rows.withColumns(intervals.delta_columns(VALUE, TS)).drop("_prev_ts", "_prev_value")
-    return intervals.repeated_as_zero(rows)
+    return intervals.repeated_as_zero(without_slots(rows, joined, [METER]))
 
 
 def _typed(df: DataFrame, kind: str, params: Params) -> DataFrame:
@@ -85,12 +121,13 @@ def hourly_reads(
     device: DataFrame,
     contract: DataFrame,
     params: Params,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Readings of the recent days up to tomorrow's midnight, customer feed; 17 columns."""
     feed = normalise_customer_feed(readings)
     recent = horizon.in_horizon(feed, TS, params.as_of, params.days_minus_hourly, 1)
     points = validity.points_by_location(location, device, contract, params.as_of)
-    deltas = hourly_deltas(recent, "functionallocation", params)
+    deltas = hourly_deltas(recent, "functionallocation", params, before)
     rows = deltas.join(points, "functionallocation")
     return _customer_mart(_typed(rows, "HOURLY", params))
 
@@ -101,13 +138,14 @@ def daily_reads(
     device: DataFrame,
     contract: DataFrame,
     params: Params,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Last reading of each day up to today's midnight, customer feed; 17 columns."""
     feed = normalise_customer_feed(readings)
     recent = horizon.in_horizon(feed, TS, params.as_of, params.days_minus_daily, 0)
     points = validity.points_by_location(location, device, contract, params.as_of)
     last = daily_last(recent, "functionallocation", params)
-    rows = daily_enriched(last, points, "functionallocation", params)
+    rows = daily_enriched(last, points, "functionallocation", params, before)
     return _customer_mart(_typed(rows, "DAILY", params))
 
 
@@ -117,12 +155,12 @@ def hourly_reads_account(
     device: DataFrame,
     contract: DataFrame,
     params: Params,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """As ``hourly_reads`` for the account feed, located by premise; 18 columns."""
-    days = PARITY_HOURLY if params.parity else params.days_minus_hourly
-    recent = horizon.in_horizon(normalise_account_feed(readings), TS, params.as_of, days, 1)
+    recent = horizon.in_horizon(normalise_account_feed(readings), TS, params.as_of, account_days(params, True), 1)
     points = validity.points_by_premise(premise, device, contract, params.as_of)
-    deltas = hourly_deltas(recent, "utilities_premise", params)
+    deltas = hourly_deltas(recent, "utilities_premise", params, before)
     rows = deltas.join(points, "utilities_premise")
     return _account_mart(_typed(rows, "HOURLY", params))
 
@@ -133,13 +171,13 @@ def daily_reads_account(
     device: DataFrame,
     contract: DataFrame,
     params: Params,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """As ``daily_reads`` for the account feed, located by premise; 18 columns."""
-    days = PARITY_DAILY if params.parity else params.days_minus_daily
-    recent = horizon.in_horizon(normalise_account_feed(readings), TS, params.as_of, days, 0)
+    recent = horizon.in_horizon(normalise_account_feed(readings), TS, params.as_of, account_days(params, False), 0)
     points = validity.points_by_premise(premise, device, contract, params.as_of)
     last = daily_last(recent, "utilities_premise", params)
-    rows = daily_enriched(last, points, "utilities_premise", params)
+    rows = daily_enriched(last, points, "utilities_premise", params, before)
     return _account_mart(_typed(rows, "DAILY", params))
 
 
@@ -156,7 +194,8 @@ BACKFILL_COLUMNS = tuple(c for c in marts.READ_COLUMNS if c != "read_interval_ty
 def _backfill_points(
     location: DataFrame, device: DataFrame, contract: DataFrame, params: Params
 ) -> DataFrame:
-    current = marts.select_mart(contract, BACKFILL_CONTRACT)
+    twice = [c for c in BACKFILL_CONTRACT.values() if c in contract.columns]
+    current = marts.select_mart(contract.drop(*twice), BACKFILL_CONTRACT)
     wanted = horizon.in_districts(current, params.districts, "regionalstructuregrouping")
     return validity.points_by_location(location, device, wanted, params.as_of)
 

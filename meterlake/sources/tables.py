@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meterlake.sources import schemas as declared_schemas
+
 
 def load_jdbc(
     spark: SparkSession,
@@ -53,7 +55,8 @@ class Tables:
     ``root`` is a folder of parquet tables; without it names are looked up in the catalog.
     ``schemas`` gives the schema of a table, with ``""`` as the default for the others; ``names``
     gives the physical name where it is not the logical one. ``frames`` holds tables that come from
-    elsewhere, such as ``load_jdbc``.
+    elsewhere, such as ``load_jdbc``. ``checked`` holds every source table to its declared schema: rows that do
+    not fit are left out of ``load``, and found in ``rejected``.
     """
 
     spark: SparkSession
@@ -61,6 +64,7 @@ class Tables:
     schemas: Mapping[str, str] = field(default_factory=dict)
     names: Mapping[str, str] = field(default_factory=dict)
     frames: Mapping[str, DataFrame] = field(default_factory=dict)
+    checked: bool = False
 
     def resolve(self, table: str) -> str:
         name = self.names.get(table, table)
@@ -70,8 +74,18 @@ class Tables:
         parts = [self.root.rstrip("/"), schema, name]
         return "/".join(p for p in parts if p)
 
-    def load(self, table: str) -> DataFrame:
+    def _source(self, table: str) -> DataFrame:
         if table in self.frames:
             return self.frames[table]
         name = self.resolve(table)
         return self.spark.table(name) if self.root is None else self.spark.read.parquet(name)
+
+    def load(self, table: str) -> DataFrame:
+        rows = self._source(table)
+        if self.checked and table in declared_schemas.SCHEMAS:
+            return declared_schemas.conforming(rows, table)
+        return rows
+
+    def rejected(self, table: str) -> DataFrame:
+        """Rows of a source table that do not fit its declared schema: table, reason, row."""
+        return declared_schemas.rejected(self._source(table), table)

@@ -52,18 +52,14 @@ def test_payload(spark):
 
 def test_limit_of_exact_sums(spark):
     df = frame(spark, "v decimal(18,4)", ("100",), ("100",), ("100",), ("130.55",))
-    v = F.col("v")
-    parts = df.agg(F.count(v).alias("n"), F.sum(v).alias("t"), F.sum(v * v).alias("s"), F.stddev_pop(v).alias("d"))
+    parts = df.agg(*fn.moments(F.col("v")), F.stddev_pop("v").alias("d"), F.avg("v").alias("m"))
     row = parts.select(
-        fn.limit(F.col("n"), F.col("t"), F.col("s"), 2.5).alias("limit"),
-        fn.stddev(F.col("n"), F.col("t"), F.col("s")).alias("dev"),
-        "d",
+        fn.limit(F.col("m"), fn.deviation_of_moments(), 2.5).alias("limit"), fn.deviation_of_moments().alias("dev"), "d"
     ).first()
     assert row["dev"] == pytest.approx(row["d"], abs=1e-9)
     assert row["limit"] == Decimal("140.71")
-    same = frame(spark, "v decimal(18,4)", ("123456.78",))
-    lone = same.agg(F.count(v).alias("n"), F.sum(v).alias("t"), F.sum(v * v).alias("s"))
-    assert out(lone.select(fn.limit(F.col("n"), F.col("t"), F.col("s"), 2.5))) == [(Decimal("123456.78"),)]
+    lone = frame(spark, "v decimal(18,4)", ("123456.78",)).agg(*fn.moments(F.col("v")), F.avg("v").alias("m"))
+    assert out(lone.select(fn.limit(F.col("m"), fn.deviation_of_moments(), 2.5))) == [(Decimal("123456.78"),)]
 
 
 def test_day_offset_and_epoch(spark):

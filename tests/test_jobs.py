@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from meterlake import Params
 from meterlake.__main__ import main
 from meterlake.checks.views import Views
-from meterlake.plans import jobs
+from meterlake import sinks
+from meterlake.plans import jobs, reads
 from meterlake.sources import Tables
+from meterlake.operators import alerts
 from tests.frames import out
 
 PARAMS = Params(
@@ -22,6 +24,7 @@ PARAMS = Params(
     leak_min=-1,
     high_usage_endpoint="https://h/api/usage",
     leak_endpoint="https://h/api/leak",
+    slot_begin=dt.datetime(2024, 1, 10),
 )
 
 
@@ -35,7 +38,7 @@ def tables(spark, tmp_path_factory):
         "account_readings": v.account_readings(),
         "locations": v.location(),
         "installed_devices": v.device(),
-        "contracts": v.contract(),
+        "contracts": v.contract().withColumns({k: F.col(c) for k, c in reads.BACKFILL_CONTRACT.items()}),
         "premises": v.premise(),
         "schedules": v.segment_schedule().withColumn(
             "scheduledmeterreadingdate", F.date_add("scheduledmeterreadingdate", 365 * 24)
@@ -67,12 +70,15 @@ def test_all_steps(spark, tables, tmp_path):
     }
     assert all(n > 0 for n in counts.values())
     assert dict(stored.dtypes)["installation"] == "string"
-    assert spark.read.parquet(marts.next_read.path).count() == 5
-    assert spark.read.parquet(marts.projected.path).count() > 0
+    assert sinks.read(spark, marts.next_read).count() == done["next_read"] == 5
+    assert sinks.read(spark, marts.projected).count() == done["projection"] > 0
+    assert done["backfill"] == sinks.read(spark, marts.hourly).count() + sinks.read(spark, marts.daily).count() > 0
     kinds = {r["event_type"] for r in spark.read.parquet(marts.outbox.path).collect()}
     assert kinds == {"usage", "leak"}
 
-    jobs.run_audit(tables, marts, PARAMS)
+    assert done["audit"] == done["high_usage"] + done["leaks"] > 0
+    assert jobs.run_audit(tables, marts, PARAMS) == 0
+    assert jobs.run(["high_usage", "leaks"], tables, marts, PARAMS) == {"high_usage": 0, "leaks": 0}
     audit = spark.read.parquet(marts.audit.path)
     assert audit.count() == spark.read.parquet(marts.outbox.path).count()
     assert {r["source_hostname"] for r in audit.collect()} == {"meterlake"}
@@ -80,11 +86,55 @@ def test_all_steps(spark, tables, tmp_path):
     again = jobs.run(["hourly", "hourly_account"], tables, marts, PARAMS)
     slices = {(r["feed"], r["read_interval_type"]): r["count"]
               for r in spark.read.parquet(marts.reads.path).groupBy("feed", "read_interval_type").count().collect()}
-    assert slices[("customer", "HOURLY")] == 2 * again["hourly"]
+    assert slices[("customer", "HOURLY")] == again["hourly"] == done["hourly"]
     assert slices[("account", "HOURLY")] == again["hourly_account"]
     assert slices[("customer", "DAILY")] == done["daily"]
 
 
+def test_a_repeated_run_goes_on_where_it_stopped(spark, tables, tmp_path, monkeypatch):
+    marts = jobs.Marts(str(tmp_path))
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "run_next_read", fails)
+        with pytest.raises(RuntimeError):
+            jobs.run(["hourly", "next_read"], tables, marts, PARAMS, run_id="r1")
+    first = jobs.finished_steps(tables, marts, "r1")
+    assert list(first) == ["hourly"]
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "run_reads", fails)
+        assert jobs.run(["hourly", "next_read"], tables, marts, PARAMS, run_id="r1") == {**first, "next_read": 5}
+    assert jobs.finished_steps(tables, marts, "r2") == {}
+
+
+def test_replies_that_come_later(spark, tables, tmp_path):
+    marts = jobs.Marts(str(tmp_path))
+    found = spark.createDataFrame([("b1", "c1"), ("b2", "c2")], "businesspartnernumber string, contractaccount string")
+    messages = alerts.alert_outbox(found, PARAMS.leak_endpoint, PARAMS.as_of_ts)
+    sinks.append(messages, marts.outbox)
+    reply = messages.select(*alerts.OUTBOX_KEY, *[F.lit("x").alias(c) for c in alerts.RESULTS])
+    for some, rows in ((reply.limit(0), 0), (reply.where("contractaccount = 'c1'"), 1), (reply, 1), (reply, 0)):
+        assert jobs.run_audit(tables, marts, PARAMS, some) == rows
+    assert sinks.read(spark, marts.audit).where("event_result = 'x'").count() == 2
+
+
+def test_border_tables(spark, tables, tmp_path):
+    """What a run reads begins with the reading before its window, wherever the windows of earlier runs began."""
+    marts = jobs.Marts(str(tmp_path))
+    whole = reads.last_readings(jobs._feed(tables, "customer"), PARAMS, dt.date(2024, 1, 12))
+    seen = reads.last_readings(jobs._feed(tables, "customer").where("reading_datetime >= '2024-01-05'"), PARAMS, dt.date(2024, 1, 12))
+    for day, want in ((5, None), (9, None), (12, seen), (12, seen)):
+        got = jobs.last_readings(tables, marts, PARAMS, "customer", dt.date(2024, 1, day))
+        if want is not None:
+            assert out(got, "meter_id") == out(want, "meter_id")
+        elif day == 5:
+            assert got.count() == 0
+    assert len(sinks.labels(spark, marts.borders)) == 3
+    assert 0 < seen.count() <= whole.count()
+
+
 def test_parity_account_feed_replaces_the_type(spark, tables, tmp_path):
     marts = jobs.Marts(str(tmp_path))
     done = jobs.run(["hourly", "hourly_account"], tables, marts, replace(PARAMS, parity=True))
@@ -111,7 +161,7 @@ def test_command_line(spark, tables, tmp_path, capsys):
     main(["--steps", "hourly, next_read", "--marts", str(tmp_path), "--tables", tables.root,
           "--params", '{"as_of": "2024-01-20"}'])
     printed = capsys.readouterr().out
-    assert "hourly: " in printed and "next_read: done" in printed
+    assert "hourly: " in printed and "next_read: 5 rows" in printed
 
 
 def test_export_query(spark, tables, tmp_path):

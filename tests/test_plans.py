@@ -6,10 +6,14 @@ from dataclasses import replace
 
 import pytest
 
-from meterlake import Params
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from meterlake import Params, sinks
 from meterlake.checks import queries as registered
 from meterlake.checks.views import Views
-from meterlake.operators import leaks, schedule, usage
+from meterlake.operators import billing, intervals, leaks, schedule, usage, validity
+from meterlake.operators.hotkeys import slotted
 from meterlake.plans import reads
 
 FOLDER = "/root/testdata/sf0.001"
@@ -62,7 +66,8 @@ def test_hourly_shuffles_the_readings_once(source, capsys):
     found = scan(plan, "readings")
     assert "GreaterThanOrEqual(reading_datetime,2024-01-18T00:00)" in found
     assert "LessThanOrEqual(reading_datetime,2024-01-21T00:00)" in found
-    assert "battery_voltage" not in found and "transponder" not in found
+    assert "battery_voltage" not in found and "transponder_id" not in found
+    assert "transponder_port" in found
     assert "LessThanOrEqual(devicevaliditystartdate,2024-01-20)" in scan(plan, "device")
 
 
@@ -99,7 +104,10 @@ def test_leaks_combine_before_the_shuffle(spark, capsys):
     assert "GreaterThan(ts,2024-01-29T00:00)" in plan
 
 
-WRITERS = {"append_reads", "mart_both_feeds", "replace_slice", "replace_all", "overwrite_if_any", "export_csv"}
+WRITERS = {
+    "append_reads", "mart_both_feeds", "replace_slice", "replace_all", "overwrite_if_any", "export_csv", "reload_daily",
+    "incremental_equals_whole", "run_all_steps", "alerts_rerun", "audit_duplicates", "publish_versions",
+}
 
 
 @pytest.mark.parametrize("name", sorted(set(registered.queries()) - WRITERS))
@@ -126,3 +134,66 @@ def test_plans_start_no_job(spark, source):
         assert not tracker.getJobIdsForGroup("plans")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.fixture(scope="module")
+def mart(spark, source, tmp_path_factory):
+    """A dated reads mart of the usage view, with hourly rows of its own."""
+    target = sinks.Target.reads(str(tmp_path_factory.mktemp("mart") / "reads"))
+    daily = source["usage"].withColumns({"feed": F.lit("customer"), "headend_meter_id": F.col("equipmentnumber")})
+    sinks.append(daily, target)
+    sinks.append(daily.withColumn("read_interval_type", F.lit("HOURLY")), target)
+    return sinks.read(spark, target)
+
+
+def test_usage_reads_only_the_days_after_the_earliest_bill(spark, source, mart, capsys):
+    late = source["bills"].where("meter_reading_time >= '2001-05-01'")
+    active = source["meters"]
+    last = billing.last_bill(late, active, ["meter_id"])
+    recent = usage.reads_after_bill(usage.daily_usage(mart), last)
+    least = last.agg(F.min(F.to_date("last_read_time"))).first()[0]
+    plan = explain(recent, capsys)
+    found = scan(plan, "reads")
+    assert "PartitionFilters" in found and "reading_date" in found and "Subquery" in found
+    assert "read_interval_type" in found.split("PartitionFilters")[1].split("\n")[0]
+    parts = recent.select("reading_datetime").distinct().collect()
+    assert parts and min(r[0].date() for r in parts) >= least
+    want = usage.reads_after_bill(usage.daily_usage(mart.drop(sinks.DATE)), last)
+    assert recent.count() == want.count() > 0
+
+
+def test_leaks_read_only_the_last_days(mart, capsys):
+    plan = explain(leaks.leak_alerts(mart, dt.datetime(2001, 5, 30, 6), 24, 5), capsys)
+    found = scan(plan, "reads").split("PartitionFilters")[1].split("\n")[0]
+    assert "reading_date" in found and "2001-05-29" in found
+
+
+def test_parity_spreads_a_placeholder_meter_over_its_days(spark, source):
+    """A meter with a third of all rows: the window after the joins has its rows by day."""
+    hot = source["readings"].withColumn("meter_id", F.expr("IF(hash(customer_id) % 3 = 0, '00000000', meter_id)"))
+    points = validity.points_by_location(source["location"], source["device"], source["contract"], PARAMS.as_of)
+    feed = reads.normalise_customer_feed(hot)
+    params = replace(PARAMS, parity=True)
+    rows = feed.withColumn(intervals.COPIES, F.lit(1)).select(
+        "meter_id", "functionallocation", "reading_datetime", "timezone", "reading_value", "unit_of_measure", intervals.COPIES
+    )
+    got = reads.daily_enriched(rows, points, "functionallocation", params)
+    w = Window.partitionBy("meter_id").orderBy(
+        "reading_datetime", "reading_value", "register",
+        *[c for c in got.columns if c not in ("meter_id", "reading_datetime", "reading_value", "register", "consumption", "read_interval")],
+    )
+    plain = got.drop("consumption", "read_interval").withColumns({"p": F.lag("reading_value").over(w)})
+    want = plain.selectExpr("*", "round(reading_value - p, 2) AS d")
+    def total(df, c):
+        return df.agg(F.sum(F.col(c).cast("decimal(28,2)")), F.count(c)).first()
+    assert total(got, "consumption") == total(want, "d")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        slots = slotted(rows, ["meter_id"], "reading_datetime").where("_key_meter_id = '00000000'")
+        tasks = slots.select(F.spark_partition_id().alias("t"), "_slot").distinct()
+        days, spread = tasks.select("_slot").distinct().count(), tasks.select("t").distinct().count()
+        assert spread > days / 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "3")

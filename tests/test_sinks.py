@@ -19,7 +19,7 @@ def rows(spark, kind, *values):
 
 
 def stored(spark, target):
-    return out(spark.read.parquet(target.path).select("read_interval_type", "v"), "read_interval_type", "v")
+    return out(sinks.read(spark, target).select("read_interval_type", "v"), "read_interval_type", "v")
 
 
 def test_append_twice_repeats(spark, tmp_path):
@@ -44,9 +44,11 @@ def test_replace_slice(spark, tmp_path):
 
 
 def test_replace_all_and_if_any(spark, tmp_path):
-    target = sinks.Target(str(tmp_path / "t"))
+    target = sinks.Target.published(str(tmp_path / "t"))
     none = rows(spark, "DAILY", 1).where("v > 5")
-    sinks.replace_all(rows(spark, "DAILY", 1, 2), target)
+    with pytest.raises(FileNotFoundError):
+        sinks.read(spark, target)
+    assert sinks.replace_all(rows(spark, "DAILY", 1, 2), target) == 2
     assert not sinks.overwrite_if_any(none, target)
     assert stored(spark, target) == [("DAILY", 1), ("DAILY", 2)]
     assert sinks.overwrite_if_any(rows(spark, "DAILY", 3), target)
@@ -57,7 +59,7 @@ def test_replace_all_and_if_any(spark, tmp_path):
 
 def test_observed_rows(spark, tmp_path):
     df, seen = marts.observe_rows(rows(spark, "DAILY", 1, 2, 3), "written")
-    sinks.append(df, sinks.Target.reads(str(tmp_path / "t")))
+    df.write.parquet(str(tmp_path / "t"))
     assert seen.get["rows"] == 3
 
 
@@ -90,3 +92,75 @@ def test_dates_are_not_shifted(spark, tmp_path):
     target = sinks.Target(str(tmp_path / "t"))
     sinks.replace_all(frame(spark, "d date", ("2024-03-10",)), target)
     assert out(spark.read.parquet(target.path)) == [(dt.date(2024, 3, 10),)]
+    with pytest.raises(ValueError):
+        sinks.overwrite_if_any(frame(spark, "d date", ("2024-03-10",)), target)
+
+
+def dated(spark, *days, kind="DAILY", v=1):
+    return frame(spark, ROW, *[("f", kind, "m", f"2024-01-{d:02} 00:00:00", "001", v) for d in days])
+
+
+def test_only_the_days_of_a_load_are_replaced(spark, tmp_path):
+    target = sinks.Target.reads(str(tmp_path / "t"))
+    assert sinks.replace_slice(dated(spark, 1, 2, 3), target) == 3
+    for _ in range(2):
+        sinks.replace_slice(dated(spark, 3, 4, v=2), target)
+    sinks.replace_slice(dated(spark, 3, kind="HOURLY", v=9), target)
+    got = sinks.read(spark, target).where("read_interval_type = 'DAILY'").select("reading_datetime", "v")
+    assert [(r[0].day, r[1]) for r in out(got, "reading_datetime")] == [(1, 1), (2, 1), (3, 2), (4, 2)]
+    assert sinks.replace_kind(dated(spark, 7, v=5), target, feed="f", read_interval_type="DAILY") == 1
+    assert sinks.replace_kind(dated(spark, 7).limit(0), target, feed="f", read_interval_type="DAILY") == 0
+    assert stored(spark, target) == [("DAILY", 5), ("HOURLY", 9)]
+    with pytest.raises(ValueError):
+        sinks.replace_kind(dated(spark, 7), target, read_interval_type="DAILY")
+
+
+def test_a_failing_write_keeps_the_old_rows(spark, tmp_path):
+    target = sinks.Target.published(str(tmp_path / "t"), ("v",))
+    sinks.publish(spark.range(0, 5).selectExpr("id AS v"), target)
+    fails = spark.range(0, 100).selectExpr("IF(id = 99, raise_error('broken'), id) AS v")
+    with pytest.raises(Exception, match="broken"):
+        sinks.publish(fails, target)
+    assert sinks.read(spark, target).count() == 5
+    assert sinks.publish(spark.range(3).selectExpr("id AS v"), target) == 3
+    assert sinks.read(spark, target).count() == 3
+
+
+def test_a_reader_keeps_the_version_it_began_with(spark, tmp_path):
+    target = sinks.Target.published(str(tmp_path / "t"))
+    sinks.publish(spark.range(5), target)
+    before = sinks.read(spark, target)
+    sinks.publish(before.where("id > 1"), target)
+    assert before.count() == 5 and sinks.read(spark, target).count() == 3
+    sinks.publish(spark.range(7), target, label="other")
+    assert sinks.read(spark, target).count() == 3 and sinks.read(spark, target, "other").count() == 7
+
+
+def test_a_publication_runs_its_plan_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 100, 1, 4).mapInArrow(count, "id long")
+    assert sinks.publish(df, sinks.Target.published(str(tmp_path / "t")), if_any=True) == 100
+    assert seen.value == 100
+
+
+def test_files_are_bounded_and_hold_neighbouring_meters(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "FILE_ROWS", 200)
+    target = sinks.Target.reads(str(tmp_path / "t"))
+    rows = spark.range(0, 3000).selectExpr(
+        "'f' AS feed", "'HOURLY' AS read_interval_type", "lpad(id % 100, 4, '0') AS headend_meter_id",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, cast(id AS int)) AS reading_datetime", "'001' AS register",
+    )
+    assert sinks.append(rows, target) == 3000
+    files = spark.read.parquet(target.path).groupBy(F.input_file_name().alias("file")).agg(
+        F.count("*").alias("n"), F.min("headend_meter_id").alias("low"), F.max("headend_meter_id").alias("high")
+    ).collect()
+    days = len({f["file"].rsplit("/", 2)[1] for f in files})
+    assert max(f["n"] for f in files) <= 200 and len(files) <= 3000 / 200 + 4 * days
+    holds = [f for f in files if f["low"] <= "0042" <= f["high"]]
+    assert len(holds) <= len(files) / 2

@@ -1,6 +1,6 @@
 import pytest
 
-from meterlake.sources import Tables, drop, read_sql, register, run_sql
+from meterlake.sources import Tables, drop, read_sql, register, run_sql, schemas
 from meterlake.sources.tables import jdbc_read_options
 from tests.frames import out
 
@@ -44,3 +44,39 @@ def test_jdbc_read_options():
         "partitionColumn": "a", "lowerBound": "1", "upperBound": "9", "numPartitions": "4",
     }
     assert jdbc_read_options("jdbc:x", "app.t")["dbtable"] == "app.t"
+
+
+def test_rows_that_do_not_fit_are_set_aside(spark):
+    raw = spark.createDataFrame(
+        [("A", "2024-01-01"), (None, "2024-01-02"), ("B", "soon"), (None, None), ("C", "2024-01-03")],
+        "meterreadingunit string, scheduledmeterreadingdate string",
+    )
+    tables = Tables(spark, frames={"schedules": raw}, checked=True)
+    rows = tables.load("schedules")
+    assert rows.dtypes == [("meterreadingunit", "string"), ("scheduledmeterreadingdate", "date")]
+    assert [r[0] for r in rows.orderBy("meterreadingunit").collect()] == ["A", "C"]
+    found = {r["row"]: r["reason"] for r in tables.rejected("schedules").collect()}
+    assert sorted(found.values()) == [
+        "meterreadingunit: missing", "meterreadingunit: missing; scheduledmeterreadingdate: missing", "scheduledmeterreadingdate: soon",
+    ]
+    assert '{"meterreadingunit":"B","scheduledmeterreadingdate":"soon"}' in found
+    assert Tables(spark, frames={"schedules": raw}).load("schedules").count() == 5
+    with pytest.raises(ValueError, match="scheduledmeterreadingdate"):
+        Tables(spark, frames={"schedules": raw.select("meterreadingunit")}, checked=True).load("schedules")
+
+
+def test_declared_types_leave_the_scan_alone(spark, tmp_path, capsys):
+    spark.sql("SELECT 'A' AS meterreadingunit, DATE'2024-01-01' AS scheduledmeterreadingdate, 1 AS more").write.parquet(
+        str(tmp_path / "schedules")
+    )
+    rows = Tables(spark, str(tmp_path), checked=True).load("schedules")
+    capsys.readouterr()
+    rows.where("scheduledmeterreadingdate >= DATE'2024-01-01'").explain("formatted")
+    plan = capsys.readouterr().out
+    assert "GreaterThanOrEqual(scheduledmeterreadingdate,2024-01-01)" in plan and "more" not in plan.split("ReadSchema")[1]
+
+
+@pytest.mark.parametrize("table", sorted(schemas.SCHEMAS))
+def test_declared_columns(table):
+    names = [n for n, _ in schemas.declared(table)]
+    assert len(set(names)) == len(names) and set(schemas.REQUIRED.get(table, ())) <= set(names)

@@ -1,10 +1,12 @@
 """Billing statistics, high usage, projection and leaks on hand-made accounts."""
 
 from dataclasses import replace
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
+from pyspark.sql import functions as F
 
 from meterlake import Params
+from meterlake.functions import deviation_of_moments, merged_moments, moments, total_of_moments
 from meterlake.operators import leaks, schedule, usage
 from tests.frames import day, frame, out, ts
 
@@ -175,3 +177,37 @@ def test_leaks(spark):
     assert leak(spark, ["6", None, "7"], parity=True) == []
     assert leak(spark, ["6", "7"], min_readings=3) == []
     assert leak(spark, [None, None]) == []
+
+
+def deviation(spark, values, parts=1):
+    rows = spark.createDataFrame([(str(v), i % parts) for i, v in enumerate(values)], "v string, part int")
+    amounts = rows.selectExpr("CAST(v AS DECIMAL(28,10)) AS v", "part")
+    merged = amounts.groupBy("part").agg(*moments(F.col("v"))).agg(*merged_moments())
+    found = merged.select(total_of_moments().alias("t"), deviation_of_moments().alias("d")).first()
+    exact = [Decimal(str(v)) for v in values]
+    n = len(exact)
+    variance = n * sum(v * v for v in exact) - sum(exact) ** 2
+    assert found["t"] == sum(exact)
+    want = float(variance.sqrt()) / n
+    assert abs(found["d"] - want) <= 1e-14 * max(want, 1e-300)
+    return found["d"]
+
+
+def test_deviation_is_exact(spark):
+    assert deviation(spark, ["33.3333"] * 15) == 0
+    assert deviation(spark, ["0.0007"] * 9, 3) == 0
+    with localcontext() as c:
+        c.prec = 90
+        assert deviation(spark, ["0.0000000001", "0.0000000003"]) == 1e-10
+        assert deviation(spark, ["99.9999999999", "100", "100.0000000001"], 2) > 0
+        assert deviation(spark, ["123456789012.3456789012", "123456789012.3456789013", "-5"], 3) > 0
+        deviation(spark, ["-0.0000000001", "-99.9999999999", "-100.5", "250", "1e9"], 2)
+        deviation(spark, [f"{i * 7919 % 1000}.{i * 104729 % 10**10:010}" for i in range(500)], 7)
+
+
+def test_a_register_without_bills_has_rate_zero(spark):
+    used = [read("2024-03-01 00:00:00", "4"), read("2024-03-01 00:00:00", "6", register="002")]
+    rows = project(spark, used, RATE, coming(spark, "2024-03-05"), [meter(), meter("002")])
+    assert sorted((r[3], r[5], r[7]) for r in rows) == [
+        (Decimal("4.00"), Decimal("2.00"), Decimal("12.00")), (Decimal("6.00"), Decimal("0.00"), Decimal("6.00")),
+    ]

@@ -1,3 +1,6 @@
+import datetime as dt
+import random
+
 from meterlake.operators import validity
 from tests.frames import day, frame, out
 
@@ -99,3 +102,41 @@ def test_enrich_on_any_frame(spark):
     by_premise = frame(spark, "utilities_premise string, v int", ("7", 5))
     got = validity.enrich_premise(by_premise, premises, devices, AS_OF)
     assert out(got.select("v", "installation")) == [(5, 1)]
+
+
+def overlaps_by_hand(rows):
+    holds = [r for r in rows if r[0] is not None and r[1] and r[2] and r[1] <= r[2]]
+    return sorted(
+        (a for i, a in enumerate(holds) if any(i != j and a[0] == b[0] and a[1] <= b[2] and b[1] <= a[2] for j, b in enumerate(holds))),
+        key=str,
+    )
+
+
+def test_overlapping(spark):
+    rng = random.Random(7)
+    rows = [("k", "2024-01-01", "2024-01-05"), ("k", "2024-01-05", "2024-01-09"), ("k", "2024-01-10", "2024-01-10"),
+            ("m", "2024-01-01", "2024-01-01"), ("m", "2024-01-01", "2024-01-01"), ("m", "2024-02-02", "2024-02-01"),
+            (None, "2024-01-01", "2024-01-05"), (None, "2024-01-01", "2024-01-05"), ("n", None, "2024-01-05"), ("n", "2024-01-01", None)]
+    for _ in range(300):
+        a = dt.date(2023, 1, 1) + dt.timedelta(days=rng.randrange(300))
+        rows.append((f"x{rng.randrange(40)}", str(a), str(a + dt.timedelta(days=rng.randrange(-3, 25)))))
+    df = frame(spark, "key string, start date, end date", *rows)
+    got = validity.overlapping(df, ["key"], "start", "end")
+    assert got.columns == ["key", "start", "end"]
+    assert sorted([(r[0], str(r[1]), str(r[2])) for r in got.collect()], key=str) == overlaps_by_hand(rows)
+    assert validity.overlapping(df.where("false"), ["key"], "start", "end").count() == 0
+
+
+def test_ambiguous_points(spark):
+    device = frame(
+        spark, "devicelocation string, register string, devicevaliditystartdate date, devicevalidityenddate date",
+        ("a", "1", "2024-01-01", "2024-12-31"), ("a", "1", "2024-02-01", "2024-12-31"), ("a", "2", "2024-01-01", "2024-12-31"),
+    )
+    contract = frame(
+        spark, "equipmentnumber string, register string, devicevaliditystartdate date, devicevalidityenddate date, "
+        "utilitiesmoveindate date, utilitiesmoveoutdate date",
+        ("e", "1", "2024-01-01", "2024-12-31", "2020-01-01", "2024-01-31"),
+        ("e", "1", "2024-01-01", "2024-12-31", "2024-02-01", "2025-01-31"),
+    )
+    assert out(validity.ambiguous_points(device, contract, dt.date(2024, 3, 1))) == [("installed_devices", "a", "1", 2)]
+    assert out(validity.ambiguous_points(device, contract, dt.date(2024, 1, 15))) == []
