@@ -3,15 +3,15 @@
 Markup is stripped into lines, one for each block element. Lines of menus, adverts, forms and the like
 count as empty. Text lengths are summed over sliding windows of lines: where the sum rises from nothing
 is a surge point, where it falls to nothing a dive point, and the text between is a region. The region
-with the most text is the main one; regions of the same container (the parts of an article on both sides
-of an advert) belong to it.
+with the most text is the main one; regions of the same article belong to it, and on a page without one the
+other long regions (the parts of a text on both sides of an advert).
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -46,163 +46,279 @@ MAIN = {"article", "main"}
 #: Blocks that are a part of the text around them rather than a container of their own.
 PARTS = set("p li h1 h2 h3 h4 h5 h6 html body ul ol dl dt dd table tbody thead tfoot tr caption blockquote pre section "
             "figure figcaption details summary hgroup address".split())
+#: Without attributes these are never noise.
+PLAIN = BLOCKS - DROPPED - {"header"}
 #: An element with a hint among other words in its name is noise if its text is shorter or mostly links.
 SHORT = 200
 #: Start tags that end an open element of the same kind.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}}
 CLOSES |= {"th": CLOSES["td"], "option": {"option"}}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S
-)
+#: A name with one of these parts, alone or among others, is noise unless it holds nearly all text of the page.
+STRONG = set("comment comments commentlist disqus cookie cookies consent gdpr newsletter related footer".split())
+NEARLY_ALL = 0.95
+#: Beside one of these a hint tells what an element has, not what it is.
+ASIDE = set("has with without no show hide open closed enabled disabled".split())
+#: A region belongs to the main text of a page without article if it has this share of the longest one, or this many characters.
+LONG_SHARE, LONG = 0.25, 500
+
+_START = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+NOISE, WEAK, STRONG_HINT, TEXT = "noise", "weak", "strong", "text"
 
 
-def _is_noise(tag: str, attributes: str, inside_main: bool) -> bool | None:
-    """Whether an element is noise; None if its text decides, as only a part of its name is a hint."""
-    maybe = False
+def _judged(tag: str, attributes: str, inside_main: bool) -> str:
+    """NOISE, or TEXT, or how a part of the name hints at noise, so that the element's text decides."""
+    hint = TEXT
     if tag in DROPPED or tag == "header" and not inside_main:
-        return True
+        return NOISE
     if not attributes.strip() or tag in ("html", "body"):
-        return False
+        return TEXT
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            parts = set(re.split(r"[^a-z]+", value))
-            if parts & HINTS and not (tag in MAIN and not parts & {"comment", "comments", "ad", "ads"}):
-                if parts - {""} <= HINTS:
-                    return True
-                maybe = True
+            parts = set(re.split(r"[^a-z]+", value)) - {""}
+            if parts & HINTS and not (tag in MAIN and not parts & (STRONG | {"ad", "ads"})):
+                if parts <= HINTS:
+                    return NOISE
+                hint = STRONG_HINT if parts & STRONG and not parts & ASIDE or hint == STRONG_HINT else WEAK
         elif name == "role" and value in ROLES or name == "hidden":
-            return True
+            return NOISE
         elif name == "aria-hidden" and value == "true":
-            return True
+            return NOISE
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return None if maybe else False
+            return NOISE
+    return hint
+
+
+def _tag_end(page: str, at: int) -> int:
+    """The position of the ``>`` that ends the tag whose attributes begin at ``at``, outside quotes; -1 if none."""
+    while True:
+        end = page.find(">", at)
+        if end < 0:
+            return -1
+        quote = min((q for q in (page.find('"', at, end), page.find("'", at, end)) if q >= 0), default=-1)
+        if quote < 0:
+            return end
+        closing = page.find(page[quote], quote + 1)
+        if closing < 0:
+            return end  # a quote that is never closed is no quote
+        at = closing + 1
+
+
+class _Lines:
+    """Lines of a page with running totals, and the tree of its containers. Each element costs the same, however deep."""
+
+    def __init__(self):
+        self.text: list[str] = []
+        self.counts: list[int] = []  # characters that count
+        self.where: list[int] = []
+        # Totals before each line: characters, characters in links, lines of articles.
+        self.before: list[tuple[int, int, int]] = [(0, 0, 0)]
+        # Containers: the parent, the depth, and whether they are an article.
+        self.parent, self.depth, self.main = [-1], [0], [False]
+
+    def container(self, parent: int, main: bool) -> int:
+        self.parent.append(parent)
+        self.depth.append(self.depth[parent] + 1)
+        self.main.append(main)
+        return len(self.parent) - 1
+
+    def add(self, text: str, linked: int, where: int) -> None:
+        main = self.main[where]
+        self.text.append(text)
+        # An article's lines count in full; elsewhere lists of links are menus.
+        self.counts.append(len(text) if main or linked <= LINK_SHARE * len(text) else 0)
+        self.where.append(where)
+        size, links, mains = self.before[-1]
+        self.before.append((size + len(text), links + linked, mains + main))
+
+    def gap(self) -> None:
+        for _ in range(WINDOW):
+            self.text.append("")
+            self.counts.append(0)
+            self.where.append(0)
+            self.before.append(self.before[-1])
+
+    def since(self, line: int) -> tuple[int, int, int]:
+        """Characters, characters in links, lines of articles since a line."""
+        return tuple(now - then for now, then in zip(self.before[-1], self.before[line], strict=True))
+
+    def cut(self, line: int) -> None:
+        for rows in (self.text, self.counts, self.where):
+            del rows[line:]
+        del self.before[line + 1 :]
 
+    def blank(self, begin: int, end: int) -> None:
+        """Lines that turned out to be noise count as empty."""
+        for i in range(begin, end):
+            self.text[i], self.counts[i] = "", 0
 
-def lines(page: str) -> list[tuple[str, int, object]]:
-    """(text, length that counts, container) of the page's lines; noise leaves empty lines."""
-    out: list[tuple[str, int, object]] = []
-    links: list[int] = []  # characters inside links, by line
-    stack: list[tuple[str, bool, object]] = []  # tag, noise, container
-    open_maybe: dict[int, tuple[int, int]] = {}  # depth: lines and pieces before the element
+
+def lines(page: str) -> _Lines:
+    """The page's lines with their containers; noise leaves empty lines."""
+    out = _Lines()
+    # Open elements: tag, noise, container, hint, lines and pieces before.
+    stack: list[tuple[str, bool, int, str, int, int]] = []
+    blocks: list[int] = []  # places of the open block elements in the stack
+    opened: Counter = Counter()
     pieces: list[str] = []
-    linked = 0
-    at, serial = 0, 0
+    sizes: list[tuple[int, int]] = [(0, 0)]  # characters, and those in links, before each piece
+    strong: list[tuple[int, int]] = []
 
     def noise() -> bool:
         return bool(stack) and stack[-1][1]
 
-    def container():
-        return stack[-1][2] if stack else ()
+    def container() -> int:
+        return stack[-1][2] if stack else 0
 
     def end_line() -> None:
-        nonlocal linked
+        if not pieces:
+            return
         text = " ".join("".join(pieces).split())
         if text:
-            # An article's lines count in full; elsewhere lists of links are menus.
-            is_main = isinstance(container(), str)
-            out.append((text, len(text) if is_main or linked <= LINK_SHARE * len(text) else 0, container()))
-            links.append(linked)
+            out.add(text, sizes[-1][1], container())
         pieces.clear()
-        linked = 0
+        del sizes[1:]
 
     def add(text: str) -> None:
-        nonlocal linked
         if text and not noise():
             text = html.unescape(text)
+            size = len(text.strip())
             pieces.append(text)
-            if any(t == "a" for t, _, _ in stack):
-                linked += len(text.strip())
+            sizes.append((sizes[-1][0] + size, sizes[-1][1] + (size if opened["a"] else 0)))
 
-    def weigh(depth: int) -> None:
+    def weigh(hint: str, line: int, piece: int) -> None:
         """Take out an element that its text proves to be noise."""
-        nonlocal linked
-        before, some = open_maybe.pop(depth)
-        if len(out) == before:
-            text = " ".join("".join(pieces[some:]).split())
-            if len(text) < SHORT or linked > LINK_SHARE * len(text):
-                linked = max(linked - sum(len(x.strip()) for x in pieces[some:]), 0)
-                del pieces[some:]
+        if len(out.text) == line:
+            piece = min(piece, len(pieces))
+            size, links = (now - then for now, then in zip(sizes[-1], sizes[piece], strict=True))
+            if hint == STRONG_HINT or size < SHORT or links > LINK_SHARE * size:
+                del pieces[piece:], sizes[piece + 1 :]
             return
-        size = sum(len(text) for text, _, _ in out[before:])
-        holds_main = any(isinstance(c, str) for _, _, c in out[before:]) and not isinstance(container(), str)
-        if not holds_main and (size < SHORT or sum(links[before:]) > LINK_SHARE * size):
-            out[before:], links[before:] = [("", 0, None)] * WINDOW, [0] * WINDOW
+        size, links, mains = out.since(line)
+        if mains and not out.main[container()]:
+            if hint == STRONG_HINT:
+                strong.append((line, len(out.text)))
+        elif size < SHORT or links > LINK_SHARE * size:
+            out.cut(line)
+            out.gap()
+        elif hint == STRONG_HINT:
+            strong.append((line, len(out.text)))
+            out.gap()
 
     def close(i: int) -> None:
         # From the innermost element, so that each one's line ends before its text is weighed.
         while len(stack) > i:
-            if stack[-1][0] in BLOCKS and not noise():
+            tag, silent, _, hint, line, piece = stack[-1]
+            if tag in BLOCKS and not silent:
                 end_line()
-            if len(stack) - 1 in open_maybe:
-                weigh(len(stack) - 1)
+            if hint in (WEAK, STRONG_HINT):
+                above = stack.pop()
+                weigh(hint, line, piece)
+                stack.append(above)
+            if blocks and blocks[-1] == len(stack) - 1:
+                blocks.pop()
+            opened[tag] -= 1
             stack.pop()
 
+    at = 0
     while at < len(page):
-        token = _TOKEN.search(page, at)
+        token = _START.search(page, at)
         if token is None:
             add(page[at:])
             break
-        add(page[at : token.start()])
-        at = token.end()
-        tag = (token[2] or "").lower()
-        if not tag:
+        begin = token.start()
+        if token[0] in ("<!--", "<!", "<?"):
+            add(page[at:begin])
+            end = page.find("-->", begin + 4) + 2 if token[0] == "<!--" else page.find(">", begin)
+            at = end + 1 if end > begin else len(page)
             continue
-        if token[1]:
-            found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if found is not None:
-                close(found)
+        closing = token[0][1] == "/"
+        name = _NAME.match(page, begin + 1 + closing)
+        end = page.find(">", name.end()) if closing else _tag_end(page, name.end())
+        if end < 0:
+            add(page[at:])
+            break
+        add(page[at:begin])
+        at = end + 1
+        tag = name[0].lower()
+        if closing:
+            if opened[tag]:
+                i = len(stack) - 1
+                while stack[i][0] != tag:
+                    i -= 1
+                close(i)
             continue
         if tag in VOID:
             if tag == "hr" and not noise():
                 end_line()
-            elif not noise():
-                pieces.append(" " if tag == "br" else "")
+            elif tag == "br":
+                add(" ")
             continue
-        ends = {"p"} if tag in BLOCKS and tag not in ("td", "th", "tr") else set()
-        ends = ends | CLOSES.get(tag, set())
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in ends:
-                close(i)
-                break
-            if stack[i][0] in BLOCKS:
-                break
-        inside = isinstance(container(), str)
-        judged = _is_noise(tag, token[3], inside)
-        new_noise = noise() or bool(judged)
-        if tag in BLOCKS and not noise():
+        ends = CLOSES.get(tag, set()) | ({"p"} if tag in BLOCKS and tag not in ("td", "th", "tr") else set())
+        # Only the innermost block can be ended by a start tag, or an option above it.
+        if blocks and stack[blocks[-1]][0] in ends:
+            close(blocks[-1])
+        elif stack and stack[-1][0] in ends:
+            close(len(stack) - 1)
+        inside = out.main[container()]
+        hint = _judged(tag, page[name.end() : end], inside) if end > name.end() or tag not in PLAIN else TEXT
+        was_noise = noise()
+        if not was_noise and (tag in BLOCKS or hint == NOISE and tag in DROPPED):
             end_line()
-        if new_noise and not noise():
-            if tag in BLOCKS or tag in DROPPED:
-                end_line()
-                out.extend([("", 0, None)] * WINDOW)
-                links.extend([0] * WINDOW)
-        serial += 1
+            if hint == NOISE:
+                out.gap()
         where = container()
         if tag in MAIN and not inside:
-            where = f"{tag} {serial}"
+            where = out.container(where, True)
         elif not inside and tag in BLOCKS and tag not in PARTS:
-            where = (*where, serial)
+            where = out.container(where, False)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            after = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = after.end() if after else len(page)
             continue
-        if judged is None and not new_noise:
-            open_maybe[len(stack)] = len(out), len(pieces)
-        stack.append((tag, new_noise, where))
+        if tag in BLOCKS:
+            blocks.append(len(stack))
+        opened[tag] += 1
+        silent = was_noise or hint == NOISE
+        stack.append((tag, silent, where, TEXT if silent else hint, len(out.text), len(pieces)))
     if not noise():
         end_line()
     close(0)
+    whole, done = out.before[-1][0], 0
+    for first, last in sorted(strong, key=lambda s: (s[0], -s[1])):  # outer elements first
+        if last > done and out.before[last][0] - out.before[first][0] < NEARLY_ALL * whole:
+            out.blank(first, last)
+            done = last
     return out
 
 
+def _home(out: _Lines, low: int, high: int) -> int:
+    """The container with most of the text of a region."""
+    weight: Counter = Counter()
+    for i in range(low, high):
+        weight[out.where[i]] += out.counts[i]
+    return weight.most_common(1)[0][0]
+
+
+def _ancestor(out: _Lines, a: int, b: int) -> int:
+    while a != b:
+        if out.depth[a] < out.depth[b]:
+            a, b = b, a
+        a = out.parent[a]
+    return a
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page; see ``extract``."""
-    rows = lines(page or "")
-    sums = [sum(r[1] for r in rows[i : i + WINDOW]) for i in range(len(rows))]
+    out = lines(page or "")
+    counts = out.counts
+    sums, total = [], sum(counts[:WINDOW])
+    for i in range(len(counts)):
+        sums.append(total)
+        total += (counts[i + WINDOW] if i + WINDOW < len(counts) else 0) - counts[i]
     regions, begin = [], None
     for i, total in enumerate(sums):
         if total and begin is None:
@@ -211,28 +327,36 @@ def main_text(page: str | None) -> str:
             regions.append((begin, i))  # dive
             begin = None
     if begin is not None:
-        regions.append((begin, len(rows)))
+        regions.append((begin, len(counts)))
     if not regions:
         return ""
-    low, high = max(regions, key=lambda r: sum(x[1] for x in rows[r[0] : r[1]]))
-    weight: dict = defaultdict(int)
-    for _, length, container in rows[low:high]:
-        weight[container] += length
-    home = max(weight, key=weight.get)
-    # Out of a nested container into one that has text of its own, but not into the whole page.
-    own = {c for _, length, c in rows if length and not isinstance(c, str)}
-    while not isinstance(home, str) and len(home) > 1 and home[:-1] in own:
-        home = home[:-1]
-
-    def at_home(c) -> bool:
-        return c == home or bool(home) and isinstance(home, tuple) and isinstance(c, tuple) and c[: len(home)] == home
-
+    size = {r: sum(counts[r[0] : r[1]]) for r in regions}
+    main = max(regions, key=size.get)
+    home = _home(out, *main)
+    if out.main[home]:
+        kept = [out.text[i] for a, b in regions for i in range(a, b) if counts[i] and out.where[i] == home]
+        return "\n".join(kept)
+    # The parts of a text on both sides of an advert may be containers of their own: the home of all long regions,
+    # and of them the text that stands in such a part, or in a container around it.
+    long = [r for r in regions if size[r] >= min(LONG, LONG_SHARE * size[main]) and r != main]
+    homes = {home} | {h for r in long if not out.main[h := _home(out, *r)]}
+    top = home
+    for other in homes:
+        top = _ancestor(out, top, other)
+    around = {top}
+    for part in homes:
+        while part != top:
+            around.add(part)
+            part = out.parent[part]
+    inside = [0 in homes]
+    for c in range(1, len(out.parent)):
+        inside.append(c in homes or inside[out.parent[c]])
+    whole = {main, *(r for r in long if _home(out, *r) in homes)}
     kept = []
-    for a, b in regions:
-        for text, length, container in rows[a:b]:
-            same = at_home(container) or (low <= a < high and not isinstance(home, str))
-            if length and same:
-                kept.append(text)
+    for region in regions:
+        for i in range(*region):
+            if counts[i] and (region in whole or inside[out.where[i]] or len(homes) > 1 and out.where[i] in around):
+                kept.append(out.text[i])
     return "\n".join(kept)
 
 

@@ -1,6 +1,8 @@
 """HTML extraction, packing, decontamination, words and filters against plain Python."""
 
 import itertools
+import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,49 @@ def test_main_text(page, want):
     assert main_text(page) == want
 
 
+PROSE = " ".join([LONG] * 5)
+REMARK = " ".join(["A reader wrote this remark, which is long enough to look like a text of its own."] * 5)
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<article><p>{PROSE}</p><div class='comment-list'><p>{REMARK}</p></div></article>", PROSE),
+        (f"<article><p>{PROSE}</p></article><div class='comments-section'><p>{REMARK}</p></div>", PROSE),
+        (f"<div class=x><p>{PROSE}</p></div><div class='comment-item'><p>{REMARK}</p></div>", PROSE),
+        (f"<article><p>{PROSE}</p></article><article class='user-comment'><p>{' '.join([REMARK] * 9)}</p></article>", PROSE),
+        (f"<div><p>{PROSE}</p></div><div class='newsletter-signup-box'>{REMARK}</div>", PROSE),
+        (f"<div><p>{PROSE}</p></div><div class='related-posts'>{REMARK}</div>", PROSE),
+        (f"<div class='cookie-notice-bar'>{REMARK}</div><div><p>{PROSE}</p></div>", PROSE),
+        (f"<div><p>{PROSE}</p></div><div class='main-footer-area'>{REMARK}</div>", PROSE),
+        (f"<div class=a>{PROSE}</div><div class=ad>buy</div><div class=b>{PROSE}</div>", f"{PROSE}\n{PROSE}"),
+        (f"<div id=w><div class=a>{PROSE}</div><div class=ad>buy</div><div class=b>{PROSE}</div></div>", f"{PROSE}\n{PROSE}"),
+        (f"<div class='content has-comments'><p>{PROSE}</p></div>", PROSE),
+        (f"<div class='content has-sidebar'><p>{PROSE}</p></div>", PROSE),
+        (f"<p>{PROSE} <a href=\"x>y\" title='it's'>z</a> &amp; <b class=\"open>{LONG}</b></p>", f"{PROSE} z & {LONG}"),
+        (f"<p>{PROSE}<br>a<span class='share-buttons'>tell others</span> <wbr>b</p></i></div>", f"{PROSE} a b"),
+    ],
+)
+def test_containers(page, want):
+    assert main_text(page) == want
+
+
+@pytest.mark.parametrize("unit", ["<span>x", "<div>x", "<div class=my-ad>x", "<div class=my-comment>x", "<article>x", "<a \"", "<a ", "<b>x</i>"])
+def test_nested_and_unclosed_tags_are_linear(unit):
+    """Four times the text takes about four times the time and memory, on one deep page."""
+    tracemalloc.start()
+    times = []
+    for size in (100_000, 400_000):
+        page = unit * (size // len(unit))
+        start = time.process_time()
+        main_text(page)
+        times.append(time.process_time() - start)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert times[1] < 9 * times[0] + 0.3
+    assert most < 200_000_000
+
+
 def test_extract(spark):
     pages = spark.createDataFrame(
         [(1, "u", f"<p>{LONG}é"), (None, None, None), (1, "u", "")], "page_id int, url string, html string"
