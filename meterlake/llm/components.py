@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.shared import stored
+from meterlake.llm.shared import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,9 +25,11 @@ def components(links: DataFrame) -> DataFrame:
             ),
             "moved",
         )
+        spent = [links]
         if found is None:
             found = moved
         else:
+            spent += [moved, found]
             step = moved.select(F.col("node").alias("component"), F.col("component").alias("next"))
             found = stored(
                 found.join(step, "component", "left").select(
@@ -39,4 +41,5 @@ def components(links: DataFrame) -> DataFrame:
             to = moved.select(F.col("node").alias(end), F.col("component").alias("to"))
             links = links.join(to, end).drop(end).withColumnRenamed("to", end)
         links = stored(links.where("a <> b").select("a", "b").distinct(), "links")
+        discard(*spent)
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")) if found is None else found

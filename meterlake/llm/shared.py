@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,11 +40,35 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Paths of the stored tables that are still referred to.
+_PATHS: WeakKeyDictionary = WeakKeyDictionary()
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` through a table in the shared folder: it is computed once and outlives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` through a table in the shared folder: it is computed once and outlives lost executors.
+
+    The shuffles that it took are removed when it is written, as nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables. Only for those that nothing reads any more: what was made of them is stored itself."""
+    for table in tables:
+        spark, path = table.sparkSession, _PATHS.pop(table)
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def keyed_rows(docs: DataFrame) -> DataFrame:
