@@ -1,7 +1,10 @@
 """Language model, quality classifier and toxicity: arithmetic against plain Python, and held-out accuracy."""
 
-import math
 import zlib
+
+import math
+import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -93,23 +96,114 @@ def test_model_beats_base_on_held_out_texts(spark):
     assert got.score.sum() > got.base_score.sum()
 
 
-def test_kneser_ney_sums_to_one():
-    random = np.random.default_rng(2)
-    counts = random.poisson(0.3, (6, 6, 6))
-    counts[2] = 0
-    found = 10 ** quality.kneser_ney(counts)
-    assert np.allclose(found.sum(axis=-1), 1)
-    # The unseen contexts fall back to the lower order.
-    assert np.allclose(found[2], found[2])
-    lower = quality.kneser_ney((counts > 0).sum(axis=0))
-    assert np.allclose(np.log10(found[2]), lower)
-
-
-def test_repeated_words_are_one_symbol():
-    run, edges = quality._codes(text_array(pa.array(["ab ab  ab c", "", "ab", None])))
-    last = run % quality.ALPHABET
-    assert edges.tolist() == [0, 6, 6, 8, 8]
-    assert last[2] == last[3] == quality.REPEAT
+def symbols_by_hand(text):
+    """The symbols of a text as a list, by its words and characters."""
+    out, last, end = [], None, 0
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+        word = m[0]
+        if word == last:
+            out.append(quality.REPEAT)
+            end = m.end()
+            continue
+        out += [ord(c) for c in text[end : m.start()]]
+        before = ""
+        for c in word:
+            small = c.lower() if len(c.lower()) == 1 and ord(c) < 1 << 16 else c
+            letter = small != c or c in "abcdefghijklmnopqrstuvwxyz" or ord(c) >= 0xAA
+            inside = before
+            before = letter
+            if c in "0123456789":
+                out.append(quality.DIGIT)
+            elif small != c:
+                out.append(quality.CAPITAL if inside else ord(small))
+            else:
+                out.append(ord(c))
+        last, end = word, m.end()
+    return out + [ord(c) for c in text[end:]]
+
+
+SYMBOLS = ["ab ab  ab c", "", "ab", None, "Ünï ÜNÏ 12 x9 HTML Ab-Cd\nAb", "日本 日本語 \U0001f600\U0001f600 a", " x x", "x x ", "Straße straße İ ǅ"]
+
+
+def test_symbols():
+    s, edges = quality.symbols(text_array(pa.array(SYMBOLS)))
+    got = [s[a:b].tolist() for a, b in zip(edges[:-1], edges[1:])]
+    assert got == [symbols_by_hand(t or "") for t in SYMBOLS]
+
+
+def kneser_ney_by_hand(train, texts):
+    """Perplexities by an interpolated modified Kneser-Ney model written from its definition."""
+    pad = [quality.BEGIN] * (quality.ORDER - 1)
+    longest = Counter()
+    for t in train:
+        s = pad + symbols_by_hand(t)
+        longest.update(tuple(s[i : i + quality.ORDER]) for i in range(len(s) - quality.ORDER + 1))
+    counts = {quality.ORDER: longest}
+    for n in range(quality.ORDER - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    alphabet = len(counts[1]) + 1
+    discount, total, left = {}, {}, {}
+    for n, level in counts.items():
+        discount[n] = quality._discounts([sum(c == i for c in level.values()) for i in (1, 2, 3, 4)])
+        total[n], left[n] = Counter(), Counter()
+        for g, c in level.items():
+            total[n][g[:-1]] += c
+            left[n][g[:-1]] += discount[n][min(c, 3) - 1]
+
+    def probability(g):
+        n = len(g)
+        if not n:
+            return 1 / alphabet
+        lower = probability(g[1:])
+        if g[:-1] not in total[n]:
+            return lower
+        c = counts[n][g]
+        own = max(c - discount[n][min(c, 3) - 1], 0) if c else 0
+        return (own + left[n][g[:-1]] * lower) / total[n][g[:-1]]
+
+    for context in list(total[quality.ORDER])[:5]:
+        known = [g for (g,) in counts[1]]
+        assert abs(sum(probability((*context, c)) for c in known) + probability((*context, -1)) - 1) < 1e-9
+    usual = sum(c * math.log10(probability(g)) for g, c in longest.items()) / sum(longest.values())
+    out = []
+    for t in texts:
+        s = pad + symbols_by_hand(t or "")
+        logs = [math.log10(probability(tuple(s[i : i + quality.ORDER]))) for i in range(len(s) - quality.ORDER + 1)]
+        out.append(10 ** -((sum(logs) + quality.PRIOR * usual) / (len(logs) + quality.PRIOR)))
+    return out
+
+
+@pytest.mark.parametrize("table_rows, batch", [(1 << 22, 1 << 24), (10, 3000), (10, 1 << 24)])
+def test_perplexity_by_hand(spark, table_rows, batch):
+    train = [t for _, t in texts()[:6] if t] + ["ab ab c", "Ünï cödé 日本 12"]
+    other = [t for _, t in texts()] + SYMBOLS + ["zzz qqq", "ab"]
+    model = quality.train(spark.createDataFrame([(t,) for t in train], "text string"))
+    rows = spark.createDataFrame([(k, t or "") for k, t in enumerate(other)], "k int, text string").repartition(3)
+    got = [r.perplexity for r in quality.perplexities(rows, model, table_rows, batch).orderBy("k").collect()]
+    assert got == pytest.approx(kneser_ney_by_hand(train, other), rel=1e-9)
+
+
+RUSSIAN = "это простой текст о том как люди живут и работают в большом городе у реки где летом тепло а зимой холодно"
+FRENCH = "où êtes déjà allés les élèves français après le dîner à la forêt près du château où naît la rivière fraîche"
+
+
+def shuffled(text, seed):
+    letters = [c for c in text if c != " "]
+    random.Random(seed).shuffle(letters)
+    rest = iter(letters)
+    return "".join(c if c == " " else next(rest) for c in text)
+
+
+@pytest.mark.parametrize("prose", [RUSSIAN, FRENCH])
+def test_noise_of_real_letters_is_rejected(spark, prose):
+    words, rng = prose.split(), random.Random(1)
+    good = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(300)]
+    bad = [shuffled(t, k) for k, t in enumerate(good[:40])]
+    rows = [(i, t, "x") for i, t in enumerate(good + bad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = labelled(spark, [(i, 1, 0, None) for i in range(250)])
+    kept = {r.doc_id for r in quality.judge(docs, labels).where("keep").collect()}
+    assert len(kept & set(range(250, 300))) >= 48 and not kept & set(range(300, 340))
 
 
 def labelled(spark, values):
