@@ -5,9 +5,11 @@ two tokens before: their vectors, turned by a matrix for each position, add up t
 product with the vectors of all classes, plus a bias, is normalised. A rarer word is then drawn from its
 kind by its smoothed share of the training tokens. So every text has a proper log10 probability.
 
-Counts of all training tokens are summed over the cluster. Each task trains a copy of the model on its
-own training documents from the same start; the copies are averaged by their tokens. Scoring takes one
-pass: probabilities come from batched matrix products over the contexts that a batch holds, and words
+Counts of all training tokens are summed over the cluster. The training documents, as the classes of their
+tokens, are dealt by a hash of the row into shards of SHARD tokens, each in the order of that hash. In each of
+ROUNDS rounds every shard trains a copy of the model on its next part, from the same start and with the same
+step sizes; the copies and their step sizes are averaged by their tokens, and are the start of the next round.
+So the model follows from the rows alone, not from files or tasks. Scoring takes one pass: probabilities come from batched matrix products over the contexts that a batch holds, and words
 too many to send to every task are joined with their counts.
 """
 
@@ -22,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.shared import stored
+from meterlake.llm.shared import discard, stored
 from meterlake.llm.text import BLANK, chunks, mixed, text_array, words
 
 FOLDS, HELD_OUT = 5, 1
@@ -36,8 +38,10 @@ END = np.uint64(0xE4D0E4D0E4D0E4D1)
 #: are sent to every task.
 HEAVY = 1 << 20
 WIDTH, NOISE, BATCH, RATE = 24, 64, 1024, 0.08
-#: Steps that a task makes over its documents, at least: few texts are gone through several times.
-LEAST_STEPS = 300
+#: Tokens of a shard, about, and rounds of training and averaging, in which all tokens are gone through once.
+SHARD, ROUNDS = 1 << 22, 3
+#: Steps that a shard makes in a round, at least: few texts are gone through several times.
+LEAST_STEPS = 100
 #: Contexts normalised at a time.
 ROWS = 8192
 
@@ -120,15 +124,20 @@ def _added_rows(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(flat, rows.ravel(), size * WIDTH).reshape(size, WIDTH).astype(np.float32)
 
 
-def train_copy(model: Model, unigram: np.ndarray, one, two, target, seed: int) -> Model:
-    """Noise-contrastive estimation with Adagrad: each batch shares its noise words."""
+def step_sizes(model: Model) -> Model:
+    """The sums of squared gradients that a training begins with."""
+    return Model(*(np.full(x.shape, 1e-2, np.float32) for x in model))
+
+
+def train_copy(model: Model, sums: Model, unigram: np.ndarray, one, two, target, seed) -> tuple[Model, Model]:
+    """Noise-contrastive estimation with Adagrad: each batch shares its noise words. The model and the sums after it."""
     r, c, q, b = (x.copy() for x in model)
-    sums = [np.full(x.shape, 1e-2, np.float32) for x in (r, c, q, b)]
+    sums = Model(*(x.copy() for x in sums))
     random = np.random.default_rng(seed)
     log_noise = np.log(NOISE * unigram).astype(np.float32)
     share = np.cumsum(unigram)
     starts = np.arange(0, len(target), BATCH)
-    for _ in range(-(-LEAST_STEPS // len(starts))):
+    for _ in range(-(-LEAST_STEPS // max(len(starts), 1))):
         for s in random.permutation(starts):
             x1, x2, w = one[s : s + BATCH], two[s : s + BATCH], target[s : s + BATCH]
             noise = np.minimum(np.searchsorted(share, random.random(NOISE)), CLASSES - 1)
@@ -150,26 +159,68 @@ def train_copy(model: Model, unigram: np.ndarray, one, two, target, seed: int) -
                 g = g * NOISE**0.5
                 total += g * g
                 x += RATE * g / np.sqrt(total)
-    return Model(r, c, q, b)
+    return Model(r, c, q, b), sums
+
 
+def _coded(counts):
+    """(shard, key, classes): the classes of each text's tokens, in two bytes each."""
 
-def _copies(counts, model, unigram):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The task's trained copy, in bytes, and its tokens. Trains batch by batch, so memory is bounded."""
-        current, total = model.value, 0
         for batch in batches:
-            parts = []
-            for _, part in chunks(text_array(batch.column("text"))):
+            for first, part in chunks(text_array(batch.column("text"))):
                 hashes, kinds, bounds = tokens(part)
-                classes = _classes(hashes, kinds, counts.value)
-                parts.append((*_contexts(classes, bounds), classes))
-            if parts:
-                one, two, target = (np.concatenate(x) for x in zip(*parts, strict=True))
-                current = train_copy(current, unigram, one, two, target, TaskContext.get().partitionId())
-                total += len(target)
+                classes = _classes(hashes, kinds, counts.value).astype(np.uint16)
+                codes = pa.Array.from_buffers(
+                    pa.large_binary(),
+                    len(part),
+                    [None, pa.py_buffer((2 * bounds).astype(np.int64)), pa.py_buffer(classes)],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(first, len(part)) for c in ("shard", "key")), codes.cast(pa.binary())],
+                    ["shard", "key", "classes"],
+                )
+
+    return rows
+
+
+def _part(texts: list[bytes], number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(one, two, target) of a shard's texts whose first token is in the given part of its tokens."""
+    lengths = np.array([len(t) // 2 for t in texts])
+    begins = np.cumsum(lengths) - lengths
+    here = np.flatnonzero(begins * ROUNDS // max(int(lengths.sum()), 1) == number)
+    if not len(here):
+        return (np.zeros(0, np.int64),) * 3
+    target = np.frombuffer(b"".join(texts[i] for i in here.tolist()), np.uint16).astype(np.int64)
+    return *_contexts(target, np.concatenate([[0], np.cumsum(lengths[here])])), target
+
+
+def _copies(state, unigram, number):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sum of the copies of the task's shards (rows by shard and key), weighted by tokens, in bytes."""
+        summed, total = 0.0, 0
+
+        def train(shard: int, texts: list[bytes]) -> None:
+            nonlocal summed, total
+            one, two, target = _part(texts, number)
+            if len(target):
+                model, sums = train_copy(*state.value, unigram, one, two, target, [number, shard])
+                flat = np.concatenate([x.ravel() for x in (*model, *sums)]).astype(np.float64)
+                summed, total = summed + flat * len(target), total + len(target)
+
+        now, texts = None, []
+        for batch in batches:
+            shards, classes = batch.column("shard").to_numpy(), batch.column("classes").to_pylist()
+            edges = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if b > a and shards[a] != now:
+                    if texts:
+                        train(now, texts)
+                    now, texts = int(shards[a]), []
+                texts += classes[a:b]
+        if texts:
+            train(now, texts)
         if total:
-            flat = np.concatenate([x.ravel() for x in current]).astype(np.float64) * total
-            for i, piece in enumerate(np.array_split(flat, 16)):
+            for i, piece in enumerate(np.array_split(summed, 16)):
                 yield pa.RecordBatch.from_pydict(
                     {"piece": pa.array([i], pa.int32()), "values": [piece.tobytes()], "tokens": [total]}
                 )
@@ -187,22 +238,32 @@ def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"piece": pa.array([piece], pa.int32()), "values": [(values / n).tobytes()]})
 
 
-def trained(texts: DataFrame, counts, unigram: np.ndarray) -> Model:
-    """The average of the tasks' copies over the training ``texts``."""
-    spark = texts.sparkSession
-    first = start(unigram)
-    copies = texts.mapInArrow(
-        _copies(counts, spark.sparkContext.broadcast(first), unigram), "piece int, values binary, tokens long"
-    )
-    pieces = copies.repartition("piece").mapInArrow(_averaged, "piece int, values binary").collect()
-    if not pieces:
-        return first
-    flat = np.concatenate([np.frombuffer(p.values) for p in sorted(pieces, key=lambda p: p.piece)])
-    out = []
-    for x in first:
-        out.append(flat[: x.size].reshape(x.shape).astype(np.float32))
-        flat = flat[x.size :]
-    return Model(*out)
+def trained(rows: DataFrame, counts, unigram: np.ndarray, n_tokens: int) -> Model:
+    """The model of the training ``rows`` (doc_id, text), which have so many tokens.
+
+    Rows that repeat id and text are dealt to one shard.
+    """
+    spark = rows.sparkSession
+    key = F.xxhash64("doc_id", "text")
+    shards = max(1, -(-n_tokens // SHARD))
+    dealt = rows.select(F.pmod(key, F.lit(shards)).alias("shard"), key.alias("key"), "text")
+    coded = stored(dealt.mapInArrow(_coded(counts), "shard long, key long, classes binary"), "classes")
+    model = start(unigram)
+    state = (model, step_sizes(model))
+    for number in range(ROUNDS):
+        ordered = coded.repartition("shard").sortWithinPartitions("shard", "key")
+        copies = ordered.mapInArrow(
+            _copies(spark.sparkContext.broadcast(state), unigram, number), "piece int, values binary, tokens long"
+        )
+        pieces = copies.repartition("piece").mapInArrow(_averaged, "piece int, values binary").collect()
+        if pieces:
+            flat, out = np.concatenate([np.frombuffer(p.values) for p in sorted(pieces, key=lambda p: p.piece)]), []
+            for x in (*state[0], *state[1]):
+                out.append(flat[: x.size].reshape(x.shape).astype(np.float32))
+                flat = flat[x.size :]
+            state = Model(*out[:4]), Model(*out[4:])
+    discard(coded)
+    return state[0]
 
 
 def log_probabilities(model: Model, one, two, target, norms: np.ndarray) -> np.ndarray:
@@ -342,7 +403,7 @@ def score(docs: DataFrame) -> DataFrame:
     )
     found, train_tokens, unigram = _counts(known)
     counts = spark.sparkContext.broadcast(found)
-    model = spark.sparkContext.broadcast(trained(training.select("text"), counts, unigram))
+    model = spark.sparkContext.broadcast(trained(training.select("doc_id", "text"), counts, unigram, train_tokens))
     parts = rows.mapInArrow(
         _scored(counts, model),
         "row long, hash long, n long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, "

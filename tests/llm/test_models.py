@@ -52,9 +52,10 @@ def test_words_beyond_the_heavy_are_joined(spark, monkeypatch):
 def test_all_training_documents_reach_the_model(spark, monkeypatch):
     seen, trained = [], lm_scoring.trained
 
-    def watched(rows, counts, unigram):
+    def watched(rows, counts, unigram, n_tokens):
         seen.extend(r.text for r in rows.select("text").collect())
-        return trained(rows, counts, unigram)
+        assert n_tokens == sum(len(blank_words(t)) + 1 for t in seen)
+        return trained(rows, counts, unigram, n_tokens)
 
     monkeypatch.setattr(lm_scoring, "trained", watched)
     lm_scoring.score(documents(spark)).collect()
@@ -83,7 +84,7 @@ def test_training_beats_unigrams_where_words_follow_each_other():
     unigram /= unigram.sum()
     one, two = lm_scoring._contexts(target, np.array([0, n]))
     first = lm_scoring.start(unigram)
-    last = lm_scoring.train_copy(first, unigram, one, two, target, 0)
+    last, _ = lm_scoring.train_copy(first, lm_scoring.step_sizes(first), unigram, one, two, target, 0)
     means = []
     for model in (first, last):
         norms = np.full((lm_scoring.CLASSES + 1) ** 2, np.nan, np.float32)
@@ -93,7 +94,73 @@ def test_training_beats_unigrams_where_words_follow_each_other():
 
 def test_model_beats_base_on_held_out_texts(spark):
     got = lm_scoring.score(spark.read.parquet(f"{FOLDER}/documents.parquet")).where("held_out").toPandas()
-    assert got.score.sum() > got.base_score.sum()
+    assert got.score.sum() > got.base_score.sum() + 0.1 * got.n_tokens.sum()
+
+
+@pytest.mark.parametrize("shard", [lm_scoring.SHARD, 30_000])
+def test_scores_do_not_depend_on_files_or_tasks(spark, monkeypatch, shard):
+    """The same rows in 1, 8 and 64 partitions and another order, in one shard and in several."""
+    monkeypatch.setattr(lm_scoring, "SHARD", shard)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    found = []
+    for parts in (1, 8, 64):
+        rows = docs.repartition(parts, "text")
+        got = {r.doc_id: (r.score, r.n_tokens, r.held_out) for r in lm_scoring.score(rows).collect()}
+        found.append(got)
+    for got in found[1:]:
+        for i, (score, n, _) in got.items():
+            assert abs(score - found[0][i][0]) < 0.005 * n
+    held = [v for v in found[0].values() if v[2]]
+    assert sum(v[0] for v in held) / sum(v[1] for v in held) > -4.02
+
+
+def test_score_by_hand(spark, monkeypatch):
+    """Each token's class from the vectors before it, and a rarer word by its share of its kind."""
+    kept = {}
+    trained = lm_scoring.trained
+
+    def keeps(rows, counts, unigram, n_tokens):
+        kept["model"], kept["counts"] = trained(rows, counts, unigram, n_tokens), counts.value
+        return kept["model"]
+
+    monkeypatch.setattr(lm_scoring, "trained", keeps)
+    monkeypatch.setattr(lm_scoring, "WORDS", 3)
+    monkeypatch.setattr(lm_scoring, "CLASSES", 3 + lm_scoring.KINDS + 1)
+    monkeypatch.setattr(lm_scoring, "END_CLASS", 3 + lm_scoring.KINDS)
+    monkeypatch.setattr(lm_scoring, "START", 3 + lm_scoring.KINDS + 1)
+    rows = [(k, "the cat and the dog and the bird see a cat " * (k % 4 + 1) + f"odd{k}") for k in range(40)] + [(50, None), (51, "new words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_scoring.score(docs).collect()}
+    m, counts, end = kept["model"], Counter(), lm_scoring.END_CLASS
+    for i, t in rows:
+        if fold(i) != 1:
+            counts.update([*blank_words(t), None])
+    n, v = sum(counts.values()), len(counts)
+    denominator = n + 0.5 * (v + 1)
+    order = sorted((w for w in counts if w), key=lambda w: -counts[w])[:3]
+    assert counts[order[2]] > max(c for w, c in counts.items() if w and w not in order)
+    vocabulary = {int(h): int(c) for h, c in zip(kept["counts"].vocabulary, kept["counts"].classes)}
+    hashes = {w: int(lm_scoring.tokens(text_array(pa.array([w])))[0][0]) for w in order}
+    kinds = {w: w.encode()[-1] % lm_scoring.KINDS for w in {w for _, t in rows for w in blank_words(t)}}
+    mass = Counter({k: 0.5 for k in range(lm_scoring.KINDS)})
+    for w, c in counts.items():
+        if w and w not in order:
+            mass[kinds[w]] += c + 0.5
+
+    def class_of(w):
+        return end if w is None else vocabulary[hashes[w]] if w in order else 3 + kinds[w]
+
+    for i, t in rows:
+        words = [*blank_words(t), None]
+        before, total = [lm_scoring.START, lm_scoring.START], 0.0
+        for w in words:
+            p = m.inputs[before[0]] @ m.turns[0] + m.inputs[before[1]] @ m.turns[1]
+            e = np.exp((p @ m.outputs.T + m.bias).astype(np.float64))
+            total += math.log10(e[class_of(w)] / e.sum())
+            if w is not None and w not in order:
+                total += math.log10((counts[w] + 0.5) / mass[kinds[w]])
+            before = [class_of(w), before[0]]
+        assert got[i] == pytest.approx(total, abs=1e-3 * len(words))
 
 
 def symbols_by_hand(text):
