@@ -1,6 +1,7 @@
 """Exact, line, near and substring de-duplication against plain Python."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -298,3 +299,30 @@ def test_recall_of_similar_passages(spark):
 )
 def test_empty_table(spark, operator):
     assert operator(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("quotes", [0, 10, 40])
+def test_edited_passages_among_documents_that_quote_parts(spark, quotes):
+    """60 words with one changed, in two documents each, while others quote 28 to 45 words of them."""
+    rng = random.Random(quotes + 1)
+    rows, want = [], []
+
+    def fill(k):
+        return [f"f{rng.randrange(10**9)}" for _ in range(k)]
+
+    for _ in range(40):
+        passage = [f"p{rng.randrange(10**9)}" for _ in range(60)]
+        edited = [*passage[:30], f"e{rng.randrange(10**9)}", *passage[31:]]
+        docs = [fill(rng.randrange(5, 40)) + p + fill(rng.randrange(5, 40)) for p in (passage, edited)]
+        for _ in range(quotes):
+            size = rng.randint(28, 45)
+            at = rng.randrange(60 - size + 1)
+            docs.append(fill(rng.randrange(30, 60)) + passage[at : at + size] + fill(rng.randrange(30, 60)))
+        ids = list(range(len(rows), len(rows) + len(docs)))
+        rng.shuffle(ids)
+        want.append(frozenset(ids[:2]))
+        rows += [(i, " ".join(d)) for i, d in zip(ids, docs)]
+    found = substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    pairs = {frozenset((r.doc_id, r.first_doc_id)) for r in found}
+    assert sum(w in pairs for w in want) >= 38
+    assert pairs <= set(want)
