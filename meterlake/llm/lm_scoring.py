@@ -29,7 +29,7 @@ from meterlake.llm.text import BLANK, chunks, mixed, text_array, words
 
 FOLDS, HELD_OUT = 5, 1
 #: Frequent words, kinds of rarer words (by their last byte), and the end.
-WORDS, KINDS = 447, 64
+WORDS, KINDS = 2000, 64
 CLASSES = WORDS + KINDS + 1
 END_CLASS, START = CLASSES - 1, CLASSES
 #: The hash that stands for the end, a token of every text.
