@@ -1,9 +1,8 @@
 """Throughput on replicated readings, even and skewed.
 
 ``python tools/scale.py COPIES`` repeats the derived readings under new meter ids COPIES times, and
-a second time so that one meter holds a third of all rows. It times the reads plans on both, with the
-plain window and with hot meters cut into slots. Data goes to a new folder of the session's shared
-folder.
+a second time so that one meter holds a third of all rows. It times the reads plans on both; every meter
+is cut into days, by one plan. Data goes to a new folder of the session's shared folder.
 """
 
 from __future__ import annotations
