@@ -326,3 +326,26 @@ def test_edited_passages_among_documents_that_quote_parts(spark, quotes):
     pairs = {frozenset((r.doc_id, r.first_doc_id)) for r in found}
     assert sum(w in pairs for w in want) >= 38
     assert pairs <= set(want)
+
+
+@pytest.mark.parametrize("ties", [True, False])
+def test_nearest_smaller_values(ties):
+    """Against a plain search to the left, with many ties and long descents."""
+    rng = np.random.default_rng(4)
+    for values in [*(rng.integers(0, top, 300) for top in (3, 40, 10**6)), np.arange(300)[::-1], np.ones(300, int)]:
+        values = np.append(0, values).astype(np.uint64)
+        expected = [0]
+        for i in range(1, len(values)):
+            smaller = [j for j in range(i) if values[j] < values[i] or ties and values[j] == values[i]]
+            expected.append(max(smaller, default=0))
+        assert substring_dedup._nearest(values, ties).tolist() == expected
+
+
+def test_passages_of_copies_and_repeated_tokens():
+    tokens = np.tile(np.arange(20, dtype=np.uint64), 5)
+    end = len(tokens) + substring_dedup.SHINGLE - 1
+    assert substring_dedup.passages(tokens, tokens.copy()) == [(0, end, 0, end, 1.0)]
+    short = tokens[: substring_dedup.STRETCH - 1]
+    assert substring_dedup.passages(short, short.copy()) == []
+    moved = np.concatenate([np.arange(100, 110, dtype=np.uint64), tokens])
+    assert substring_dedup.passages(tokens, moved) == [(0, end, 10, 10 + end, 1.0)]
