@@ -121,7 +121,7 @@ def keep_bitmaps(docs: DataFrame, shortest_key: int = SHORTEST_KEY) -> DataFrame
     dropped = found.where("NOT claim").select(parts).union(lost.select(parts))
     return (
         dropped.groupBy("_row_id", "_row_text")
-        .agg(F.collect_list("pos").alias("positions"))
+        .agg(F.collect_set("pos").alias("positions"))  # once, however often the row is repeated
         .mapInArrow(_bitmaps, f"{ROW}, keep binary")
     )
 
