@@ -60,8 +60,8 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> DataF
     Tokens are words without white space. Buckets count from 0 in order of length; batches count from 0
     inside their bucket, and places inside their batch. A batch holds ``budget // padded_length`` documents,
     one at least: a longer document is a batch of its own, whole. A null or empty text has no tokens and
-    is packed with the shortest. Order in a bucket: by shard (a hash of the id), then by id; repeated rows
-    have a place each. An empty table gives no rows. Other columns are not read.
+    is packed with the shortest. Order in a bucket: by shard (a hash of the id and of the row's place in the
+    table, so that one id on many rows is spread), then by id; repeated rows have a place each. An empty table gives no rows. Other columns are not read.
     """
     rows = stored(
         docs.select(
@@ -79,7 +79,7 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> DataF
     ends = boundaries(lengths, counts, buckets) or [0]
     bucket = F.array_position(F.transform(F.array(*map(F.lit, ends)), lambda e: e >= F.col("n_tokens")), True) - 1
     shards = max(1, -(-int(counts.sum()) // SHARD))
-    spread = F.pmod(F.xxhash64(F.coalesce("doc_id", "row")), F.lit(shards)).alias("shard")
+    spread = F.pmod(F.xxhash64("doc_id", "row"), F.lit(shards)).alias("shard")
     placed = rows.select("doc_id", "row", "n_tokens", bucket.cast("int").alias("bucket"), spread)
     sizes = placed.groupBy("bucket", "shard").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)

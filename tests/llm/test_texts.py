@@ -251,3 +251,13 @@ def test_blocks_after_an_advert_belong_to_the_article(block):
         f"{block.format('after the advert')}</div><div class=site-sidebar><a href=x>more links</a></div></body>"
     )
     assert main_text(page) == "\n".join([*[sentence.strip()] * 2, "after the advert"])
+
+
+def test_one_id_on_many_rows_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 10)
+    packed = packing.pack(documents(spark, [(7, "w w")] * 150 + [(i, "w w") for i in range(100, 150)]), buckets=2, budget=12)
+    got = packed.collect()
+    assert len({(r.bucket, r.batch, r.place) for r in got}) == 200
+    # In order of shards, the id stands in runs with others in between.
+    order = [r.doc_id == 7 for r in sorted(got, key=lambda r: (r.batch, r.place))]
+    assert sum(a and not b for a, b in zip(order, order[1:])) > 3
