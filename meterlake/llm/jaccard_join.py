@@ -456,11 +456,11 @@ def representatives(docs: DataFrame) -> DataFrame:
     """
     rows = labelled(docs)
     first = rows.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "row_text")).alias("row"))
-    stay = first.select("row.*", F.lit(True).alias("once")).union(
-        rows.where("n = 0").select("doc_id", "row_text", F.lit(False).alias("once")).distinct()
-    )
-    stay = stay.select(F.col("doc_id").alias("_row_id"), F.col("row_text").alias("_row_text"), "once")
+    stay = first.select(F.col("row.doc_id").alias("_row_id"), F.col("row.row_text").alias("_row_text"))
     key = ["_row_id", "_row_text"]
-    number = F.row_number().over(Window.partitionBy(*key).orderBy("once"))
-    kept = keyed_rows(docs).join(stay, key).withColumn("number", number)
-    return kept.where("number = 1 OR NOT once").select("rest.*")
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    keyed = keyed_rows(docs)
+    has_words = F.coalesce(F.col("rest.text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = keyed.where(has_words).join(stay, key).withColumn("number", number).where("number = 1")
+    # Rows without words need no partner, so they are not shuffled: many may have the same empty text and no id.
+    return kept.select("rest.*").union(keyed.where(~has_words).select("rest.*"))

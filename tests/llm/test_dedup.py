@@ -349,3 +349,18 @@ def test_passages_of_copies_and_repeated_tokens():
     assert substring_dedup.passages(short, short.copy()) == []
     moved = np.concatenate([np.arange(100, 110, dtype=np.uint64), tokens])
     assert substring_dedup.passages(tokens, moved) == [(0, end, 10, 10 + end, 1.0)]
+
+
+def test_representatives_of_many_rows_without_words_or_id(spark):
+    rows = [(None, "")] * 30 + [(None, None)] * 10 + [(5, " \t")] * 3 + [(6, "a b c d e f")] * 4 + [(None, "a b c d e f")]
+    kept = jaccard_join.representatives(documents(spark, rows)).select("doc_id", "text").collect()
+    assert sorted(map(str, kept)) == sorted(f"Row(doc_id={i!r}, text={t!r})" for i, t in [*rows[:43], rows[43]])
+
+
+def test_repeated_rows_lose_their_lines_once_each(spark):
+    text = "a line that repeats\nother words stay"
+    rows = [(1, "a line that repeats")] + [(2, text)] * 20
+    got = [r for r in line_dedup.keep_bitmaps(documents(spark, rows)).collect()]
+    assert [r._row_id for r in got] == [2]
+    kept = line_dedup.without_repeated_lines(documents(spark, rows)).select("text", "n_dropped").collect()
+    assert sorted((r.text, r.n_dropped) for r in kept) == [("a line that repeats", 0)] + [("other words stay", 1)] * 20
