@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.bits import bit_filter, has
 from meterlake.llm.shared import discard, stored
 from meterlake.llm.text import BLANK, SAME, chunks, mixed, text_array, words
 
 ORDER = 4
-#: The model is fitted on at most so many labelled rows, those with the least hash of their id.
-TRAIN_ROWS = 20_000
-#: One trusted document in so many is never learnt from.
+#: One trusted document in so many is never learnt from: the thresholds are from all of these. The model learns from
+#: all others.
 SPARE = 5
 #: The threshold is MARGIN times this quantile of the perplexities of the trusted documents of a
 #: language that were not learnt from.
@@ -327,7 +327,25 @@ def _trusted(labels: DataFrame) -> DataFrame:
     return whole.select("doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(SPARE)) == 0).alias("spare"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def _maybe_trusted(known):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(has(known.value, batch.column("hash").to_numpy())))
+
+    return rows
+
+
+def _trusted_texts(rows: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(lang, text, spare) of all rows with trusted ids. Few others are shuffled, at any number of ids."""
+    hashed = F.xxhash64("doc_id").alias("hash")
+    known = rows.sparkSession.sparkContext.broadcast(bit_filter(trusted.select(hashed), "hash"))
+    some = rows.select("doc_id", "lang", "text", hashed).mapInArrow(
+        _maybe_trusted(known), "doc_id long, lang string, text string, hash long"
+    )
+    return some.join(trusted.hint("merge"), "doc_id").select("lang", "text", "spare")
+
+
+def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, lang, perplexity, threshold, keep, and ``rest``, all columns as a struct.
 
     A null or empty text has the mean perplexity of trusted text and stays. A null language is a language of its
@@ -341,21 +359,19 @@ def judge(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> D
         F.col("lang").cast("string").alias("lang"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest"),
     )
-    trusted = _trusted(labels)
-    # At most ``train_rows`` ids.
-    chosen = trusted.where("NOT spare").orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).select("doc_id")
-    chosen = stored(chosen, "learnt")
-    model = train(rows.join(F.broadcast(chosen), "doc_id", "left_semi").select("text"))
+    texts = stored(_trusted_texts(rows, _trusted(labels)), "trusted")
+    model = train(texts.where("NOT spare").select("text"))
     if model is None:
+        discard(texts)
         null = F.lit(None).cast("double")
         return rows.select("doc_id", "lang", null.alias("perplexity"), null.alias("threshold"), F.lit(True).alias("keep"), "rest")
     # Texts that were learnt from look too good; they count only where there are no others.
-    for ids in (trusted.where("spare").select("doc_id"), F.broadcast(chosen)):
-        texts = rows.select("doc_id", "lang", "text").join(ids, "doc_id", "left_semi").select("lang", "text")
-        measured = stored(perplexities(texts, model), "perplexities")
+    for some in ("spare", "NOT spare"):
+        measured = stored(perplexities(texts.where(some).select("lang", "text"), model), "perplexities")
         over_all = measured.agg(F.percentile_approx("perplexity", QUANTILE, 10_000) * MARGIN).first()[0]
         if over_all is not None:
             break
+    discard(texts)
     limits = (
         measured.groupBy("lang")
         .agg((F.percentile_approx("perplexity", QUANTILE, 10_000) * MARGIN).alias("own"), F.count(F.lit(1)).alias("n"))

@@ -289,6 +289,27 @@ def test_quality_hard_cases(spark):
     assert all(r.keep and r.perplexity is None for r in untrained)
 
 
+def test_quality_learns_from_all_trusted_rows(spark, monkeypatch):
+    learnt, measured = [], []
+    train, perplexities = quality.train, quality.perplexities
+
+    def counted_train(texts):
+        learnt.append(texts.count())
+        return train(texts)
+
+    def counted_perplexities(rows, model):
+        measured.append(rows.count())
+        return perplexities(rows, model)
+
+    monkeypatch.setattr(quality, "train", counted_train)
+    monkeypatch.setattr(quality, "perplexities", counted_perplexities)
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'x' AS lang")
+    labels = spark.range(30_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    got = quality.judge(docs, labels)
+    assert learnt[0] > 20_000 and learnt[0] + measured[0] == 30_000
+    assert got.count() == 30_000
+
+
 def test_quality_of_held_out_labels(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
