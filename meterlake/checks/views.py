@@ -67,8 +67,9 @@ class Views:
         )
         return rows
 
-    def account_readings(self) -> DataFrame:
-        return self.readings().select(
+    def account_readings(self, readings: DataFrame | None = None) -> DataFrame:
+        """Account feed: the same readings, also from a table that holds them."""
+        return (self.readings() if readings is None else readings).select(
             "meter_id",
             F.col("transponder_id").alias("miu_serial_number"),
             F.col("customer_id").alias("account_id"),
