@@ -197,3 +197,27 @@ def test_parity_spreads_a_placeholder_meter_over_its_days(spark, source):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "3")
+
+
+@pytest.mark.parametrize("name", ["incremental_equals_whole", "run_all_steps"])
+def test_job_checks_compute_the_readings_once(spark, monkeypatch, name):
+    """The steps read stored source tables; neither they nor the account feed compute the view again."""
+    calls, loaded, readings = [], [], Views.readings
+
+    def counted(self, *args):
+        calls.append(args)
+        return readings(self, *args)
+
+    def run(steps, tables, out, params, run_id=None):
+        loaded.append({n: tables.load(n) for n in ("customer_readings", "account_readings")})
+
+    monkeypatch.setattr(Views, "readings", counted)
+    monkeypatch.setattr(registered.jobs, "run", run)
+    monkeypatch.setattr(registered.sinks, "read", lambda spark, target: spark.createDataFrame(
+        [("check", "x", 1, None)], "run_id string, step string, rows long, finished_at timestamp_ntz"))
+    v = Views(spark, FOLDER)
+    getattr(registered, name)(v)
+    assert len(calls) == 1
+    for frames in loaded:
+        assert all(df.inputFiles()[0].rsplit("/", 2)[1] == f"{n}_v1" for n, df in frames.items())
+        assert frames["customer_readings"].count() == frames["account_readings"].count() == v.table("events").count()
