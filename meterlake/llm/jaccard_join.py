@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.bits import BITS, bit_filter, buckets, has
 from meterlake.llm.components import components
-from meterlake.llm.shared import id_or_last, id_or_null, keyed_rows, stored
+from meterlake.llm.shared import discard, id_or_last, id_or_null, keyed_rows, stored
 from meterlake.llm.text import BLANK, chunks, mixed, runs, text_array, words
 
 SHINGLE = 5
@@ -314,7 +314,9 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, name: str) ->
     x = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
     checked = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long")
-    return stored(checked, f"{name}-links")
+    links = stored(checked, f"{name}-links")
+    discard(sets)
+    return links
 
 
 def _tree_pairs(tiles: DataFrame, classes: DataFrame, joined: DataFrame) -> DataFrame:
@@ -408,6 +410,7 @@ def labelled(docs: DataFrame) -> DataFrame:
     # A hub has most of its coordinates in common with others: of near copies, the one they come from.
     common = inside.groupBy("class").agg((F.count(F.lit(1)) / F.max("n")).alias("hub"))
     tiles = stored(inside.join(common, "class"), "tiles")
+    discard(found)
     hubs = tiles.groupBy("token").agg(F.max(F.struct("hub", "class", "n")).alias("top"))
     met = tiles.join(hubs.select("token", F.col("top.class").alias("leader"), F.col("top.n").alias("leader_n")), "token")
     fitting = f"class <> leader AND least(n, leader_n) * 100 >= greatest(n, leader_n) * {PERCENT}"
@@ -415,11 +418,14 @@ def labelled(docs: DataFrame) -> DataFrame:
         F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")
     )
     first_pairs = stored(stars.distinct(), "stars")
-    links = _links(docs, classes, stored(_bounded(first_pairs, classes), "star-pairs"), "star")
+    star_pairs = stored(_bounded(first_pairs, classes), "star-pairs")
+    links = _links(docs, classes, star_pairs, "star")
+    discard(star_pairs)
     joined = components(links)
     tree_pairs = stored(
         _tree_pairs(tiles, classes, joined).join(first_pairs, ["a", "b"], "left_anti"), "tree-pairs"
     )
+    discard(tiles, first_pairs)
     if not tree_pairs.isEmpty():
         links = links.union(_links(docs, classes, tree_pairs, "tree"))
         joined = components(links)

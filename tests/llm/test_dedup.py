@@ -1,6 +1,7 @@
 """Exact, line, near and substring de-duplication against plain Python."""
 
 import hashlib
+import pathlib
 import random
 import zlib
 
@@ -10,6 +11,7 @@ import pytest
 
 from meterlake.llm import exact_dedup, jaccard_join, line_dedup, substring_dedup
 from meterlake.llm.components import components
+from meterlake.llm.shared import shared_folder
 from meterlake.llm.text import text_array
 from pyspark.sql import functions as F
 from tests.llm.fixtures import BLANKS, LOW, SCHEMA, blank_words, documents, prose, shingles, texts
@@ -364,3 +366,14 @@ def test_repeated_rows_lose_their_lines_once_each(spark):
     assert [r._row_id for r in got] == [2]
     kept = line_dedup.without_repeated_lines(documents(spark, rows)).select("text", "n_dropped").collect()
     assert sorted((r.text, r.n_dropped) for r in kept) == [("a line that repeats", 0)] + [("other words stay", 1)] * 20
+
+
+def test_near_leaves_only_what_its_result_reads(spark):
+    """Tables of candidates and sets are removed when the links are found."""
+    folder = pathlib.Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("llm-*"))
+    got = jaccard_join.jaccard_components(documents(spark, chained()))
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.glob("llm-*")) - before}
+    assert "llm-points" in left
+    assert not left & {"llm-members", "llm-tiles", "llm-stars", "llm-star-pairs", "llm-star-sets", "llm-tree-sets"}
+    assert near_got(got) == near_by_hand(chained())
