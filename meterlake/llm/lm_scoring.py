@@ -42,8 +42,8 @@ WIDTH, NOISE, BATCH, RATE = 24, 64, 1024, 0.08
 SHARD, ROUNDS = 1 << 22, 3
 #: Steps that a shard makes in a round, at least: few texts are gone through several times.
 LEAST_STEPS = 100
-#: Contexts normalised at a time.
-ROWS = 8192
+#: Contexts normalised at a time: the scores of all classes then stay in a processor's cache (2 MB).
+ROWS = 256
 
 
 class Model(NamedTuple):
@@ -269,26 +269,37 @@ def trained(rows: DataFrame, counts, unigram: np.ndarray, n_tokens: int) -> Mode
 def log_probabilities(model: Model, one, two, target, norms: np.ndarray) -> np.ndarray:
     """Normalised log10 probabilities of the targets. ``norms`` keeps what contexts were normalised by."""
     context = one * (CLASSES + 1) + two
-    unique, inverse = np.unique(context, return_inverse=True)
     first, second = model.inputs @ model.turns[0], model.inputs @ model.turns[1]
-    predicted = first[unique // (CLASSES + 1)] + second[unique % (CLASSES + 1)]
-    new = np.flatnonzero(np.isnan(norms[unique]))
+    new = np.unique(context[np.isnan(norms[context])])
     for s in range(0, len(new), ROWS):
         some = new[s : s + ROWS]
-        scores = predicted[some] @ model.outputs.T + model.bias
+        scores = (first[some // (CLASSES + 1)] + second[some % (CLASSES + 1)]) @ model.outputs.T
+        scores += model.bias
         most = scores.max(axis=1)
-        norms[unique[some]] = most + np.log(np.exp(scores - most[:, None]).sum(axis=1))
-    own = np.einsum("ij,ij->i", predicted[inverse], model.outputs[target]) + model.bias[target]
+        scores -= most[:, None]
+        norms[some] = most + np.log(np.exp(scores, out=scores).sum(axis=1))
+    own = np.einsum("ij,ij->i", first[one] + second[two], model.outputs[target]) + model.bias[target]
     return (own - norms[context]).astype(np.float64) / np.log(10)
 
 
+#: The last model that this process scored with, and what its contexts were normalised by.
+_KEPT: list = [None, None]
+
+
+def _norms_of(model: Model) -> np.ndarray:
+    """The norms of the model's contexts. The tasks of a worker have one model, and go on with what was worked out."""
+    if _KEPT[0] is not model:
+        _KEPT[:] = model, np.full((CLASSES + 1) ** 2, np.nan, np.float32)
+    return _KEPT[1]
+
+
 def _scored(counts, model):
     """Per text one row with what is known in the task, and a row for each other word to be joined."""
     names = ["row", "hash", "n", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, m = counts.value, model.value
-        norms = np.full((CLASSES + 1) ** 2, np.nan, np.float32)
+        norms = _norms_of(m)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             for first, part in chunks(text_array(batch.column("text"))):

@@ -381,3 +381,15 @@ def test_empty_tables(spark, operator):
         "toxicity": lambda: toxicity.toxicity(docs, labels),
     }[operator]
     assert run().count() == 0
+
+
+def test_contexts_are_normalised_once_in_a_worker(monkeypatch):
+    """A second task of a worker goes on with the norms of the first one; another model begins anew."""
+    monkeypatch.setattr(lm_scoring, "_KEPT", [None, None])
+    model, other = (lm_scoring.start(np.full(lm_scoring.CLASSES, 1 / lm_scoring.CLASSES)) for _ in range(2))
+    one, two, target = (np.random.default_rng(i).integers(0, lm_scoring.CLASSES, 700) for i in range(3))
+    norms = lm_scoring._norms_of(model)
+    first = lm_scoring.log_probabilities(model, one, two, target, norms)
+    assert lm_scoring._norms_of(model) is norms and not np.isnan(norms[one * (lm_scoring.CLASSES + 1) + two]).any()
+    assert (lm_scoring.log_probabilities(model, one, two, target, norms) == first).all()
+    assert np.isnan(lm_scoring._norms_of(other)).all()
