@@ -41,6 +41,8 @@ LEAST_TRUSTED = 50
 TABLE_ROWS = 4_000_000
 #: Bytes of text in such a batch, about.
 BATCH = 1 << 24
+#: Bytes of text whose runs a task holds at a time; a byte takes more than a hundred there.
+PART = 1 << 19
 
 BEGIN, REPEAT, CAPITAL, DIGIT = 0x02, 0xF8FF, ord("A"), ord("0")
 
@@ -131,7 +133,7 @@ _KEYS = [f"g{n}" for n in range(1, ORDER + 1)] + [f"c{n}" for n in range(2, ORDE
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The runs of the texts, with the shorter ones at their ends and their contexts, and how often they occur."""
     for batch in batches:
-        for _, part in chunks(text_array(batch.column("text"))):
+        for _, part in chunks(text_array(batch.column("text")), PART):
             s, edges = symbols(part)
             if not len(s):
                 continue
@@ -223,7 +225,7 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = text_array(batch.column("text"))
         for number in np.unique(of).tolist():
             here = texts.filter(pa.array(of == number))
-            for _, part in chunks(here):
+            for _, part in chunks(here, PART):
                 s, edges = symbols(part)
                 if not len(s):
                     continue
@@ -275,7 +277,7 @@ def _by_table(model, usual: float, unknown: float, names: list[str]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values = model.value
         for batch in batches:
-            parts = chunks(text_array(batch.column("text")))
+            parts = chunks(text_array(batch.column("text")), PART)
             found = [_perplexity(part, keys, values, usual, unknown) for _, part in parts]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array(np.concatenate([np.zeros(0), *found]))], [*names, "perplexity"]
@@ -287,7 +289,7 @@ def _by_table(model, usual: float, unknown: float, names: list[str]):
 def _by_answers(usual: float, unknown: float):
     def work(texts: pa.Table, answers: pa.Table) -> pa.Table:
         keys, values = _sorted(answers.column("key").to_numpy(), answers.column("value").to_numpy())
-        parts = chunks(text_array(texts.column("text")))
+        parts = chunks(text_array(texts.column("text")), PART)
         found = [_perplexity(part, keys, values, usual, unknown) for _, part in parts]
         return pa.table([texts.column("h1"), texts.column("h2"), pa.array(np.concatenate([np.zeros(0), *found]))],
                         names=["h1", "h2", "perplexity"])

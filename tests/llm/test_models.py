@@ -393,3 +393,25 @@ def test_contexts_are_normalised_once_in_a_worker(monkeypatch):
     assert lm_scoring._norms_of(model) is norms and not np.isnan(norms[one * (lm_scoring.CLASSES + 1) + two]).any()
     assert (lm_scoring.log_probabilities(model, one, two, target, norms) == first).all()
     assert np.isnan(lm_scoring._norms_of(other)).all()
+
+
+def test_quality_holds_the_runs_of_few_texts_at_a_time(monkeypatch):
+    """The runs of a part take more than a hundred times its bytes, so parts are small, whatever the batch."""
+    seen, symbols = [], quality.symbols
+
+    def noted(part):
+        seen.append(part.nbytes)
+        return symbols(part)
+
+    monkeypatch.setattr(quality, "symbols", noted)
+    random_ = random.Random(3)
+    data = ["".join(random_.choices("abcdefgh ", k=20_000)) for _ in range(60)]
+    batch = pa.RecordBatch.from_pydict({"text": data, "doc_id": pa.array(range(60), pa.int64())})
+    counted = sum(sum(b.column("n").to_pylist()) for b in quality._counted(iter([batch])))
+    assert counted == sum(len(symbols(text_array(pa.array([t])))[0]) for t in data)
+
+    class Sent:
+        value = np.zeros(0, np.uint64), np.zeros(0)
+
+    list(quality._by_table(Sent, -1.0, -7.0, ["doc_id"])(iter([batch])))
+    assert max(seen) <= 600_000 and len(seen) > 3
