@@ -377,3 +377,30 @@ def test_near_leaves_only_what_its_result_reads(spark):
     assert "llm-points" in left
     assert not left & {"llm-members", "llm-tiles", "llm-stars", "llm-star-pairs", "llm-star-sets", "llm-tree-sets"}
     assert near_got(got) == near_by_hand(chained())
+
+
+def test_passages_hold_few_texts_at_a_time(monkeypatch):
+    """Each step over texts works on small parts, whatever the batch, and finds the same in them."""
+    sizes, read = [], substring_dedup._shingles
+
+    def noted(part):
+        sizes.append(part.nbytes)
+        return read(part)
+
+    monkeypatch.setattr(substring_dedup, "_shingles", noted)
+
+    class Full:
+        value = np.full(1 << 10, 255, np.uint8)
+
+    data = [prose(40, 700)] + [prose(i, 700) for i in range(40, 840)]
+    docs = pa.array(range(len(data)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([docs, docs, pa.array(data)], ["doc", "doc_id", "text"])
+    keys = sum(b.num_rows for b in substring_dedup._keys(iter([batch])))
+    assert keys == sum(len(substring_dedup._node_keys(text_array(pa.array([t])))[0]) for t in data)
+    list(substring_dedup._equal_zones(Full)(iter([batch])))
+    list(substring_dedup._whole_stretches(Full, Full)(iter([batch])))
+    compared = batch.set_column(0, "doc", pa.array([None, *range(1, len(data))], pa.int64()))
+    compared = compared.append_column("first", pa.array([7] * len(data), pa.int64()))
+    found = pa.Table.from_batches(list(substring_dedup._verified(iter([compared]))))
+    assert found.column("doc_id").to_pylist() == [1] and found.column("first_doc_id").to_pylist() == [0]
+    assert max(sizes) < 600_000
