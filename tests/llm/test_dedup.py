@@ -330,6 +330,54 @@ def test_edited_passages_among_documents_that_quote_parts(spark, quotes):
     assert pairs <= set(want)
 
 
+def edited_once(rng, words, at):
+    """``words`` with one of them changed, left out or put in at a place."""
+    return [*words[:at], *rng.choice([["changed"], [], ["put", words[at]]]), *words[at + 1 :]]
+
+
+def test_each_edited_passage_among_those_that_begin_alike(spark):
+    """Seven pairs begin their passages with the same words, too few for a passage; each pair is found."""
+    rng = random.Random(8)
+    rows, want = [], set()
+
+    def fill(k):
+        return [f"f{rng.randrange(10**9)}" for _ in range(k)]
+
+    for _ in range(12):
+        begin = fill(28)
+        for _ in range(7):
+            passage = begin + fill(23)
+            for p in (passage, edited_once(rng, passage, 39)):
+                rows.append((len(rows), " ".join(fill(rng.randrange(5, 40)) + p + fill(rng.randrange(5, 40)))))
+            want.add(frozenset((len(rows) - 2, len(rows) - 1)))
+    rng.shuffle(rows)
+    found = substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {frozenset((r.doc_id, r.first_doc_id)) for r in found} == want
+
+
+def test_similar_passages_share_a_node():
+    """Whatever the edits, if only no words repeat beside them."""
+    rng = random.Random(3)
+
+    def hashes(words):
+        return substring_dedup._shingles(text_array(pa.array([" ".join(words)])))[0]
+
+    def keys(words):
+        return set(substring_dedup._node_keys(text_array(pa.array([" ".join(words)])))[0].tolist())
+
+    similar = 0
+    for _ in range(3000):
+        x = [f"w{rng.randrange(10**9)}" for _ in range(rng.randint(50, 160))]
+        y = list(x)
+        for at in sorted(rng.sample(range(5, len(x) - 5), rng.randint(1, 1 + len(x) // 30)), reverse=True):
+            y = edited_once(rng, y, at)
+        x, y = ([f"{c}{i}" for i in range(9)] + w + [f"{c}{i}" for i in range(9)] for c, w in (("a", x), ("b", y)))
+        if substring_dedup.passages(hashes(x), hashes(y)):
+            similar += 1
+            assert keys(x) & keys(y)
+    assert similar > 1000
+
+
 @pytest.mark.parametrize("ties", [True, False])
 def test_nearest_smaller_values(ties):
     """Against a plain search to the left, with many ties and long descents."""
