@@ -355,6 +355,23 @@ def test_each_edited_passage_among_those_that_begin_alike(spark):
     assert {frozenset((r.doc_id, r.first_doc_id)) for r in found} == want
 
 
+def test_second_passage_that_the_first_document_quotes_in_part(spark):
+    """Three documents share a passage; two of them a second one, of which the third has too little."""
+    rng = random.Random(21)
+    rows, want = [], set()
+
+    def fill(k):
+        return [f"f{rng.randrange(10**9)}" for _ in range(k)]
+
+    for _ in range(12):
+        shared, passage = fill(60), fill(52)
+        for p in (passage[:44], passage, [*passage[:45], "changed", *passage[46:]]):
+            rows.append((len(rows), " ".join([*shared, *fill(40), *p, *fill(20)])))
+        want.add(frozenset((len(rows) - 2, len(rows) - 1)))
+    found = substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {frozenset((r.doc_id, r.first_doc_id)) for r in found if r.start >= 60} == want
+
+
 def test_similar_passages_share_a_node():
     """Whatever the edits, if only no words repeat beside them."""
     rng = random.Random(3)
