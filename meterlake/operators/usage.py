@@ -84,12 +84,18 @@ def _repeats(stats: DataFrame, keys: Sequence[str], parity: bool) -> DataFrame:
 
 
 def _with_accounts_rate(usage: DataFrame, rates: DataFrame) -> DataFrame:
-    """Usage with the rates of its register; a register without any bill has rate 0 up to the next reads of its account."""
+    """Usage with the rates of its register; a register without any bill has rate 0 up to the next reads of its account.
+
+    One pass over the usage: a row without a rate of its own goes on with the dates of its account, which are one row.
+    """
     match = [*billing.ACCOUNT, "register"]
-    own = with_stats(usage, rates, match)
-    dates = rates.select(*billing.ACCOUNT, "next_read_date", "_repeats").distinct()
-    bare = usage.join(rates.select(*match).distinct(), match, "left_anti").join(dates, list(billing.ACCOUNT))
-    return own.unionByName(bare.withColumn("per_day_consumption", F.lit(0.0)))
+    own = usage.join(rates.withColumn("_own", F.lit(True)), match, "left")
+    coming = F.struct("next_read_date", "_repeats")
+    dates = rates.groupBy(*billing.ACCOUNT).agg(F.collect_set(coming).alias("_dates"))
+    chosen = F.when(F.col("_own"), F.array(coming)).otherwise(F.col("_dates"))
+    rate = F.when(F.col("_own"), F.col("per_day_consumption")).otherwise(F.lit(0.0))
+    rows = own.join(dates, list(billing.ACCOUNT)).withColumns({"_coming": F.explode(chosen), "per_day_consumption": rate})
+    return rows.select(*usage.columns, "per_day_consumption", "_coming.*")
 
 
 def high_usage(

@@ -79,6 +79,16 @@ class Marts:
     def daily(self) -> sinks.Target:
         return sinks.Target.published(self._at("meter_ami_reads_daily"), sinks.READS_ORDER)
 
+    @property
+    def backfill_points(self) -> sinks.Target:
+        """Service points of the last backfill."""
+        return sinks.Target.published(self._at("meter_backfill_points"))
+
+    @property
+    def backfill_readings(self) -> sinks.Target:
+        """Readings of the districts' meters of the last backfill."""
+        return sinks.Target.published(self._at("meter_backfill_readings"))
+
     @property
     def runs(self) -> sinks.Target:
         """Finished steps of the runs with an id."""
@@ -241,13 +251,26 @@ def publish_backfill(
     }
 
 
+def _kept(rows: DataFrame, target: sinks.Target) -> DataFrame:
+    """The rows, written once for all that read them."""
+    sinks.publish(rows, target)
+    return sinks.read(rows.sparkSession, target)
+
+
 def run_backfill(tables: Tables, out: Marts, params: Params) -> int:
-    """Both backfills and the schedule. Returns the rows of the two."""
-    names = ("customer_readings", "locations", "installed_devices", "contracts")
-    source = [tables.load(n) for n in names]
+    """Both backfills and the schedule. Returns the rows of the two.
+
+    Both read the same service points, and of some districts the same few readings: these are stored once.
+    """
+    readings, *master = map(tables.load, ("customer_readings", "locations", "installed_devices", "contracts"))
+    recent = reads.backfill_window(readings, params)
+    points = _kept(reads.backfill_points(*master, params), out.backfill_points)
+    feed = reads.backfill_feed(recent, points, params)
+    if params.districts:
+        feed = _kept(feed, out.backfill_readings)
     coming = schedule.next_read(tables.load("schedules"), params.as_of)
-    hourly = reads.backfill_hourly(*source, params)
-    written = publish_backfill(hourly, reads.backfill_daily(*source, params), coming, out)
+    hourly, daily = (build(feed, points, params) for build in (reads.hourly_backfilled, reads.daily_backfilled))
+    written = publish_backfill(hourly, daily, coming, out)
     return written["hourly"] + written["daily"]
 
 

@@ -191,15 +191,6 @@ BACKFILL_CONTRACT = {
 BACKFILL_COLUMNS = tuple(c for c in marts.READ_COLUMNS if c != "read_interval_type")
 
 
-def _backfill_points(
-    location: DataFrame, device: DataFrame, contract: DataFrame, params: Params
-) -> DataFrame:
-    twice = [c for c in BACKFILL_CONTRACT.values() if c in contract.columns]
-    current = marts.select_mart(contract.drop(*twice), BACKFILL_CONTRACT)
-    wanted = horizon.in_districts(current, params.districts, "regionalstructuregrouping")
-    return validity.points_by_location(location, device, wanted, params.as_of)
-
-
 def meters_seen_at(feed: DataFrame, points: DataFrame, place: str, params: Params) -> DataFrame:
     """Readings of the meters that have a reading at one of the service points.
 
@@ -219,6 +210,40 @@ def _slot_begin(params: Params) -> dt.datetime:
     return params.slot_begin
 
 
+def backfill_points(
+    location: DataFrame, device: DataFrame, contract: DataFrame, params: Params
+) -> DataFrame:
+    """Service points of the districts, which both backfills join."""
+    twice = [c for c in BACKFILL_CONTRACT.values() if c in contract.columns]
+    current = marts.select_mart(contract.drop(*twice), BACKFILL_CONTRACT)
+    wanted = horizon.in_districts(current, params.districts, "regionalstructuregrouping")
+    return validity.points_by_location(location, device, wanted, params.as_of)
+
+
+def backfill_window(readings: DataFrame, params: Params) -> DataFrame:
+    """Customer feed after ``slot_begin``."""
+    return horizon.since(normalise_customer_feed(readings), TS, _slot_begin(params))
+
+
+def backfill_feed(recent: DataFrame, points: DataFrame, params: Params) -> DataFrame:
+    """Readings of the window of the meters seen at the points, which both backfills start from."""
+    return meters_seen_at(recent, points, "functionallocation", params)
+
+
+def hourly_backfilled(feed: DataFrame, points: DataFrame, params: Params) -> DataFrame:
+    """All readings of ``backfill_feed`` at the points, with consumption; 16 columns."""
+    deltas = hourly_deltas(feed, "functionallocation", params)
+    rows = deltas.join(points, "functionallocation")
+    return marts.select_mart(rows, marts.READS_MAPPING, *BACKFILL_COLUMNS)
+
+
+def daily_backfilled(feed: DataFrame, points: DataFrame, params: Params) -> DataFrame:
+    """Last reading of each day of ``backfill_feed`` at the points; 16 columns."""
+    last = daily_last(feed, "functionallocation", params)
+    rows = daily_enriched(last, points, "functionallocation", params)
+    return marts.select_mart(rows, marts.READS_MAPPING, *BACKFILL_COLUMNS)
+
+
 def backfill_hourly(
     readings: DataFrame,
     location: DataFrame,
@@ -227,12 +252,9 @@ def backfill_hourly(
     params: Params,
 ) -> DataFrame:
     """All readings after ``slot_begin`` in the districts, with consumption; 16 columns."""
-    feed = horizon.since(normalise_customer_feed(readings), TS, _slot_begin(params))
-    points = _backfill_points(location, device, contract, params)
-    feed = meters_seen_at(feed, points, "functionallocation", params)
-    deltas = hourly_deltas(feed, "functionallocation", params)
-    rows = deltas.join(points, "functionallocation")
-    return marts.select_mart(rows, marts.READS_MAPPING, *BACKFILL_COLUMNS)
+    recent = backfill_window(readings, params)
+    points = backfill_points(location, device, contract, params)
+    return hourly_backfilled(backfill_feed(recent, points, params), points, params)
 
 
 def backfill_daily(
@@ -243,9 +265,6 @@ def backfill_daily(
     params: Params,
 ) -> DataFrame:
     """Last reading of each day after ``slot_begin`` in the districts; 16 columns."""
-    feed = horizon.since(normalise_customer_feed(readings), TS, _slot_begin(params))
-    points = _backfill_points(location, device, contract, params)
-    feed = meters_seen_at(feed, points, "functionallocation", params)
-    last = daily_last(feed, "functionallocation", params)
-    rows = daily_enriched(last, points, "functionallocation", params)
-    return marts.select_mart(rows, marts.READS_MAPPING, *BACKFILL_COLUMNS)
+    recent = backfill_window(readings, params)
+    points = backfill_points(location, device, contract, params)
+    return daily_backfilled(backfill_feed(recent, points, params), points, params)

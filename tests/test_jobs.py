@@ -172,3 +172,30 @@ def test_export_query(spark, tables, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert back.columns == ["place"]
     assert len(out(back)) == 10
+
+
+def test_both_backfills_read_stored_points_and_readings(spark, tables, tmp_path, monkeypatch):
+    """Service points and the districts' readings are made once, and the rows are those of the plans from the sources."""
+    given, publish = [], jobs.publish_backfill
+
+    def kept(hourly, daily, *rest):
+        given.extend([hourly, daily])
+        return publish(hourly, daily, *rest)
+
+    monkeypatch.setattr(jobs, "publish_backfill", kept)
+    marts = jobs.Marts(str(tmp_path))
+    source = [tables.load(n) for n in ("customer_readings", "locations", "installed_devices", "contracts")]
+    found = reads.backfill_hourly(*source, PARAMS).groupBy("district").count().orderBy("district").first()
+    for districts in ((found["district"],), ()):
+        params = replace(PARAMS, districts=districts)
+        whole = [reads.backfill_hourly(*source, params), reads.backfill_daily(*source, params)]
+        assert jobs.run_backfill(tables, marts, params) == sum(df.count() for df in whole) > 0
+        for target, want in zip((marts.hourly, marts.daily), whole, strict=True):
+            got = sinks.read(spark, target).select(*want.columns)
+            assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    files = {f for df in given for f in df.inputFiles()}
+    assert not any("/installed_devices/" in f or "/contracts/" in f for f in files)
+    assert not any("/customer_readings/" in f for df in given[:2] for f in df.inputFiles())
+    with pytest.raises(ValueError):
+        jobs.run_backfill(tables, jobs.Marts(str(tmp_path / "none")), replace(PARAMS, slot_begin=None))
+    assert not (tmp_path / "none").exists()

@@ -97,6 +97,26 @@ def test_usage_is_combined_before_its_shuffle(source, capsys):
     assert "GreaterThan(meter_reading_time,2000-05-02T00:00)" in plan
 
 
+def test_projection_reads_the_usage_once(spark, source, capsys):
+    v = Views(spark, FOLDER)
+    coming = schedule.next_read(source["segment_schedule"], dt.date(2001, 8, 2))
+    tables = (source["usage"], source["bills"], source["meters"], v.endpoint_types(), coming, v.connection_contracts())
+    plan = explain(usage.project_consumption(*tables, Params(as_of=dt.date(2001, 8, 2))), capsys)
+    scans = [part for part in plan.split("\n\n") if "Scan parquet" in part and "/usage]" in part]
+    assert len(scans) == 1
+
+
+def test_the_schedule_shuffles_the_lines_once(spark, capsys):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = explain(Views(spark, FOLDER).segment_schedule(), capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [part for part in plan.split("\n\n") if re.match(r"\(\d+\) Exchange", part)]
+    assert len(shuffles) == 4
+    assert sum("l_shipdate" in part for part in shuffles) == 1
+
+
 def test_leaks_combine_before_the_shuffle(spark, capsys):
     events = Views(spark, FOLDER).event_reads()
     plan = explain(leaks.leak_alerts(events, dt.datetime(2024, 1, 30), 24, 5), capsys)

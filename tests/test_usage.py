@@ -211,3 +211,17 @@ def test_a_register_without_bills_has_rate_zero(spark):
     assert sorted((r[3], r[5], r[7]) for r in rows) == [
         (Decimal("4.00"), Decimal("2.00"), Decimal("12.00")), (Decimal("6.00"), Decimal("0.00"), Decimal("6.00")),
     ]
+
+
+def test_a_register_without_bills_goes_on_to_each_date_of_its_account_once(spark):
+    dates = frame(spark, "meter_reading_unit string, next_read_date date", ("U", "2024-03-05"), ("V", "2024-03-09"))
+    used = [read("2024-03-01 00:00:00", "4"), read("2024-03-01 00:00:00", "6", register="002"),
+            read("2024-03-01 00:00:00", "8", register="003")]
+    bills = [*RATE, *[(*b[:6], "V") for b in RATE], bill("2024-02-20 00:00:00", 0.0, register="003"),
+             bill("2024-01-01 00:00:00", 49.0, register="003")]
+    rows = project(spark, used, bills, dates, [meter(), meter("002"), meter("003")])
+    assert sorted((r[3], r[2].day, r[5], r[6]) for r in rows) == [
+        (Decimal("4.00"), 5, Decimal("2.00"), 4), (Decimal("4.00"), 9, Decimal("2.00"), 8),
+        (Decimal("6.00"), 5, Decimal("0.00"), 4), (Decimal("6.00"), 9, Decimal("0.00"), 8),
+        (Decimal("8.00"), 5, Decimal("0.98"), 4),
+    ]
